@@ -7,9 +7,15 @@ UDFs at the end of the file; the sufficient statistics come from Spark.
 from __future__ import annotations
 
 import math
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# workers get these helpers with the task, so the package need not be installed there
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _TINY = 1e-300
 _EPS = 1e-14
@@ -97,26 +103,26 @@ def _rowwise(fn, *series: pd.Series) -> pd.Series:
     return pd.Series([None if any(pd.isna(v) for v in r) else fn(*r) for r in rows], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def normal_p(z: pd.Series) -> pd.Series:
     return _rowwise(normal_two_sided, z)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def chi2_p(stat: pd.Series, dof: pd.Series) -> pd.Series:
     return _rowwise(chi2_tail, stat, dof)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def t_p(stat: pd.Series, dof: pd.Series) -> pd.Series:
     return _rowwise(t_two_sided, stat, dof)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def f_p(stat: pd.Series, dof_num: pd.Series, dof_den: pd.Series) -> pd.Series:
     return _rowwise(f_tail, stat, dof_num, dof_den)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def ks_p(d: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
     return _rowwise(ks_tail, d, n, m)
