@@ -5,7 +5,7 @@ from __future__ import annotations
 
 def _decimal(x: str) -> str:
     """The shortest decimal form of a double: what both engines print, and what Spark rounds."""
-    return f"CAST(CAST(CAST({x} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,12))"
+    return f"CAST(CAST(CAST({x} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,18))"
 
 
 def half_up(x: str, digits: int = 2) -> str:
@@ -16,13 +16,12 @@ def half_up(x: str, digits: int = 2) -> str:
 def half_even(x: str, digits: int = 2) -> str:
     """Round half to even on the decimal form of a double."""
     d = _decimal(x)
-    unit = "1" if digits == 0 else "0." + "0" * (digits - 1) + "1"
-    half = f"CAST({unit} AS DECIMAL(38,12)) / 2"
     away = f"ROUND({d}, {digits})"
-    toward = f"TRUNC({d} * {10 ** digits}) / {10 ** digits}"
-    tie = f"ABS({d} - {toward}) = {half}"
-    even = f"(TRUNC({d} * {10 ** digits}) % 2 = 0)"
-    return f"CAST(CASE WHEN {tie} AND {even} THEN {toward} ELSE {away} END AS DOUBLE)"
+    unit = "1" if digits == 0 else "0." + "0" * (digits - 1) + "1"
+    half = "0." + "0" * digits + "5"
+    tie = f"ABS({away} - {d}) = {half}"
+    odd = f"CAST(ROUND(CAST({away} AS DOUBLE) * {10 ** digits}) AS BIGINT) % 2 <> 0"
+    return f"CAST(CASE WHEN {tie} AND {odd} THEN {away} - SIGN({d}) * {unit} ELSE {away} END AS DOUBLE)"
 
 
 def money(x: str, scale: int = 2) -> str:

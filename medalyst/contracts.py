@@ -32,6 +32,7 @@ class Rule:
     name: str
     kind: str
     severity: str
+    reads: str                                  # the columns it needs, space separated
     fails: Callable[[], Column]
 
 
@@ -68,7 +69,7 @@ def _not_in(name: str, *allowed: str) -> Column:
 
 
 def _missing(name: str, check: str, severity: str = "CRITICAL", kind: str = "null_check") -> Rule:
-    return Rule(check, kind, severity, lambda: _c(name).isNull())
+    return Rule(check, kind, severity, name, lambda: _c(name).isNull())
 
 
 ORDERS = Contract(
@@ -80,10 +81,10 @@ ORDERS = Contract(
     {"city": "upper", "order_status": "lower", "payment_status": "title", "payment_method": "title"},
     (
         _missing("order_id", "order_id_not_null"),
-        Rule("order_value_positive", "range_check", "ERROR", lambda: _c("order_value") < 0),
-        Rule("promised_after_created", "timestamp_check", "ERROR", lambda: _c("promised_ts") < _c("created_ts")),
-        Rule("accepted_after_created", "timestamp_check", "WARNING", lambda: _c("accepted_ts") < _c("created_ts")),
-        Rule("payment_status_domain_valid", "domain_check", "ERROR",
+        Rule("order_value_positive", "range_check", "ERROR", "order_value", lambda: _c("order_value") < 0),
+        Rule("promised_after_created", "timestamp_check", "ERROR", "promised_ts created_ts", lambda: _c("promised_ts") < _c("created_ts")),
+        Rule("accepted_after_created", "timestamp_check", "WARNING", "accepted_ts created_ts", lambda: _c("accepted_ts") < _c("created_ts")),
+        Rule("payment_status_domain_valid", "domain_check", "ERROR", "payment_status",
              lambda: _not_in("payment_status", "Paid", "Pending", "Failed")),
     ),
     lambda today: _c("order_id").isNotNull() & (_c("order_value") >= 0) & (_c("promised_ts") >= _c("created_ts")),
@@ -99,12 +100,12 @@ DELIVERIES = Contract(
     {"delivery_status": "lower", "failure_reason": "keep"},
     (
         _missing("delivery_id", "delivery_id_not_null"),
-        Rule("pickup_after_dispatch", "timestamp_check", "ERROR", lambda: _c("pickup_ts") < _c("dispatch_ts")),
-        Rule("drop_after_pickup", "timestamp_check", "ERROR", lambda: _c("drop_ts") < _c("pickup_ts")),
-        Rule("distance_positive", "range_check", "ERROR", lambda: _c("distance_km_actual") <= 0),
-        Rule("duration_reasonable", "range_check", "WARNING",
+        Rule("pickup_after_dispatch", "timestamp_check", "ERROR", "pickup_ts dispatch_ts", lambda: _c("pickup_ts") < _c("dispatch_ts")),
+        Rule("drop_after_pickup", "timestamp_check", "ERROR", "drop_ts pickup_ts", lambda: _c("drop_ts") < _c("pickup_ts")),
+        Rule("distance_positive", "range_check", "ERROR", "distance_km_actual", lambda: _c("distance_km_actual") <= 0),
+        Rule("duration_reasonable", "range_check", "WARNING", "duration_min_actual",
              lambda: (_c("duration_min_actual") <= 0) | (_c("duration_min_actual") > 180)),
-        Rule("rating_bounds_valid", "range_check", "WARNING",
+        Rule("rating_bounds_valid", "range_check", "WARNING", "customer_rating rider_rating",
              lambda: _outside("customer_rating", 1, 5) | _outside("rider_rating", 1, 5)),
     ),
     lambda today: (_c("delivery_id").isNotNull() & (_c("distance_km_actual") > 0) & (_c("duration_min_actual") > 0)
@@ -119,12 +120,12 @@ RIDERS = Contract(
     {"rider_name": "title", "city": "upper", "vehicle_type": "lower", "status": "lower"},
     (
         _missing("rider_id", "rider_id_not_null"),
-        Rule("rating_bounds_valid", "range_check", "ERROR", lambda: _outside("rating_avg", 1, 5)),
-        Rule("join_date_not_future", "timestamp_check", "ERROR", lambda: _c("join_date") > F.col("_today")),
-        Rule("employment_type_domain_valid", "domain_check", "ERROR",
+        Rule("rating_bounds_valid", "range_check", "ERROR", "rating_avg", lambda: _outside("rating_avg", 1, 5)),
+        Rule("join_date_not_future", "timestamp_check", "ERROR", "join_date", lambda: _c("join_date") > F.col("_today")),
+        Rule("employment_type_domain_valid", "domain_check", "ERROR", "employment_type",
              lambda: _not_in("employment_type", "Full-time", "Gig")),
-        Rule("status_domain_valid", "domain_check", "ERROR", lambda: _not_in("status", "Active", "Inactive")),
-        Rule("lifetime_deliveries_non_negative", "range_check", "WARNING",
+        Rule("status_domain_valid", "domain_check", "ERROR", "status", lambda: _not_in("status", "Active", "Inactive")),
+        Rule("lifetime_deliveries_non_negative", "range_check", "WARNING", "total_deliveries_lifetime",
              lambda: _c("total_deliveries_lifetime") < 0),
     ),
     lambda today: (_c("rider_id").isNotNull() & _c("rating_avg").between(1, 5) & (_c("join_date") <= today)),
@@ -140,12 +141,12 @@ SHIFTS = Contract(
     (
         _missing("shift_id", "shift_id_not_null"),
         _missing("rider_id", "rider_id_not_null", "ERROR"),
-        Rule("shift_time_order_valid", "timestamp_check", "ERROR", lambda: _c("shift_end_ts") < _c("shift_start_ts")),
-        Rule("scheduled_hours_positive", "range_check", "ERROR", lambda: _c("scheduled_hours") <= 0),
-        Rule("shift_status_domain_valid", "domain_check", "ERROR",
+        Rule("shift_time_order_valid", "timestamp_check", "ERROR", "shift_end_ts shift_start_ts", lambda: _c("shift_end_ts") < _c("shift_start_ts")),
+        Rule("scheduled_hours_positive", "range_check", "ERROR", "scheduled_hours", lambda: _c("scheduled_hours") <= 0),
+        Rule("shift_status_domain_valid", "domain_check", "ERROR", "shift_status",
              lambda: _not_in("shift_status", "Completed", "Cancelled")),
-        Rule("shift_length_reasonable", "range_check", "WARNING", lambda: _c("scheduled_hours") > 14),
-        Rule("login_logout_order_valid", "timestamp_check", "WARNING",
+        Rule("shift_length_reasonable", "range_check", "WARNING", "scheduled_hours", lambda: _c("scheduled_hours") > 14),
+        Rule("login_logout_order_valid", "timestamp_check", "WARNING", "actual_logout_ts actual_login_ts",
              lambda: _c("actual_logout_ts") < _c("actual_login_ts")),
     ),
     lambda today: (_c("shift_id").isNotNull() & _c("rider_id").isNotNull() & (_c("scheduled_hours") > 0)
@@ -160,11 +161,11 @@ CANCELLATIONS = Contract(
     (
         _missing("cancel_id", "cancel_id_not_null"),
         _missing("cancel_ts", "cancel_ts_not_null", "ERROR"),
-        Rule("refund_non_negative", "range_check", "ERROR", lambda: _c("refund_amount") < 0),
-        Rule("compensation_non_negative", "range_check", "ERROR", lambda: _c("compensation_paid") < 0),
-        Rule("cancel_actor_domain_valid", "domain_check", "ERROR",
+        Rule("refund_non_negative", "range_check", "ERROR", "refund_amount", lambda: _c("refund_amount") < 0),
+        Rule("compensation_non_negative", "range_check", "ERROR", "compensation_paid", lambda: _c("compensation_paid") < 0),
+        Rule("cancel_actor_domain_valid", "domain_check", "ERROR", "cancel_actor",
              lambda: _not_in("cancel_actor", "Customer", "Rider", "System")),
-        Rule("refund_reasonable", "range_check", "WARNING", lambda: _c("refund_amount") > 200),
+        Rule("refund_reasonable", "range_check", "WARNING", "refund_amount", lambda: _c("refund_amount") > 200),
         _missing("linked_support_ticket", "support_link_present", "WARNING", "completeness_check"),
     ),
     lambda today: (_c("cancel_id").isNotNull() & _c("cancel_ts").isNotNull() & (_c("refund_amount") >= 0)
@@ -178,14 +179,14 @@ PINGS = Contract(
     {"network_type": "upper", "gps_provider": "lower"},
     (
         _missing("ping_id", "ping_id_not_null"),
-        Rule("latitude_valid", "range_check", "ERROR", lambda: _outside("lat", -90, 90)),
-        Rule("longitude_valid", "range_check", "ERROR", lambda: _outside("lon", -180, 180)),
-        Rule("speed_reasonable", "range_check", "ERROR", lambda: _outside("speed_kmh", 0, 120)),
-        Rule("battery_range_valid", "range_check", "ERROR", lambda: _outside("battery_level", 0, 100)),
+        Rule("latitude_valid", "range_check", "ERROR", "lat", lambda: _outside("lat", -90, 90)),
+        Rule("longitude_valid", "range_check", "ERROR", "lon", lambda: _outside("lon", -180, 180)),
+        Rule("speed_reasonable", "range_check", "ERROR", "speed_kmh", lambda: _outside("speed_kmh", 0, 120)),
+        Rule("battery_range_valid", "range_check", "ERROR", "battery_level", lambda: _outside("battery_level", 0, 100)),
         _missing("ping_ts", "ping_ts_not_null", "ERROR"),
-        Rule("gps_accuracy_reasonable", "range_check", "WARNING", lambda: _c("accuracy_meters") > 100),
-        Rule("mock_location_detected", "fraud_check", "WARNING", lambda: _c("is_mock_location_flag")),
-        Rule("network_type_domain_valid", "domain_check", "WARNING",
+        Rule("gps_accuracy_reasonable", "range_check", "WARNING", "accuracy_meters", lambda: _c("accuracy_meters") > 100),
+        Rule("mock_location_detected", "fraud_check", "WARNING", "is_mock_location_flag", lambda: _c("is_mock_location_flag")),
+        Rule("network_type_domain_valid", "domain_check", "WARNING", "network_type",
              lambda: _not_in("network_type", "4G", "5G", "WiFi")),
     ),
     lambda today: (_c("ping_id").isNotNull() & _c("ping_ts").isNotNull() & _c("lat").between(-90, 90)
@@ -200,11 +201,11 @@ PRICING = Contract(
     {"promo_code_id": "upper", "promo_type": "title"},
     (
         _missing("pricing_event_id", "pricing_event_id_not_null"),
-        Rule("monetary_fields_positive", "range_check", "ERROR",
+        Rule("monetary_fields_positive", "range_check", "ERROR", "base_fare distance_fare time_fare service_fee platform_fee",
              lambda: F.least("base_fare", "distance_fare", "time_fare", "service_fee", "platform_fee") < 0),
-        Rule("surge_multiplier_valid", "range_check", "ERROR", lambda: _outside("surge_multiplier", 1, 5)),
-        Rule("final_price_positive", "range_check", "ERROR", lambda: _c("final_customer_price") <= 0),
-        Rule("discount_reasonable", "range_check", "WARNING", lambda: _c("discount_amount") > 100),
+        Rule("surge_multiplier_valid", "range_check", "ERROR", "surge_multiplier", lambda: _outside("surge_multiplier", 1, 5)),
+        Rule("final_price_positive", "range_check", "ERROR", "final_customer_price", lambda: _c("final_customer_price") <= 0),
+        Rule("discount_reasonable", "range_check", "WARNING", "discount_amount", lambda: _c("discount_amount") > 100),
     ),
     lambda today: (_c("pricing_event_id").isNotNull() & (_c("final_customer_price") > 0)
                    & (_c("surge_multiplier") >= 1)),
@@ -219,13 +220,13 @@ SUPPORT = Contract(
      "priority_level": "upper"},
     (
         _missing("ticket_id", "ticket_id_not_null"),
-        Rule("resolution_time_valid", "timestamp_check", "ERROR", lambda: _c("resolution_ts") < _c("created_ts")),
-        Rule("csat_bounds_valid", "range_check", "ERROR", lambda: _outside("csat_score", 1, 5)),
-        Rule("resolution_status_domain_valid", "domain_check", "ERROR",
+        Rule("resolution_time_valid", "timestamp_check", "ERROR", "resolution_ts created_ts", lambda: _c("resolution_ts") < _c("created_ts")),
+        Rule("csat_bounds_valid", "range_check", "ERROR", "csat_score", lambda: _outside("csat_score", 1, 5)),
+        Rule("resolution_status_domain_valid", "domain_check", "ERROR", "resolution_status",
              lambda: _not_in("resolution_status", "Refunded", "Resolved", "Open")),
-        Rule("priority_domain_valid", "domain_check", "ERROR", lambda: _not_in("priority_level", "Low", "Medium", "High")),
+        Rule("priority_domain_valid", "domain_check", "ERROR", "priority_level", lambda: _not_in("priority_level", "Low", "Medium", "High")),
         _missing("agent_id", "agent_present", "WARNING", "completeness_check"),
-        Rule("compensation_reasonable", "range_check", "WARNING", lambda: _c("compensation_amount") > 200),
+        Rule("compensation_reasonable", "range_check", "WARNING", "compensation_amount", lambda: _c("compensation_amount") > 200),
     ),
     lambda today: (_c("ticket_id").isNotNull() & _c("created_ts").isNotNull()
                    & (_c("resolution_ts").isNull() | (_c("resolution_ts") >= _c("created_ts")))),

@@ -20,6 +20,7 @@ def build_session(app: str = "medalyst", master: str | None = None, shuffle_part
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", driver_memory)
     )
     if shuffle_partitions:
