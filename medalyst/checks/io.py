@@ -1 +1,171 @@
-"""Placeholder."""
+"""S and K: scans, sinks and table maintenance, each written to the shared folder and read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from medalyst.checks.oracle import money, n
+from medalyst.checks.registry import query
+from medalyst.operators.quality import batch_slice
+from medalyst.session import workspace
+from medalyst.sources import readers, writers
+from medalyst.sources.layout import clustered
+from medalyst.sources.upsert import UpsertTable
+
+
+@query("s01_csv_with_schema", "SELECT * FROM supplier")
+def _(t):
+    path = workspace(t.spark, "csv")
+    writers.export_csv(t.supplier, path)
+    return readers.read_csv(t.spark, path, t.supplier.schema)
+
+
+@query("s02_csv_inferred", "SELECT CAST(l_orderkey AS INTEGER) AS l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem")
+def _(t):
+    path = workspace(t.spark, "csv")
+    writers.export_csv(t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag"), path)
+    return readers.read_csv(t.spark, path)
+
+
+@query("s04_table_scan", "SELECT * FROM nation")
+def _(t):
+    return t.nation
+
+
+@query("s05_new_files_only", "SELECT event_id, value FROM events WHERE event_id % 4 IN (2, 3)")
+def _(t):
+    folder = workspace(t.spark, "landing")
+    t.events.selectExpr("event_id", "value", "event_id % 4 AS part").write.option("header", True).partitionBy("part").csv(folder)
+    listed = readers.list_files(t.spark, folder, "*.csv")
+    tracker = listed.where("file_path RLIKE 'part=[01]/'").selectExpr("'events' AS table_name", "file_path", "'SUCCESS' AS status")
+    fresh = readers.new_files(t.spark, folder, "events", tracker)
+    paths = [r[0] for r in fresh.select("file_path").collect()]           # file names only
+    return readers.read_csv(t.spark, paths, t.events.select("event_id", "value").schema)
+
+
+@query("s06_counts_as_rows", f"SELECT 'orders' AS table_name, {n()} AS n_rows, CAST(NULL AS VARCHAR) AS note FROM orders UNION ALL SELECT 'lineitem', {n()}, NULL FROM lineitem")
+def _(t):
+    from medalyst.contracts import struct
+    from pyspark.sql import types as T
+    rows = [(name, getattr(t, name).count(), None) for name in ("orders", "lineitem")]
+    schema = T.StructType([*struct("table_name:s").fields, T.StructField("n_rows", T.LongType()), *struct("note:s").fields])
+    return readers.literal_rows(t.spark, rows, schema)
+
+
+@query("s07_time_slice", "SELECT o_orderkey FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1996-07-01'")
+def _(t):
+    return batch_slice(t.orders, "19960101000000", "19960701000000", column="o_orderdate").select("o_orderkey")
+
+
+@query("s08_single_column_metrics", f"SELECT {n()} AS n_rows, MIN(l_shipdate) AS first_ship, MAX(l_shipdate) AS last_ship FROM lineitem")
+def _(t):
+    return t.lineitem.select("l_shipdate").agg(F.count(F.lit(1)).alias("n_rows"), F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship"))
+
+
+@query("k01_append", "SELECT o_orderkey, o_totalprice FROM orders")
+def _(t):
+    path = workspace(t.spark, "table")
+    rows = t.orders.select("o_orderkey", "o_totalprice")
+    writers.append(rows.where("o_orderkey % 2 = 0"), path)
+    writers.append(rows.where("o_orderkey % 2 = 1"), path)
+    return t.spark.read.parquet(path)
+
+
+@query("k02_overwrite", "SELECT c_custkey FROM customer WHERE c_acctbal > 0")
+def _(t):
+    path = workspace(t.spark, "table")
+    writers.replace(t.customer.select("c_custkey"), path)
+    writers.replace(t.customer.where("c_acctbal > 0").select("c_custkey"), path)
+    return t.spark.read.parquet(path)
+
+
+@query("k03_overwrite_with_new_schema", "SELECT c_custkey, CAST(c_acctbal AS INTEGER) AS balance FROM customer WHERE c_acctbal = FLOOR(c_acctbal) UNION ALL SELECT c_custkey, CAST(trunc(c_acctbal) AS INTEGER) FROM customer WHERE c_acctbal <> FLOOR(c_acctbal)")
+def _(t):
+    path = workspace(t.spark, "table")
+    writers.replace(t.customer.select("c_custkey", "c_name"), path)
+    writers.replace(t.customer.select("c_custkey", F.col("c_acctbal").cast("int").alias("balance")), path)
+    return t.spark.read.parquet(path)
+
+
+@query("k04_date_overwrite", "SELECT event_id, CAST(ts AS DATE) AS day, CASE WHEN CAST(ts AS DATE) = DATE '2024-01-10' THEN value * 2 ELSE value END AS value FROM events")
+def _(t):
+    path = workspace(t.spark, "table")
+    rows = t.events.select("event_id", F.to_date("ts").alias("day"), "value")
+    writers.replace_dates(rows, path, "day")
+    writers.replace_dates(rows.where("day = DATE '2024-01-10'").withColumn("value", F.col("value") * 2), path, "day")
+    return t.spark.read.parquet(path).select("event_id", "day", "value")
+
+
+@query("k05_keyed_upsert", "SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS price FROM orders WHERE o_orderkey % 3 <> 0 OR o_orderkey % 2 = 0")
+def _(t):
+    table = UpsertTable(t.spark, workspace(t.spark, "upsert"), "o_orderkey", buckets=8)
+    rows = t.orders.select("o_orderkey", F.col("o_totalprice").alias("price"))
+    table.merge(rows.where("o_orderkey % 3 <> 0"))
+    changed = rows.where("o_orderkey % 2 = 0").withColumn("price", F.col("price") + 1)
+    table.merge(changed)
+    table.merge(changed)                  # the same batch again changes nothing
+    return table.read()
+
+
+@query("k06_clustered_write", f"SELECT l_returnflag, {n()} AS n_rows, {money('l_extendedprice')} AS total FROM lineitem GROUP BY 1")
+def _(t):
+    path = workspace(t.spark, "clustered")
+    writers.replace(clustered(t.lineitem, ["l_suppkey", "l_shipdate"], files=8), path)
+    from medalyst.functions.columns import exact_sum
+    return t.spark.read.parquet(path).groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n_rows"), exact_sum("l_extendedprice").alias("total"))
+
+
+@query("k07_created_when_missing", f"SELECT {n()} AS n_rows, TRUE AS created_first, FALSE AS created_again FROM part")
+def _(t):
+    path = workspace(t.spark, "table")
+    first = writers.create_if_missing(t.spark, path, t.part.schema)
+    writers.append(t.part, path)
+    again = writers.create_if_missing(t.spark, path, t.part.schema)
+    return t.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows")).withColumns({"created_first": F.lit(first), "created_again": F.lit(again)})
+
+
+@query("k08_required_tables", f"SELECT {n()} AS n_rows, 'medalyst_missing_table' AS missing FROM orders")
+def _(t):
+    t.orders.createOrReplaceTempView("medalyst_orders")
+    try:
+        readers.require_tables(t.spark, ["medalyst_orders", "medalyst_missing_table"])
+        missing = ""
+    except LookupError as e:
+        missing = str(e).split(": ")[1]
+    return t.spark.table("medalyst_orders").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("missing", F.lit(missing))
+
+
+@query("k09_ingest_with_tracker", f"SELECT (SELECT {n()} FROM events) AS n_rows, CAST(4 AS BIGINT) AS files_logged, CAST(1 AS BIGINT) AS failures_logged, 'NOTHING_NEW' AS third_run")
+def _(t):
+    folder, out = workspace(t.spark, "landing"), workspace(t.spark, "bronze")
+    cols = t.events.select("event_id", "user_id", "value")
+    cols.withColumn("part", F.col("event_id") % 4).repartition("part").write.option("header", True).partitionBy("part").csv(folder)
+    read = lambda paths: readers.read_csv(t.spark, paths, cols.schema)
+
+    def broken(_paths):
+        raise OSError("unreadable batch")
+
+    def run(reader, first=False):
+        seen = None if first else t.spark.read.parquet(f"{out}/tracker")
+        files = [r[0] for r in readers.new_files(t.spark, folder, "events", seen).select("file_path").collect()]
+        return writers.ingest_files(t.spark, files, reader, f"{out}/data", f"{out}/tracker", "events")
+
+    outcomes = [run(broken, first=True), run(read), run(read)]
+    log = t.spark.read.parquet(f"{out}/tracker")
+    return log.agg(F.count_if(F.col("status") == "SUCCESS").alias("files_logged"), F.count_if(F.col("status") == "FAILED").alias("failures_logged")).select(
+        t.spark.read.parquet(f"{out}/data").agg(F.count(F.lit(1))).scalar().alias("n_rows"), "files_logged", "failures_logged", F.lit(outcomes[2]).alias("third_run"))
+
+
+@query("k10_csv_export", "SELECT p_partkey, p_name, p_retailprice FROM part")
+def _(t):
+    path = workspace(t.spark, "export")
+    rows = t.part.select("p_partkey", "p_name", "p_retailprice")
+    writers.export_csv(rows, path)
+    return t.spark.read.schema(rows.schema).option("header", True).csv(path)
+
+
+@query("k11_audit_columns", "SELECT o_orderkey, TIMESTAMP '2002-01-01' AS silver_ingestion_ts, 'orders.parquet' AS record_source FROM orders")
+def _(t):
+    as_of = F.lit("2002-01-01").cast("timestamp_ntz")
+    named = t.orders.select("o_orderkey", F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file"))
+    return writers.stamped(named, "silver", as_of, F.col("file")).drop("file")

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from medalyst.operators.quantiles import exact_quantiles
 from medalyst.operators.relational import null_safe_join
+from medalyst.session import durable
 
 # workers get these helpers with the task, so the package need not be installed there
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -117,7 +118,8 @@ def anomaly_scores(df: DataFrame, group: str, key: str, features: Sequence[str],
 
     scored = chunked.groupBy("_g", "_chunk").cogroup(copies.groupBy("_g", "_chunk")).applyInPandas(
         score, f"{key} {key_type}, _g string, score double")
-    return scored.withColumnRenamed("_g", group)
+    # scores are read several times downstream and must not be trained again each time
+    return durable(scored.withColumnRenamed("_g", group))
 
 
 def flagged_anomalies(scores: DataFrame, group: str, contamination: float = 0.10, min_rows: int = 10) -> DataFrame:

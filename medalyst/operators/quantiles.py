@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from medalyst.operators.ordered import _join_on
+from medalyst.session import durable
 
 
 def cell_edges(df: DataFrame, value: str, cells: int) -> list[float]:
@@ -39,8 +40,9 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: Mapping[str, floa
     ``probs`` maps output columns to probabilities.
     """
     x = F.col(value) if isinstance(value, str) else value
-    counted = (df.select(*keys, x.cast("double").alias("_x")).where("_x is not null")
-               .groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_n")))
+    # read three times below, so written once: the input is scanned and shuffled a single time
+    counted = durable(df.select(*keys, x.cast("double").alias("_x")).where("_x is not null")
+                      .groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_n")))
     placed = into_cells(counted, "_x", cell_edges(counted, "_x", cells), "_cell")
 
     # at most ``cells`` rows per key from here to the filter

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from medalyst.functions.columns import exact_sum, ladder, pct, row_total
 from medalyst.operators.quantiles import exact_quantiles, quantile_struct, with_rank_bins, with_value_bins
 from medalyst.operators.reshape import columns_to_rows
+from medalyst.session import durable
 
 # Lexicographic lower bounds of the RFM score text and their segments (fixed values).
 RFM_SEGMENTS = (("555", "Champions"), ("444", "Loyal Customers"), ("344", "Potential Loyalists"),
@@ -66,7 +67,7 @@ def spend_by_age_band(customers: DataFrame, as_of: str, spend: Sequence[str]) ->
 
 def churn_risk(customers: DataFrame, spend: Sequence[str], purchases: Sequence[str], by: str) -> DataFrame:
     """Customers below the first quartile in both purchases and spend, counted per group."""
-    totals = customers.select(by, row_total(purchases).alias("purchases"), row_total(spend).alias("spend"))
+    totals = durable(customers.select(by, row_total(purchases).alias("purchases"), row_total(spend).alias("spend")))
     q_buy = quantile_struct(totals, "purchases", {"q": 0.25})["q"]
     q_spend = quantile_struct(totals, "spend", {"q": 0.25})["q"]
     at_risk = totals.where((F.col("purchases") < q_buy) & (F.col("spend") < q_spend))
@@ -76,7 +77,7 @@ def churn_risk(customers: DataFrame, spend: Sequence[str], purchases: Sequence[s
 def segment_profile(customers: DataFrame, by: str, spend: Sequence[str], purchases: Sequence[str], deals: str
                     ) -> DataFrame:
     """Mean purchase frequency, median spend and deal use per segment, most deal-responsive first flagged."""
-    totals = customers.select(by, deals, row_total(purchases).alias("purchases"), row_total(spend).alias("spend"))
+    totals = durable(customers.select(by, deals, row_total(purchases).alias("purchases"), row_total(spend).alias("spend")))
     medians = exact_quantiles(totals, "spend", {"median_spend": 0.5}, keys=[by])
     means = totals.groupBy(by).agg(F.round(F.avg("purchases"), 4).alias("avg_frequency"),
                                    F.sum(deals).alias("deal_purchases"))
@@ -95,7 +96,9 @@ def revenue_ranking(customers: DataFrame, by: str, spend: Sequence[str]) -> Data
 def rfm_scores(customers: DataFrame, key: str = "id", recency: str = "recency_days", frequency: str = "frequency",
                monetary: str = "monetary") -> DataFrame:
     """R by value fifths (recent is 5), F and M by rank fifths, score text and segment."""
-    scored = with_value_bins(customers, recency, 5, [5, 4, 3, 2, 1], "r_score")
+    # one narrow row per customer, read by every score below
+    base = durable(customers)
+    scored = with_value_bins(base, recency, 5, [5, 4, 3, 2, 1], "r_score")
     scored = with_rank_bins(scored, frequency, [key], 5, "f_score")
     scored = with_rank_bins(scored, monetary, [key], 5, "m_score")
     score = F.concat(*[F.col(c).cast("string") for c in ("r_score", "f_score", "m_score")])

@@ -25,6 +25,7 @@ PLAN_WEIGHT = {"Free": 1, "Basic": 2, "Premium": 3, "VIP": 4}
 PAID_PLANS = ("Basic", "Premium", "VIP")
 PLAN_PRICES = {("A", "Free"): 0, ("A", "Basic"): 69, ("A", "Premium"): 129,
                ("B", "Free"): 0, ("B", "VIP"): 159, ("B", "Premium"): 359}
+TARGET_WEIGHT = {"Free": 1.0, "Basic": 0.8, "Premium": 0.5, "VIP": 0.3}
 RETENTION_DAYS = (30, 60, 90)
 
 
@@ -398,7 +399,7 @@ def cohort_overlap(first: DataFrame, second: DataFrame, key: str = "user_id", va
     return both.groupBy(where.alias("found_in")).agg(F.count(F.lit(1)).alias("users"), exact_sum(joint).alias("watch_mins"))
 
 
-def target_scores(users: DataFrame, weights: Mapping[str, float], missing_weight: float = 0.5) -> DataFrame:
+def target_scores(users: DataFrame, weights: Mapping[str, float] = TARGET_WEIGHT, missing_weight: float = 0.5) -> DataFrame:
     """High score for light viewers on valuable plans."""
     top = users.agg(F.max("watch_mins")).scalar()
     unused = F.when(top == 0, F.lit(0.0)).otherwise(F.lit(1.0) - F.col("watch_mins") / (top + 1))

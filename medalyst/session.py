@@ -19,6 +19,8 @@ def build_session(app: str = "medalyst", master: str | None = None, shuffle_part
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.streaming.stateStore.providerClass",
+                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", driver_memory)
@@ -52,14 +54,15 @@ def workspace(spark: SparkSession, label: str) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` on reliable storage, so a lost executor costs no recomputation
-    and every later read sees the same rows in the same partitions."""
-    spark = df.sparkSession
-    folder = shared_dir(spark)
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to the shared folder and read it back.
+
+    A lost executor then costs no recomputation, every later read sees the same
+    rows, and the planner knows the real size when it picks a join. Parquet also
+    lets each reader take only the columns it uses.
+    """
+    path = workspace(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def shuffle_width(spark: SparkSession) -> int:

@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from medalyst.operators.dedupe import latest_per_key
+
 _VERSION = re.compile(r"v=(\d+)$")
 _BUCKET = re.compile(r"bucket=(\d+)$")
 
@@ -61,21 +63,27 @@ class UpsertTable:
     def _bucketed(self, df: DataFrame) -> DataFrame:
         return df.withColumn("bucket", F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int"))
 
-    def merge(self, batch: DataFrame, keep_null_keys: bool = False) -> list[int]:
+    def merge(self, batch: DataFrame, newest_by: str | None = None, keep_null_keys: bool = False) -> list[int]:
         """Replace rows whose key the batch holds, add the others. Returns the touched buckets.
 
-        The batch must hold one row per key. A NULL key matches nothing, so such a
-        row would be added again by every run; it is left out unless asked for.
+        The batch must hold one row per key, unless ``newest_by`` names a version
+        column: then the newest row of each key wins, so late older rows and
+        repeated batches change nothing. A NULL key matches nothing, so such a row
+        would be added again by every run; it is left out unless asked for.
         """
         source = self._bucketed(batch if keep_null_keys else batch.where(F.col(self.key).isNotNull()))
         touched = [r[0] for r in source.select("bucket").distinct().collect()]    # at most ``buckets`` numbers
         if not touched:
             return []
         current = {b: v for b, v in self._current().items() if b in set(touched)}
-        merged = source
-        if current:
-            old = self._read_buckets(current).drop("v")
+        old = self._read_buckets(current).drop("v") if current else None
+        if newest_by:
+            versions = source if old is None else old.unionByName(source)
+            merged = latest_per_key(versions, ["bucket", self.key], newest_by)
+        elif old is not None:
             merged = old.join(source.select("bucket", self.key), ["bucket", self.key], "left_anti").unionByName(source)
+        else:
+            merged = source
         version = max([int(m.group(1)) for m in map(_VERSION.search, self._children(self.root)) if m], default=0) + 1
-        (merged.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{self.root}/v={version}"))
+        merged.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{self.root}/v={version}")
         return sorted(touched)
