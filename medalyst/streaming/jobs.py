@@ -47,16 +47,22 @@ def ingest(spark: SparkSession, folder: str, schema: T.StructType, target: str,
     run_available(stamped, checkpoint, path=target)
 
 
+def _watermarked(stream: DataFrame, event_time: str, delay: str) -> DataFrame:
+    """Watermarks need a zoned timestamp; a zoneless one is read in the session's zone."""
+    return stream.withColumn(event_time, F.col(event_time).cast("timestamp")).withWatermark(event_time, delay)
+
+
 def deduplicated(stream: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
     """The first arrival of each key; state is kept for ``delay`` of event time."""
-    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+    kept = _watermarked(stream, event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+    return kept.withColumn(event_time, F.col(event_time).cast(stream.schema[event_time].dataType))
 
 
 def windowed_demand(stream: DataFrame, event_time: str, by: Sequence[str], length: str = "1 hour", delay: str = "1 hour") -> DataFrame:
     """Count per group and tumbling window; rows later than ``delay`` are left out."""
-    return (stream.withWatermark(event_time, delay).groupBy(F.window(event_time, length), *by)
-            .agg(F.count(F.lit(1)).alias("n_orders"))
-            .select(F.col("window.start").alias("window_start"), *by, "n_orders"))
+    counts = _watermarked(stream, event_time, delay).groupBy(F.window(event_time, length), *by).agg(F.count(F.lit(1)).alias("n_orders"))
+    start = F.col("window.start").cast(stream.schema[event_time].dataType)
+    return counts.select(start.alias("window_start"), *by, "n_orders")
 
 
 def gate_batches(contract: Contract, good: str, bad: str, log: str, ingest_column: str = "bronze_ingestion_ts") -> Callable:
