@@ -6,6 +6,7 @@ from collections.abc import Callable
 from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,7 +18,9 @@ MODULES = ("io", "relational", "quality", "delivery", "customers", "subscribers"
 
 
 class Tables:
-    """Lazy parquet readers for one scale-factor folder."""
+    """Lazy parquet readers for one scale-factor folder. A file's footer is read for its schema once."""
+
+    _schemas: dict[str, StructType] = {}
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
@@ -25,7 +28,10 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if path not in self._schemas:
+            self._schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[path]).parquet(path)
 
 
 def query(name: str, oracle: str | None = None):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column
@@ -59,8 +60,14 @@ def row_total(cols: Sequence[Column | str]) -> Column:
 
 
 def exact_sum(c: Column | str, scale: int = 2) -> Column:
-    """Order-independent sum of a money-like double."""
-    return F.sum(as_col(c).cast(f"decimal(18,{scale})")).cast("double")
+    """Order-independent sum of a money-like double.
+
+    Each value is counted in units of the last decimal as a whole number, which
+    is several times cheaper than a decimal cast of a double. The units are
+    summed as a decimal, which does not overflow on very large tables.
+    """
+    units = F.rint(as_col(c) * F.lit(float(10 ** scale))).cast("bigint").cast("decimal(18,0)")
+    return (F.sum(units) * F.lit(Decimal(1).scaleb(-scale))).cast("double")
 
 
 def exact_avg(c: Column | str, scale: int = 2) -> Column:
