@@ -9,7 +9,7 @@ from medalyst.checks.oracle import count_if, half_up, money, money_avg, n, sql,
 from medalyst.checks.registry import query
 from medalyst.contracts import DELIVERIES, ORDERS
 from medalyst.functions.columns import tidy
-from medalyst.operators.quality import accepted, health_score, quarantined, with_validity
+from medalyst.operators.quality import health_score, quarantined, with_validity
 from medalyst.plans import delivery as d
 from medalyst.plans.entities import to_silver
 
@@ -47,8 +47,8 @@ def _(t):
           AND duration_min_actual > 0 AND pickup_ts >= dispatch_ts))) WHERE r = 1""", "ow_deliveries"))
 def _(t):
     bronze = b.deliveries(t)
-    clean = accepted(with_validity(bronze, DELIVERIES), "delivery_id")
-    return to_silver(clean, DELIVERIES, tiebreak=["tie_a", "tie_b", "tie_c"]).drop("silver_ingestion_ts", "record_source")
+    bad = quarantined(with_validity(bronze, DELIVERIES))
+    return to_silver(bronze, DELIVERIES, bad, tiebreak=["tie_a", "tie_b", "tie_c"]).drop("silver_ingestion_ts", "record_source")
 
 
 @query("g02_fact_delivery_performance", sql(f"""

@@ -70,7 +70,7 @@ def _path_lengths(x: np.ndarray, tree: pd.DataFrame) -> np.ndarray:
 
 
 def anomaly_scores(df: DataFrame, group: str, key: str, features: Sequence[str], trees: int = 100,
-                   sample_rows: int = 256, chunk_rows: int = 200_000, seed: int = 42) -> DataFrame:
+                   sample_rows: int = 256, chunk_rows: int = 1_000_000, seed: int = 42) -> DataFrame:
     """``key``, ``group`` and ``score`` (higher is more normal, like 0.5 minus the usual anomaly score)."""
     rows = df.select(key, F.col(group).cast("string").alias("_g"), *[F.col(f).cast("double").alias(f) for f in features]
                      ).dropna()

@@ -117,7 +117,7 @@ def accepted(flagged: DataFrame, key: str, undecided_is_bad: bool = True, by_key
     if not by_key:
         verdict = F.coalesce("is_valid", F.lit(not undecided_is_bad))
         return flagged.where(verdict).drop("is_valid")
-    kept = flagged.join(bad.select(key), key, "left_anti")
+    kept = flagged.join(bad.select(key).distinct(), key, "left_anti")
     return (kept.where(F.col(key).isNotNull()) if undecided_is_bad else kept).drop("is_valid")
 
 

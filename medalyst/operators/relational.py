@@ -11,8 +11,12 @@ from medalyst.operators.ordered import _join_on as null_safe_join  # noqa: F401
 
 
 def without_keys(df: DataFrame, bad: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key is not listed; a NULL key never matches, so it stays."""
-    return df.join(bad.select(*keys), list(keys), "left_anti")
+    """Rows whose key is not listed; a NULL key never matches, so it stays.
+
+    The listed keys are made distinct first: a key listed very often then
+    crosses the shuffle once per task instead of once per row.
+    """
+    return df.join(bad.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def key_overlap(a: DataFrame, b: DataFrame, key: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from medalyst.functions.distributions import chi2_p, f_tail, ks_p, normal_p, t_p, t_two_sided
 from medalyst.operators.ordered import running_total
+from medalyst.session import durable
 
 Z95 = 1.959963984540054      # two-sided 95 percent normal quantile
 MAX_CELLS = 10_000           # most result cells a closed-form fit may bring to the driver
@@ -239,9 +240,10 @@ def odds_ratios(df: DataFrame, label: str, features: Sequence[str], group: str,
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GeneralizedLinearRegression
 
-    ready = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip").transform(
-        df.select(F.col(label).cast("double").alias("label"), F.col(group).cast("string").alias("_g"),
-                  *[F.col(f).cast("double").alias(f) for f in features]))
+    # every fitting step reads the rows again, so the narrow table is written once
+    narrow = durable(df.select(F.col(label).cast("double").alias("label"), F.col(group).cast("string").alias("_g"),
+                               *[F.col(f).cast("double").alias(f) for f in features]))
+    ready = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip").transform(narrow)
     groups = [r[0] for r in ready.select("_g").distinct().orderBy("_g").limit(max_groups + 1).collect()]
     if len(groups) > max_groups:
         raise ValueError(f"more than {max_groups} groups to fit")

@@ -31,12 +31,17 @@ def standardised(df: DataFrame, contract: Contract) -> DataFrame:
 
 def to_silver(bronze: DataFrame, contract: Contract, quarantine: DataFrame | None = None, as_of: Column | None = None,
               tiebreak: Sequence[str] = ()) -> DataFrame:
-    """One clean row per key, projected to the contract and stamped."""
-    source = bronze if quarantine is None else without_keys(bronze, quarantine, [contract.key])
-    newest = latest_per_key(source, [contract.key], "ingestion_ts", tiebreak)
-    tagged = standardised(newest, contract).withColumns({
+    """One clean row per key, projected to the contract and stamped.
+
+    A quarantined key loses all its versions, so it does not matter whether keys
+    are dropped before or after the newest version is chosen. Choosing first
+    lets each scan task reduce a hot key to one row before any shuffle.
+    """
+    newest = latest_per_key(bronze, [contract.key], "ingestion_ts", tiebreak)
+    kept = newest if quarantine is None else without_keys(newest, quarantine, [contract.key])
+    tagged = standardised(kept, contract).withColumns({
         "silver_ingestion_ts": F.current_timestamp() if as_of is None else as_of,
-        "record_source": F.col("source_file") if "source_file" in source.columns else F.lit(None).cast("string")})
+        "record_source": F.col("source_file") if "source_file" in bronze.columns else F.lit(None).cast("string")})
     return tagged.select(*[c for c in contract.silver_columns if c in tagged.columns])
 
 

@@ -34,12 +34,11 @@ def interleaved(cells: Sequence[str], bits: int) -> Column:
 
 def with_cluster_value(df: DataFrame, cols: Sequence[str], bits: int = 6, out: str = "_z") -> DataFrame:
     """Tag rows with the z-order value of their per-column quantile cells."""
-    placed, cells = df, []
-    for i, name in enumerate(cols):
-        code, cell = f"_code{i}", f"_cell{i}"
-        placed = placed.withColumn(code, order_code(df, name))
-        placed = into_cells(placed, code, cell_edges(placed.select(code), code, 2 ** bits), cell).drop(code)
-        cells.append(cell)
+    codes = [f"_code{i}" for i in range(len(cols))]
+    cells = [f"_cell{i}" for i in range(len(cols))]
+    placed = df.withColumns({code: order_code(df, name) for code, name in zip(codes, cols)})
+    for code, cell, edges in zip(codes, cells, cell_edges(placed, codes, 2 ** bits)):
+        placed = into_cells(placed, code, edges, cell).drop(code)
     return placed.withColumn(out, interleaved(cells, bits)).drop(*cells)
 
 

@@ -4,7 +4,7 @@ A table is a folder of versions: ``v=<n>/bucket=<b>/``. A version holds whole
 buckets and only those its batch touched; the current table is the newest
 committed copy of every bucket. Spark's ``_SUCCESS`` marker commits a version,
 nothing that is being read is overwritten, and a failed write leaves the table
-as it was.
+as it was. One writer at a time; readers are never blocked.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medalyst.operators.dedupe import latest_per_key
+from medalyst.session import durable
 
 _VERSION = re.compile(r"v=(\d+)$")
 _BUCKET = re.compile(r"bucket=(\d+)$")
@@ -71,7 +72,8 @@ class UpsertTable:
         repeated batches change nothing. A NULL key matches nothing, so such a row
         would be added again by every run; it is left out unless asked for.
         """
-        source = self._bucketed(batch if keep_null_keys else batch.where(F.col(self.key).isNotNull()))
+        # read twice and must be the same rows both times: a bucket missed here would lose its old rows
+        source = durable(self._bucketed(batch if keep_null_keys else batch.where(F.col(self.key).isNotNull())))
         touched = [r[0] for r in source.select("bucket").distinct().collect()]    # at most ``buckets`` numbers
         if not touched:
             return []
