@@ -32,12 +32,12 @@ def _(t):
     return t.nation
 
 
-@query("s05_new_files_only", "SELECT event_id, value FROM events WHERE event_id % 4 IN (2, 3)")
+@query("s05_new_files_only", "SELECT event_id, value FROM events WHERE event_type NOT IN ('view', 'click')")
 def _(t):
     folder = workspace(t.spark, "landing")
-    t.events.selectExpr("event_id", "value", "event_id % 4 AS part").write.option("header", True).partitionBy("part").csv(folder)
+    t.events.select("event_id", "value", "event_type").write.option("header", True).partitionBy("event_type").csv(folder)
     listed = readers.list_files(t.spark, folder, "*.csv")
-    tracker = listed.where("file_path RLIKE 'part=[01]/'").selectExpr("'events' AS table_name", "file_path", "'SUCCESS' AS status")
+    tracker = listed.where("file_path RLIKE 'event_type=(view|click)/'").selectExpr("'events' AS table_name", "file_path", "'SUCCESS' AS status")
     fresh = readers.new_files(t.spark, folder, "events", tracker)
     paths = [r[0] for r in fresh.select("file_path").collect()]           # file names only
     return readers.read_csv(t.spark, paths, t.events.select("event_id", "value").schema)
@@ -66,8 +66,8 @@ def _(t):
 def _(t):
     path = workspace(t.spark, "table")
     rows = t.orders.select("o_orderkey", "o_totalprice")
-    writers.append(rows.where("o_orderkey % 2 = 0"), path)
-    writers.append(rows.where("o_orderkey % 2 = 1"), path)
+    writers.append(rows.where("o_totalprice < 250000"), path)
+    writers.append(rows.where("o_totalprice >= 250000"), path)
     return t.spark.read.parquet(path)
 
 
@@ -96,12 +96,11 @@ def _(t):
     return t.spark.read.parquet(path).select("event_id", "day", "value")
 
 
-@query("k05_keyed_upsert", "SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS price FROM orders WHERE o_orderkey % 3 <> 0 OR o_orderkey % 2 = 0")
+@query("k05_keyed_upsert", "SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice + 1 ELSE o_totalprice END AS price FROM orders WHERE o_orderstatus <> 'P' OR o_orderpriority = '1-URGENT'")
 def _(t):
     table = UpsertTable(t.spark, workspace(t.spark, "upsert"), "o_orderkey", buckets=8)
-    rows = t.orders.select("o_orderkey", F.col("o_totalprice").alias("price"))
-    table.merge(rows.where("o_orderkey % 3 <> 0"))
-    changed = rows.where("o_orderkey % 2 = 0").withColumn("price", F.col("price") + 1)
+    table.merge(t.orders.where("o_orderstatus <> 'P'").selectExpr("o_orderkey", "o_totalprice AS price"))
+    changed = t.orders.where("o_orderpriority = '1-URGENT'").selectExpr("o_orderkey", "o_totalprice + 1 AS price")
     table.merge(changed)
     table.merge(changed)                  # the same batch again changes nothing
     return table.read()
@@ -135,11 +134,11 @@ def _(t):
     return t.spark.table("medalyst_orders").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("missing", F.lit(missing))
 
 
-@query("k09_ingest_with_tracker", f"SELECT (SELECT {n()} FROM events) AS n_rows, CAST(4 AS BIGINT) AS files_logged, CAST(1 AS BIGINT) AS failures_logged, 'NOTHING_NEW' AS third_run")
+@query("k09_ingest_with_tracker", f"SELECT (SELECT {n()} FROM events) AS n_rows, (SELECT CAST(COUNT(DISTINCT event_type) AS BIGINT) FROM events) AS files_logged, CAST(1 AS BIGINT) AS failures_logged, 'NOTHING_NEW' AS third_run")
 def _(t):
     folder, out = workspace(t.spark, "landing"), workspace(t.spark, "bronze")
     cols = t.events.select("event_id", "user_id", "value")
-    cols.withColumn("part", F.col("event_id") % 4).repartition("part").write.option("header", True).partitionBy("part").csv(folder)
+    t.events.select(*cols.columns, "event_type").repartition("event_type").write.option("header", True).partitionBy("event_type").csv(folder)
     read = lambda paths: readers.read_csv(t.spark, paths, cols.schema)
 
     def broken(_paths):

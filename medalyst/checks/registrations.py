@@ -62,9 +62,8 @@ def _(t):
     return p.histogram(b.vehicles(t), "census_tract", 30)
 
 
-_UTIL = "upper(p[1]) || lower(p[2:])"
-_UTILITY = f"""SELECT CASE WHEN TRUE THEN {_UTIL} END || ', ' || q AS utility, {n()} AS n FROM (
-    SELECT split_part(electric_utility, '||', 1) AS p, split_part(electric_utility, '||', 2) AS q FROM vehicles) GROUP BY 1""".replace("CASE WHEN TRUE THEN ", "").replace(" END ||", " ||")
+_UTILITY = f"""SELECT upper(p[1]) || lower(p[2:]) || ', ' || q AS utility, {n()} AS n FROM (
+    SELECT split_part(electric_utility, '||', 1) AS p, split_part(electric_utility, '||', 2) AS q FROM vehicles) GROUP BY 1"""
 
 
 @query("e07_utility_counts", sql(_UTILITY, "vehicles"))

@@ -1,6 +1,6 @@
 """Keyed upsert on plain parquet.
 
-A table is a folder of versions: ``v=<n>/bucket=<b>/``. A version holds whole
+A table is a folder of versions: ``upsert_version=<n>/upsert_bucket=<b>/``. A version holds whole
 buckets and only those its batch touched; the current table is the newest
 committed copy of every bucket. Spark's ``_SUCCESS`` marker commits a version,
 nothing that is being read is overwritten, and a failed write leaves the table
@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from medalyst.operators.dedupe import latest_per_key
 from medalyst.session import durable
 
-_VERSION = re.compile(r"v=(\d+)$")
-_BUCKET = re.compile(r"bucket=(\d+)$")
+VERSION, BUCKET = "upsert_version", "upsert_bucket"     # must differ from every data column
+_VERSION = re.compile(rf"^{VERSION}=(\d+)$")
+_BUCKET = re.compile(rf"^{BUCKET}=(\d+)$")
 
 
 @dataclass(frozen=True)
@@ -39,15 +40,18 @@ class UpsertTable:
         fs, p = self._fs(path)
         return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
+    def _path(self, version: int) -> str:
+        return f"{self.root}/{VERSION}={version}"
+
     def _versions(self) -> list[int]:
         found = sorted(int(m.group(1)) for m in map(_VERSION.search, self._children(self.root)) if m)
-        return [v for v in found if "_SUCCESS" in self._children(f"{self.root}/v={v}")]
+        return [v for v in found if "_SUCCESS" in self._children(self._path(v))]
 
     def _current(self) -> dict[int, int]:
         """Newest committed version of each bucket."""
         newest: dict[int, int] = {}
         for v in self._versions():
-            newest.update({int(m.group(1)): v for m in map(_BUCKET.search, self._children(f"{self.root}/v={v}")) if m})
+            newest.update({int(m.group(1)): v for m in map(_BUCKET.search, self._children(self._path(v))) if m})
         return newest
 
     # --- reading and writing --------------------------------------------------
@@ -55,14 +59,14 @@ class UpsertTable:
         return bool(self._current())
 
     def _read_buckets(self, wanted: dict[int, int]) -> DataFrame:
-        paths = [f"{self.root}/v={v}/bucket={b}" for b, v in sorted(wanted.items())]
+        paths = [f"{self._path(v)}/{BUCKET}={b}" for b, v in sorted(wanted.items())]
         return self.spark.read.option("basePath", self.root).parquet(*paths)
 
     def read(self) -> DataFrame:
-        return self._read_buckets(self._current()).drop("v", "bucket")
+        return self._read_buckets(self._current()).drop(VERSION, BUCKET)
 
     def _bucketed(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("bucket", F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int"))
+        return df.withColumn(BUCKET, F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int"))
 
     def merge(self, batch: DataFrame, newest_by: str | None = None, keep_null_keys: bool = False) -> list[int]:
         """Replace rows whose key the batch holds, add the others. Returns the touched buckets.
@@ -74,18 +78,18 @@ class UpsertTable:
         """
         # read twice and must be the same rows both times: a bucket missed here would lose its old rows
         source = durable(self._bucketed(batch if keep_null_keys else batch.where(F.col(self.key).isNotNull())))
-        touched = [r[0] for r in source.select("bucket").distinct().collect()]    # at most ``buckets`` numbers
+        touched = [r[0] for r in source.select(BUCKET).distinct().collect()]    # at most ``buckets`` numbers
         if not touched:
             return []
         current = {b: v for b, v in self._current().items() if b in set(touched)}
-        old = self._read_buckets(current).drop("v") if current else None
+        old = self._read_buckets(current).drop(VERSION) if current else None
         if newest_by:
             versions = source if old is None else old.unionByName(source)
-            merged = latest_per_key(versions, ["bucket", self.key], newest_by)
+            merged = latest_per_key(versions, [BUCKET, self.key], newest_by)
         elif old is not None:
-            merged = old.join(source.select("bucket", self.key), ["bucket", self.key], "left_anti").unionByName(source)
+            merged = old.join(source.select(BUCKET, self.key), [BUCKET, self.key], "left_anti").unionByName(source)
         else:
             merged = source
         version = max([int(m.group(1)) for m in map(_VERSION.search, self._children(self.root)) if m], default=0) + 1
-        merged.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{self.root}/v={version}")
+        merged.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(self._path(version))
         return sorted(touched)

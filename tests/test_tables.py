@@ -71,8 +71,8 @@ def test_upsert_writes_only_touched_buckets_and_ignores_failed_versions(spark):
     t = UpsertTable(spark, workspace(spark, "up"), "k", buckets=16)
     t.merge(spark.range(200).select(F.col("id").alias("k"), F.lit(0).alias("v")))
     assert len(t.merge(spark.createDataFrame([(5, 1)], "k long, v int"))) == 1
-    spark.createDataFrame([(7, 99, 0)], "k long, v int, bucket int").write.partitionBy("bucket").option(
-        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{t.root}/v=3")
+    spark.createDataFrame([(7, 99, 0)], "k long, v int, upsert_bucket int").write.partitionBy("upsert_bucket").option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{t.root}/upsert_version=3")
     assert t.read().count() == 200 and t.read().agg(F.sum("v")).first()[0] == 1
     assert t.merge(spark.createDataFrame([(5, 2)], "k long, v int")) and t.read().agg(F.sum("v")).first()[0] == 2
 
