@@ -620,12 +620,12 @@ def _(t):
                              F.round(F.col("l_extendedprice") / 7, 2).alias("up"), F.bround(q / 8, 1).alias("even"), F.round(F.try_divide("l_tax", "l_discount"), 6).alias("ratio"))
 
 
-@query("x09_log_and_power", f"""SELECT o_orderkey, {half_up('ln(o_totalprice) + 1', 9)} AS ln1, {half_up('log2(o_totalprice)', 9)} AS l2, {half_up('exp(o_totalprice / 1e6)', 9)} AS e,
-    {half_up('pow(o_totalprice / 1e5, 0.5)', 9)} AS p FROM orders""")
+@query("x09_log_and_power", f"""SELECT o_orderkey, {half_up('ln(o_totalprice) + 1', 6)} AS ln1, {half_up('log2(o_totalprice)', 6)} AS l2, {half_up('exp(o_totalprice / 1e6)', 6)} AS e,
+    {half_up('pow(o_totalprice / 1e5, 0.5)', 6)} AS p FROM orders""")
 def _(t):
     x = F.col("o_totalprice")
-    return t.orders.select("o_orderkey", F.round(F.log(x) + 1, 9).alias("ln1"), F.round(F.log2(x), 9).alias("l2"), F.round(F.exp(x / 1e6), 9).alias("e"),
-                           F.round(F.pow(x / 1e5, F.lit(0.5)), 9).alias("p"))
+    return t.orders.select("o_orderkey", F.round(F.log(x) + 1, 6).alias("ln1"), F.round(F.log2(x), 6).alias("l2"), F.round(F.exp(x / 1e6), 6).alias("e"),
+                           F.round(F.pow(x / 1e5, F.lit(0.5)), 6).alias("p"))
 
 
 @query("x10_fixed_day_arithmetic", """SELECT o_orderkey, CAST(DATE '2002-01-01' - CAST(o_orderdate AS DATE) AS INTEGER) AS days_to_fixed,

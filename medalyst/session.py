@@ -33,6 +33,9 @@ def build_session(app: str = "medalyst", master: str | None = None, shuffle_part
     return spark
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The reliable folder named by ``spark.checkpoint.dir``.
 
@@ -44,9 +47,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="medalyst-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="medalyst-")
+    return _LOCAL_FOLDERS[app]
 
 
 def workspace(spark: SparkSession, label: str) -> str:
