@@ -87,7 +87,7 @@ def anomaly_scores(df: DataFrame, group: str, key: str, features: Sequence[str],
     depth = int(np.ceil(np.log2(sample_rows)))
     names = list(features)
 
-    def train(keys, pdf: pd.DataFrame) -> pd.DataFrame:
+    def train(keys: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         g, t = keys
         ordered = pdf.sort_values(key)[names].to_numpy(dtype=float)
         nodes = _grow(ordered, np.random.default_rng([seed, int(t)]), depth)
@@ -106,7 +106,7 @@ def anomaly_scores(df: DataFrame, group: str, key: str, features: Sequence[str],
     copies = null_safe_join(forest, sizes, ["_g"]).withColumn("_chunk", F.explode(F.sequence(F.lit(0), chunks - 1))).drop("_n")
     key_type = df.schema[key].dataType.simpleString()
 
-    def score(_, part: pd.DataFrame, grove: pd.DataFrame) -> pd.DataFrame:
+    def score(_: tuple, part: pd.DataFrame, grove: pd.DataFrame) -> pd.DataFrame:
         if part.empty or grove.empty:
             return pd.DataFrame({key: [], "_g": [], "score": []})
         x = part[names].to_numpy(dtype=float)
