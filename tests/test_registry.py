@@ -13,11 +13,11 @@ INVENTORY = {
 def test_names_and_oracles():
     queries, oracles = contract.queries(), contract.oracle_sql()
     assert set(oracles) <= set(queries)
-    assert all(re.fullmatch(r"[a-z]{1,2}\d{1,2}_[a-z0-9_]+", name) for name in queries)
+    assert all(re.fullmatch(r"[a-z]{1,2}\d{1,2}_[a-z0-9_]+|pipeline", name) for name in queries)
 
 
 def test_every_inventory_entry_has_a_query():
-    have = {re.match(r"[a-z]+\d+", name).group(0) for name in contract.queries()}
+    have = {found.group(0) for name in contract.queries() if (found := re.match(r"[a-z]+\d+", name))}
     # the database reader has none: it would need a running database
     expected = {f"{letter}{i:02d}" if letter not in ("ts", "xs") else f"{letter}{i}" for letter, ids in INVENTORY.items() for i in ids}
     assert expected <= have, sorted(expected - have)
