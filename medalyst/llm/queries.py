@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from medalyst.llm import bpe, rans, secrets, sharding
+from medalyst.llm import bpe, neardup, rans, secrets, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,10 @@ def op6_longest_first_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read(spark, sf_dir, "documents"))
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op10_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return secrets.report(secrets.judged(docs, repository=F.concat_ws("/", "source", "lang"), owner=F.col("source")))
@@ -44,6 +48,7 @@ QUERIES: dict[str, Query] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_token_files": op4_token_files,
     "op6_longest_first_shards": op6_longest_first_shards,
+    "op7_near_duplicates": op7_near_duplicates,
     "op10_secret_ownership": op10_secret_ownership,
     "pipeline": corpus_pipeline.run,
 }
