@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from medalyst.llm import bpe, neardup, rans, secrets, sharding
+from medalyst.llm import bpe, edit_fingerprint, html_mincut, neardup, pii_crf, quality_cnn, rans, secrets, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +18,10 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
+def op1_quality_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_cnn.classified(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     ids = bpe.encode(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -31,6 +35,11 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "start", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return pii_crf.report(docs, pii_crf.learn(docs))
+
+
 def op6_longest_first_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read(spark, sf_dir, "documents"))
 
@@ -39,16 +48,29 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op8_minimum_cut_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_mincut.extract(pages).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+def op9_edit_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_fingerprint.edited_copies(read(spark, sf_dir, "documents"))
+
+
 def op10_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return secrets.report(secrets.judged(docs, repository=F.concat_ws("/", "source", "lang"), owner=F.col("source")))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality_network": op1_quality_network,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_token_files": op4_token_files,
+    "op5_personal_data": op5_personal_data,
     "op6_longest_first_shards": op6_longest_first_shards,
     "op7_near_duplicates": op7_near_duplicates,
+    "op8_minimum_cut_text": op8_minimum_cut_text,
+    "op9_edit_fingerprint": op9_edit_fingerprint,
     "op10_secret_ownership": op10_secret_ownership,
     "pipeline": corpus_pipeline.run,
 }
