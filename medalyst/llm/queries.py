@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from medalyst.llm import bpe, edit_fingerprint, html_mincut, neardup, pii_crf, quality_cnn, rans, secrets, sharding
+from medalyst.llm import bpe, decontaminate, edit_fingerprint, html_mincut, neardup, pii_crf, quality_cnn, rans, secrets, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,10 @@ def op1_quality_network(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cnn.classified(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op2_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     ids = bpe.encode(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -64,6 +68,7 @@ def op10_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality_network": op1_quality_network,
+    "op2_benchmark_leaks": op2_benchmark_leaks,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_token_files": op4_token_files,
     "op5_personal_data": op5_personal_data,

@@ -14,6 +14,8 @@ _RNG = np.random.Generator(np.random.PCG64(20240607))
 _BYTE = _RNG.integers(0, 2**64, 256, dtype=np.uint64)
 _BYTE[65:91] = _BYTE[97:123]                       # A-Z count as a-z
 _SEPARATOR = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+#: Everything in ASCII but letters and digits parts words.
+PUNCTUATION = (np.arange(256) < 128) & ~np.isin(np.arange(256), [*range(48, 58), *range(65, 91), *range(97, 123)])
 _PLACE = _RNG.integers(0, 2**64, 64, dtype=np.uint64) | np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 
@@ -36,11 +38,11 @@ def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
     return both[0], both[1]
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words in order, and the number of the text that each belongs to."""
+def word_hashes(texts: list[bytes], separators: np.ndarray = _SEPARATOR) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words in order, and the number of the text that each belongs to. ``separators`` must hold the space."""
     joined = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
     power, inverse = _powers(max(16, int(len(joined)).bit_length()))
-    gap = _SEPARATOR[joined]
+    gap = separators[joined]
     edges = np.diff(np.concatenate([[True], gap]).astype(np.int8))
     starts, ends = np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
     total = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE[joined] * power[:len(joined)], dtype=np.uint64)])
