@@ -51,7 +51,9 @@ def _chunks(points: np.ndarray, owner_starts: np.ndarray) -> tuple[np.ndarray, n
     for i in range(WINDOW):
         roll[i:] = roll[i:] * np.uint32(31) + (coded[:n - i] >> np.uint32(7))
     after = np.flatnonzero((roll * np.uint32(2246822519) >> np.uint32(20)) % CUT_EVERY == 0) + 1
-    starts = np.union1d(after[after < n], owner_starts[owner_starts < n])
+    # a text's first cuts would depend on the text before it
+    inside = after - owner_starts[np.searchsorted(owner_starts, after, side="right") - 1] >= WINDOW
+    starts = np.union1d(after[inside & (after < n)], owner_starts)
     lengths = np.diff(np.append(starts, n))
     long = lengths > LONGEST
     if long.any():
@@ -141,7 +143,7 @@ def in_order(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                        F.coalesce(F.col(text), F.lit("")).alias("body"))
     width = shuffle_width(docs.sparkSession)
     cuts = rows.select("order_id").approxQuantile("order_id", [i / width for i in range(1, width)], 0.2 / width) if width > 1 else []
-    splits = [-float("inf"), *sorted(set(cuts)), float("inf")]
+    splits = [-float("inf"), *sorted({0.0} if not cuts else set(cuts)), float("inf")]
     ranked = (Bucketizer(splits=splits, inputCol="_place", outputCol="_bucket")
               .transform(rows.withColumn("_place", F.col("order_id").cast("double")))
               .withColumn("slice", (F.lit(len(splits)) - F.col("_bucket")).cast("int")).drop("_place", "_bucket"))
