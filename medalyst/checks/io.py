@@ -106,6 +106,14 @@ def _(t):
     return table.read()
 
 
+@query("k05_upsert_with_new_column", "SELECT o_orderkey, o_totalprice AS price, CASE WHEN o_orderpriority = '1-URGENT' THEN o_orderpriority END AS priority FROM orders WHERE o_orderstatus <> 'P' OR o_orderpriority = '1-URGENT'")
+def _(t):
+    table = UpsertTable(t.spark, workspace(t.spark, "upsert"), "o_orderkey", buckets=8)
+    table.merge(t.orders.where("o_orderstatus <> 'P'").selectExpr("o_orderkey", "o_totalprice AS price"))
+    table.merge(t.orders.where("o_orderpriority = '1-URGENT'").selectExpr("o_orderkey", "o_totalprice AS price", "o_orderpriority AS priority"), widen=True)
+    return table.read()
+
+
 @query("k06_clustered_write", f"SELECT l_returnflag, {n()} AS n_rows, {money('l_extendedprice')} AS total FROM lineitem GROUP BY 1")
 def _(t):
     path = workspace(t.spark, "clustered")

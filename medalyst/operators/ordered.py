@@ -105,13 +105,15 @@ def nearest_marked(df: DataFrame, marked: Column, value: str, order: Sequence[st
     cut = sliced(df.withColumn("_mark", F.when(marked, F.col(value))), order, (), slices)
     w = Window.partitionBy(SLICE).orderBy(*order)
     spans = cut.groupBy(SLICE).agg(F.max("_mark").alias("_top"), F.min("_mark").alias("_bottom"))
-    slices_up = Window.orderBy(SLICE)          # one row per slice, never more
+    # one row per slice, never more; frames start at the window's edge, so each row adds one step
+    up, down = Window.orderBy(SLICE), Window.orderBy(F.desc(SLICE))
     carry = spans.select(
         SLICE,
-        F.max("_top").over(slices_up.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
-        F.min("_bottom").over(slices_up.rowsBetween(1, Window.unboundedFollowing)).alias("_after"))
+        F.max("_top").over(up.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
+        F.min("_bottom").over(down.rowsBetween(Window.unboundedPreceding, -1)).alias("_after"))
     before = F.max("_mark").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    after = F.first("_mark", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
+    backwards = Window.partitionBy(SLICE).orderBy(*[F.desc(c) for c in order])
+    after = F.min("_mark").over(backwards.rowsBetween(Window.unboundedPreceding, 0))
     return (_join_on(cut, carry, [SLICE])
             .withColumns({"at_or_before": F.coalesce(before, "_before"), "at_or_after": F.coalesce(after, "_after")})
             .drop(SLICE, "_mark", "_before", "_after"))

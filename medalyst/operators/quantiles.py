@@ -3,7 +3,8 @@
 ``percentile`` keeps every distinct value of a group in one hash map. Here the
 distinct (key, value) pairs are counted first, cut into value cells at sketch
 quantiles of all pairs, and only the cells holding a wanted rank are ordered.
-A cell holds about 1/``cells`` of the pairs whatever the key distribution.
+The number of cells follows the number of pairs, so a cell holds about
+``CELL_PAIRS`` of them at most, whatever the table's size and key distribution.
 """
 
 from __future__ import annotations
@@ -18,6 +19,10 @@ from medalyst.operators.ordered import _join_on
 from medalyst.session import durable
 
 
+LEAST_CELLS = 256
+CELL_PAIRS = 1_000_000
+
+
 def cell_edges(df: DataFrame, values: Sequence[str], cells: int) -> list[list[float]]:
     """At most ``cells - 1`` inner cut points per column from the built-in sketch, in one pass."""
     probs = [i / cells for i in range(1, cells)]
@@ -34,7 +39,7 @@ def into_cells(df: DataFrame, value: str, edges: Sequence[float], out: str) -> D
 
 
 def exact_quantiles(df: DataFrame, value: str | Column, probs: Mapping[str, float], keys: Sequence[str] = (),
-                    cells: int = 256) -> DataFrame:
+                    cells: int | None = None) -> DataFrame:
     """Linear-interpolation quantiles, one row per key; NULL values are ignored.
 
     ``probs`` maps output columns to probabilities.
@@ -43,6 +48,7 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: Mapping[str, floa
     # read three times below, so written once: the input is scanned and shuffled a single time
     counted = durable(df.select(*keys, x.cast("double").alias("_x")).where("_x is not null")
                       .groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_n")))
+    cells = cells or max(LEAST_CELLS, -(-counted.count() // CELL_PAIRS))
     placed = into_cells(counted, "_x", cell_edges(counted, ["_x"], cells)[0], "_cell")
 
     # at most ``cells`` rows per key from here to the filter

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from medalyst.operators.relational import null_safe_join
+
 
 def columns_to_rows(df: DataFrame, cols: Sequence[str], name: str, value: str, keep: Sequence[str] = ()) -> DataFrame:
     """Unpivot ``cols`` to (name, value) rows."""
@@ -43,7 +45,7 @@ def month_grid(df: DataFrame, keys: Sequence[str], month: str, value: str, share
     else:
         spans = df.groupBy(*keys).agg(F.min(month).alias("_lo"), F.max(month).alias("_hi"))
     grid = spans.select(*keys, F.explode(F.expr("sequence(_lo, _hi, interval 1 month)")).alias(month))
-    return (grid.join(df.select(*keys, month, value), [*keys, month], "left")
+    return (null_safe_join(grid, df.select(*keys, month, value), [*keys, month], "left")
             .withColumn(value, F.coalesce(value, F.lit(0))))
 
 
@@ -52,4 +54,4 @@ def step_grid(df: DataFrame, keys: Sequence[str], step: str, value: str) -> Data
     spans = df.groupBy(*keys).agg(F.max(step).alias("_hi"))
     grid = spans.select(*keys, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_hi").cast("bigint"))).alias(step))
     known = df.select(*keys, F.col(step).cast("bigint").alias(step), value)
-    return grid.join(known, [*keys, step], "left").withColumn(value, F.coalesce(value, F.lit(0)))
+    return null_safe_join(grid, known, [*keys, step], "left").withColumn(value, F.coalesce(value, F.lit(0)))

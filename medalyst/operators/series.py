@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from medalyst.functions.columns import exact_sum, month_start
+from medalyst.operators.relational import null_safe_join
 from medalyst.operators.reshape import month_grid
 
 Z95 = 1.959963984540054
@@ -39,8 +40,8 @@ def decomposed(series: DataFrame, keys: Sequence[str], value: str = "total", per
     t = t.withColumn("trend", trend).withColumn("_dev", F.col(value) - F.col("trend"))
     phases = t.groupBy(*keys, "phase").agg(F.avg("_dev").alias("_s"))
     centre = phases.groupBy(*keys).agg(F.avg("_s").alias("_m"))
-    seasonal = phases.join(centre, list(keys)).select(*keys, "phase", (F.col("_s") - F.col("_m")).alias("seasonal"))
-    return t.join(seasonal, [*keys, "phase"]).withColumn(
+    seasonal = null_safe_join(phases, centre, list(keys)).select(*keys, "phase", (F.col("_s") - F.col("_m")).alias("seasonal"))
+    return null_safe_join(t, seasonal, [*keys, "phase"]).withColumn(
         "residual", F.col(value) - F.col("trend") - F.col("seasonal")).drop("_dev", "phase")
 
 
@@ -76,11 +77,11 @@ def backtest(series: DataFrame, keys: Sequence[str], value: str = "total", holdo
     """Error of the trend fitted without each key's last ``holdout`` months."""
     t = indexed(series, keys)
     ends = t.groupBy(*keys).agg(F.max("t").alias("_end"))
-    split = t.join(ends, list(keys)).withColumn("_held", F.col("t") > F.col("_end") - holdout)
+    split = null_safe_join(t, ends, list(keys)).withColumn("_held", F.col("t") > F.col("_end") - holdout)
     fit = _trend(split.where(~F.col("_held")), keys, value, min_points).select(*keys, "level", "slope")
     guess = F.greatest(F.col("level") + F.col("slope") * F.col("t"), F.lit(0.0))
     miss = F.abs(F.col(value) - guess)
-    return split.where("_held").join(fit, list(keys)).groupBy(*keys).agg(
+    return null_safe_join(split.where("_held"), fit, list(keys)).groupBy(*keys).agg(
         F.avg(miss).alias("mae"), F.avg(F.try_divide(miss * 100, F.abs(F.col(value)))).alias("mape"))
 
 
@@ -89,7 +90,7 @@ def growth_against_history(series: DataFrame, ahead: DataFrame, keys: Sequence[s
     past = series.groupBy(*keys).agg((exact_sum(value) / F.count(value)).alias("history_mean"))
     future = ahead.groupBy(*keys).agg(F.avg("forecast").alias("forecast_mean"),
                                       F.max(F.when(F.col("step") == 1, F.col("forecast"))).alias("next_month"))
-    return past.join(future, list(keys)).withColumn(
+    return null_safe_join(past, future, list(keys)).withColumn(
         "growth_pct", F.try_divide((F.col("forecast_mean") - F.col("history_mean")) * 100, "history_mean"))
 
 

@@ -94,8 +94,8 @@ def season_boundaries(matches: DataFrame, balls: DataFrame, four: int = 4, six:
     hits = balls.where(F.col("batsman_runs").isin(four, six)).groupBy("id").agg(
         F.count_if(F.col("batsman_runs") == four).alias("fours"),
         F.count_if(F.col("batsman_runs") == six).alias("sixes"))
-    return matches.select("id", "season").join(hits, "id").groupBy("season").agg(
-        F.sum("fours").alias("fours"), F.sum("sixes").alias("sixes")).withColumn(
+    return matches.select("id", "season").join(hits, "id", "left").groupBy("season").agg(
+        F.coalesce(F.sum("fours"), F.lit(0)).alias("fours"), F.coalesce(F.sum("sixes"), F.lit(0)).alias("sixes")).withColumn(
         "boundary_runs", F.col("fours") * four + F.col("sixes") * six)
 
 

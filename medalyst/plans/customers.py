@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from medalyst.functions.columns import exact_sum, ladder, pct, row_total
 from medalyst.operators.quantiles import exact_quantiles, quantile_struct, with_rank_bins, with_value_bins
+from medalyst.operators.relational import null_safe_join
 from medalyst.operators.reshape import columns_to_rows
 from medalyst.session import durable
 
@@ -82,7 +83,7 @@ def segment_profile(customers: DataFrame, by: str, spend: Sequence[str], purchas
     means = totals.groupBy(by).agg(F.round(F.avg("purchases"), 4).alias("avg_frequency"),
                                    F.sum(deals).alias("deal_purchases"))
     best = means.agg(F.max_by(by, F.struct("deal_purchases", by))).scalar()
-    return means.join(medians, by).withColumns({
+    return null_safe_join(means, medians, [by]).withColumns({
         "median_spend": F.round("median_spend", 2), "most_deal_responsive": F.col(by) == best})
 
 

@@ -46,5 +46,10 @@ def to_silver(bronze: DataFrame, contract: Contract, quarantine: DataFrame | Non
 
 
 def load_silver(table: UpsertTable, bronze: DataFrame, contract: Contract, **options) -> list[int]:
-    """Upsert the silver form of ``bronze`` into its table."""
-    return table.merge(to_silver(bronze, contract, **options))
+    """Upsert the silver form of ``bronze`` into its table; a late batch of older versions loses.
+
+    The table has one column more than the silver form: ``version_ts``, the newest ``ingestion_ts`` of each key.
+    """
+    silver = to_silver(bronze, contract, **options)
+    versions = bronze.groupBy(contract.key).agg(F.max("ingestion_ts").alias("version_ts"))
+    return table.merge(silver.join(versions, contract.key), newest_by="version_ts")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from medalyst.functions.columns import exact_avg, lookup, tidy_multi_value, wkt_point
 from medalyst.operators.dedupe import top_per_key
 from medalyst.operators.quantiles import exact_quantiles
-from medalyst.operators.relational import frequency, leader_per_group, with_share
+from medalyst.operators.relational import frequency, leader_per_group, null_safe_join, with_share
 
 
 def located(df: DataFrame, point: str) -> DataFrame:
@@ -96,6 +96,6 @@ def box_stats(df: DataFrame, by: str, value: str) -> DataFrame:
     """Five-number summary per group."""
     quartiles = exact_quantiles(df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, keys=[by])
     ends = df.groupBy(by).agg(F.min(value).alias("low"), F.max(value).alias("high"), F.count(value).alias("n"))
-    return ends.join(quartiles, by).select(
+    return null_safe_join(ends, quartiles, [by]).select(
         by, "n", "low", *[F.round(c, 4).alias(c) for c in ("q1", "median", "q3")], "high")
 

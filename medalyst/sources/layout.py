@@ -13,17 +13,24 @@ from medalyst.operators.quantiles import cell_edges, into_cells
 
 
 def order_code(df: DataFrame, name: str) -> Column:
-    """A double that rises with the column. Text is ordered by its first six bytes."""
+    """A double that rises with a number, date or time column."""
     kind = df.schema[name].dataType
     c = F.col(name)
-    if isinstance(kind, T.StringType):
-        head = F.rpad(F.hex(F.encode(F.substring(c, 1, 6), "UTF-8")), 12, "0")
-        return F.conv(F.substring(head, 1, 12), 16, 10).cast("double")
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return F.unix_micros(c.cast("timestamp")).cast("double")
     return c.cast("double")
 
 
+def text_cell(df: DataFrame, name: str, cells: int) -> Column:
+    """The cell of a text value among range bounds of the distinct values, compared as whole texts."""
+    ranged = df.select(name).where(F.col(name).isNotNull()).distinct().repartitionByRange(cells, name)
+    tops = ranged.withColumn("_part", F.spark_partition_id()).groupBy("_part").agg(F.max(name).alias("top")).collect()   # ``cells`` rows
+    bounds = sorted(row["top"] for row in tops)[:-1]
+    if not bounds:
+        return F.lit(0)
+    return F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < F.col(name)))
+
+
 def interleaved(cells: Sequence[str], bits: int) -> Column:
     """Z-order value: the bits of the cell numbers, most significant first, taken in turn."""
     terms = [F.shiftleft(F.shiftright(F.coalesce(F.col(c), F.lit(0)).cast("bigint"), b).bitwiseAND(F.lit(1)),
@@ -34,11 +41,15 @@ def interleaved(cells: Sequence[str], bits: int) -> Column:
 
 def with_cluster_value(df: DataFrame, cols: Sequence[str], bits: int = 6, out: str = "_z") -> DataFrame:
     """Tag rows with the z-order value of their per-column quantile cells."""
-    codes = [f"_code{i}" for i in range(len(cols))]
     cells = [f"_cell{i}" for i in range(len(cols))]
-    placed = df.withColumns({code: order_code(df, name) for code, name in zip(codes, cols)})
-    for code, cell, edges in zip(codes, cells, cell_edges(placed, codes, 2 ** bits)):
-        placed = into_cells(placed, code, edges, cell).drop(code)
+    text = {i for i, name in enumerate(cols) if isinstance(df.schema[name].dataType, T.StringType)}
+    codes = {i: f"_code{i}" for i in range(len(cols)) if i not in text}
+    placed = df.withColumns({code: order_code(df, cols[i]) for i, code in codes.items()}) if codes else df
+    edges = cell_edges(placed, list(codes.values()), 2 ** bits) if codes else []
+    for (i, code), cut in zip(codes.items(), edges):
+        placed = into_cells(placed, code, cut, cells[i]).drop(code)
+    for i in sorted(text):
+        placed = placed.withColumn(cells[i], text_cell(df, cols[i], 2 ** bits))
     return placed.withColumn(out, interleaved(cells, bits)).drop(*cells)
 
 

@@ -1,26 +1,40 @@
 """Keyed upsert on plain parquet.
 
-A table is a folder of versions: ``upsert_version=<n>/upsert_bucket=<b>/``. A version holds whole
-buckets and only those its batch touched; the current table is the newest
-committed copy of every bucket. Spark's ``_SUCCESS`` marker commits a version,
-nothing that is being read is overwritten, and a failed write leaves the table
-as it was. One writer at a time; readers are never blocked.
+A table is a folder of versions, ``upsert_version=<n>/upsert_bucket=<b>/``, and of manifests, ``manifest/version=<n>``. A version holds whole buckets and only
+those its batch touched; a manifest names the version of every bucket, the columns and the number of buckets. Spark's ``_SUCCESS`` marker on a
+manifest commits a version: nothing that is being read is overwritten, and a failed write leaves the table as it was. One writer at a
+time; readers are never blocked.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from medalyst.operators.dedupe import latest_per_key
 from medalyst.session import durable
 
 VERSION, BUCKET = "upsert_version", "upsert_bucket"     # must differ from every data column
-_VERSION = re.compile(rf"^{VERSION}=(\d+)$")
-_BUCKET = re.compile(rf"^{BUCKET}=(\d+)$")
+_NUMBERED = re.compile(r"=(\d+)$")
+KEPT_MANIFESTS = 20                                     # older ones are removed when a version is committed
+
+
+@dataclass(frozen=True)
+class Manifest:
+    """What one commit says about the whole table."""
+
+    version: int
+    buckets: int
+    schema: StructType
+    current: dict[int, int]                             # bucket -> version that holds it
+
+    def rows(self) -> list[tuple[int, int, str, str]]:
+        return [(self.version, self.buckets, self.schema.json(), json.dumps(sorted(self.current.items())))]
 
 
 @dataclass(frozen=True)
@@ -30,59 +44,97 @@ class UpsertTable:
     key: str
     buckets: int = 64
 
-    # --- folder listing (driver metadata: versions x buckets, no data) --------
+    # --- folders and manifests (driver metadata, no data) ----------------------
     def _fs(self, path: str):
         jvm = self.spark.sparkContext._jvm
         hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
         return hadoop_path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
 
-    def _children(self, path: str) -> list[str]:
-        fs, p = self._fs(path)
-        return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+    def _numbers(self, folder: str) -> list[int]:
+        """The numbers that the children of ``folder`` are named by, in one listing."""
+        fs, path = self._fs(folder)
+        names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+        return sorted(int(found.group(1)) for found in map(_NUMBERED.search, names) if found)
 
-    def _path(self, version: int) -> str:
-        return f"{self.root}/{VERSION}={version}"
+    def _remove(self, folder: str) -> None:
+        fs, path = self._fs(folder)
+        fs.delete(path, True)
 
-    def _versions(self) -> list[int]:
-        found = sorted(int(m.group(1)) for m in map(_VERSION.search, self._children(self.root)) if m)
-        return [v for v in found if "_SUCCESS" in self._children(self._path(v))]
+    def _data(self, version: int) -> str:
+        return f"{self.root}/{VERSION}={version}"
 
-    def _current(self) -> dict[int, int]:
-        """Newest committed version of each bucket."""
-        newest: dict[int, int] = {}
-        for v in self._versions():
-            newest.update({int(m.group(1)): v for m in map(_BUCKET.search, self._children(self._path(v))) if m})
-        return newest
+    def _manifest_path(self, version: int) -> str:
+        return f"{self.root}/manifest/version={version}"
+
+    def manifest(self) -> Manifest | None:
+        """The newest commit."""
+        for version in reversed(self._numbers(f"{self.root}/manifest")):
+            fs, done = self._fs(f"{self._manifest_path(version)}/_SUCCESS")
+            if fs.exists(done):
+                row = self.spark.read.schema("version int, buckets int, fields string, current string").json(self._manifest_path(version)).first()
+                return Manifest(row["version"], row["buckets"], StructType.fromJson(json.loads(row["fields"])),
+                                {bucket: held for bucket, held in json.loads(row["current"])})
+        return None
+
+    def _commit(self, made: Manifest) -> None:
+        frame = self.spark.createDataFrame(made.rows(), "version int, buckets int, fields string, current string")
+        frame.coalesce(1).write.json(self._manifest_path(made.version))
+        for version in self._numbers(f"{self.root}/manifest")[:-KEPT_MANIFESTS]:
+            self._remove(self._manifest_path(version))
 
     # --- reading and writing --------------------------------------------------
     def exists(self) -> bool:
-        return bool(self._current())
+        return self.manifest() is not None
 
-    def _read_buckets(self, wanted: dict[int, int]) -> DataFrame:
-        paths = [f"{self._path(v)}/{BUCKET}={b}" for b, v in sorted(wanted.items())]
-        return self.spark.read.option("basePath", self.root).parquet(*paths)
+    def _read_buckets(self, schema: StructType, wanted: dict[int, int]) -> DataFrame:
+        """Rows of (bucket, version) copies by the stored columns; a column that a copy lacks is NULL."""
+        paths = [f"{self._data(v)}/{BUCKET}={b}" for b, v in sorted(wanted.items())]
+        full = StructType([*schema.fields, StructField(VERSION, IntegerType()), StructField(BUCKET, IntegerType())])
+        return self.spark.read.schema(full).option("basePath", self.root).parquet(*paths)
 
     def read(self) -> DataFrame:
-        return self._read_buckets(self._current()).drop(VERSION, BUCKET)
+        held = self.manifest()
+        if held is None:
+            raise LookupError(f"no committed table in {self.root}")
+        return self._read_buckets(held.schema, held.current).drop(VERSION, BUCKET)
 
     def _bucketed(self, df: DataFrame) -> DataFrame:
         return df.withColumn(BUCKET, F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int"))
 
-    def merge(self, batch: DataFrame, newest_by: str | None = None, keep_null_keys: bool = False) -> list[int]:
+    def _columns(self, batch: DataFrame, held: Manifest | None, widen: bool) -> StructType:
+        """The table's columns after this batch; raises if the batch does not fit."""
+        if held is None:
+            return batch.schema
+        if held.buckets != self.buckets:
+            raise ValueError(f"the table has {held.buckets} buckets, not {self.buckets}")
+        old = {f.name: f for f in held.schema}
+        wrong = [f.name for f in batch.schema if f.name in old and f.dataType != old[f.name].dataType]
+        new = [f for f in batch.schema if f.name not in old]
+        missing = [name for name in old if name not in batch.columns]
+        if wrong or (new or missing) and not widen:
+            raise ValueError(f"columns differ from the table's: types {wrong}, new {[f.name for f in new]}, missing {missing}")
+        return StructType([*held.schema.fields, *new])
+
+    def merge(self, batch: DataFrame, newest_by: str | None = None, keep_null_keys: bool = False, widen: bool = False) -> list[int]:
         """Replace rows whose key the batch holds, add the others. Returns the touched buckets.
 
         The batch must hold one row per key, unless ``newest_by`` names a version
         column: then the newest row of each key wins, so late older rows and
         repeated batches change nothing. A NULL key matches nothing, so such a row
-        would be added again by every run; it is left out unless asked for.
+        would be added again by every run; it is left out unless asked for. The batch must have the table's columns; with
+        ``widen`` new columns join the table, NULL in older rows, and columns that the batch lacks are NULL in its rows.
         """
+        held = self.manifest()
+        schema = self._columns(batch, held, widen)
+        whole = batch.withColumns({f.name: F.lit(None).cast(f.dataType) for f in schema if f.name not in batch.columns}).select(*schema.names)
         # read twice and must be the same rows both times: a bucket missed here would lose its old rows
-        source = durable(self._bucketed(batch if keep_null_keys else batch.where(F.col(self.key).isNotNull())))
+        source = durable(self._bucketed(whole if keep_null_keys else whole.where(F.col(self.key).isNotNull())))
         touched = [r[0] for r in source.select(BUCKET).distinct().collect()]    # at most ``buckets`` numbers
         if not touched:
             return []
-        current = {b: v for b, v in self._current().items() if b in set(touched)}
-        old = self._read_buckets(current).drop(VERSION) if current else None
+        before = held.current if held else {}
+        current = {b: v for b, v in before.items() if b in set(touched)}
+        old = self._read_buckets(schema, current).drop(VERSION) if current else None
         if newest_by:
             versions = source if old is None else old.unionByName(source)
             merged = latest_per_key(versions, [BUCKET, self.key], newest_by)
@@ -90,6 +142,16 @@ class UpsertTable:
             merged = old.join(source.select(BUCKET, self.key), [BUCKET, self.key], "left_anti").unionByName(source)
         else:
             merged = source
-        version = max([int(m.group(1)) for m in map(_VERSION.search, self._children(self.root)) if m], default=0) + 1
-        merged.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(self._path(version))
+        version = max([*self._numbers(self.root), *self._numbers(f"{self.root}/manifest")], default=0) + 1
+        merged.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(self._data(version))
+        self._commit(Manifest(version, self.buckets, StructType([StructField(f.name, f.dataType) for f in schema]),
+                              before | dict.fromkeys(touched, version)))
         return sorted(touched)
+
+    def vacuum(self) -> list[int]:
+        """Remove versions that the newest manifest does not name; readers of older manifests must be done. Returns the removed ones."""
+        held = self.manifest()
+        gone = [v for v in self._numbers(self.root) if held and v < held.version and v not in set(held.current.values())]
+        for version in gone:
+            self._remove(self._data(version))
+        return gone

@@ -7,6 +7,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from medalyst.operators import ordered, quantiles
+from medalyst.operators.reshape import month_grid, step_grid
+from medalyst.plans.contest import season_boundaries
+from medalyst.plans.registrations import box_stats
 
 
 @pytest.fixture(scope="module")
@@ -102,3 +105,21 @@ def test_value_bins_keep_ties_together_and_merge_equal_edges(spark):
 def test_rank_bins_leave_missing_values_out(spark, rows):
     df = spark.createDataFrame([(1, None), (2, 1.0), (3, 2.0)], "id int, v double")
     assert rows(quantiles.with_rank_bins(df, "v", ["id"], 5, "bin"), "id", "bin") == [(1, None), (2, 1), (3, 5)]
+
+
+def test_grids_keep_a_null_key(spark, rows):
+    df = spark.sql("SELECT * FROM VALUES (NULL, DATE'2024-01-01', 7), (NULL, DATE'2024-03-01', 8), ('a', DATE'2024-01-01', 1) AS t(k, m, v)")
+    assert rows(month_grid(df, ["k"], "m", "v"), "k", "v") == [("a", 1), (None, 0), (None, 7), (None, 8)]
+    steps = spark.createDataFrame([(None, 0, 5), (None, 2, 6)], "k string, s int, v int")
+    assert rows(step_grid(steps, ["k"], "s", "v"), "v") == [(0,), (5,), (6,)]
+
+
+def test_group_reports_keep_a_null_group(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 2.0)], "g string, v double")
+    assert {r["g"]: r["median"] for r in box_stats(df, "g", "v").collect()} == {None: 2.0, "a": 2.0}
+
+
+def test_seasons_without_boundaries_stay(spark, rows):
+    matches = spark.createDataFrame([(1, "x"), (2, "y")], "id int, season string")
+    balls = spark.createDataFrame([(1, 4), (1, 6), (2, 1)], "id int, batsman_runs int")
+    assert rows(season_boundaries(matches, balls), "season", "fours", "sixes", "boundary_runs") == [("x", 1, 1, 10), ("y", 0, 0, 0)]

@@ -77,6 +77,41 @@ def test_upsert_writes_only_touched_buckets_and_ignores_failed_versions(spark):
     assert t.merge(spark.createDataFrame([(5, 2)], "k long, v int")) and t.read().agg(F.sum("v")).first()[0] == 2
 
 
+def test_upsert_checks_columns_and_buckets(spark, rows):
+    root = workspace(spark, "up")
+    t = UpsertTable(spark, root, "k", buckets=8)
+    t.merge(spark.range(20).select(F.col("id").alias("k"), F.lit("x").alias("a")))
+    new = spark.createDataFrame([(3, "y", 1), (400, "z", 2)], "k long, a string, b int")
+    with pytest.raises(ValueError, match="new"):
+        t.merge(new)
+    with pytest.raises(ValueError, match="missing"):
+        t.merge(spark.createDataFrame([(3,)], "k long"))
+    with pytest.raises(ValueError, match="types"):
+        t.merge(spark.createDataFrame([(3, 1)], "k long, a int"))
+    with pytest.raises(ValueError, match="8 buckets"):
+        UpsertTable(spark, root, "k", buckets=64).merge(new)
+    t.merge(new, widen=True)
+    assert t.read().columns == ["k", "a", "b"] and t.read().count() == 21
+    assert rows(t.read().where("k IN (3, 4, 400)")) == [(3, "y", 1), (4, "x", None), (400, "z", 2)]
+    t.merge(spark.createDataFrame([(4, 9)], "k long, b int"), widen=True)
+    assert rows(t.read().where("k = 4")) == [(4, None, 9)]
+
+
+def test_many_merges_keep_few_manifests_and_vacuum(spark):
+    t = UpsertTable(spark, workspace(spark, "up"), "k", buckets=2)
+    for i in range(25):
+        t.merge(spark.createDataFrame([(i % 3, i)], "k long, v int"))
+    assert len(t._numbers(f"{t.root}/manifest")) == 20
+    assert t.read().agg(F.sum("v")).first()[0] == 22 + 23 + 24
+    assert len(t.vacuum()) >= 23 and t.vacuum() == [] and t.read().count() == 3
+
+
+def test_text_clusters_do_not_stop_at_a_prefix(spark):
+    df = spark.range(5000).select(F.concat(F.lit("ORD-000000000"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("a"), F.lit(1).alias("b"))
+    cells = with_cluster_value(df, ["a", "b"]).groupBy("_z").count()
+    assert cells.count() > 30 and cells.agg(F.max("count")).first()[0] < 500
+
+
 def test_clustered_files_are_narrow_in_both_columns(spark):
     path = workspace(spark, "z")
     df = spark.range(20_000).select((F.col("id") * 7919 % 1000).alias("a"), F.concat(F.lit("n"), F.lpad((F.col("id") * 104729 % 1000).cast("string"), 3, "0")).alias("b"))
