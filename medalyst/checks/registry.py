@@ -13,7 +13,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _ORACLES: dict[str, str] = {}
 
-MODULES = ("io", "relational", "quality", "delivery", "customers", "subscribers", "contest",
+MODULES = ("io", "relational", "quality", "delivery", "silver", "customers", "subscribers", "contest",
            "registrations", "equipment", "statistics", "learning", "series", "streams")
 
 
