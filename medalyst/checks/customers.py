@@ -89,15 +89,17 @@ def _(t):
 
 def _rfm(t):
     from medalyst.functions.columns import row_total
+    from medalyst.operators.cleaning import fill_with_mean
     base = b.customers(t).select("id", "recency_days", row_total(b.CHANNELS).alias("frequency"), F.round(row_total(b.SPEND), 2).alias("monetary"))
-    return p.rfm_scores(base.where("recency_days IS NOT NULL"))
+    return p.rfm_scores(fill_with_mean(base, ["recency_days"]))
 
 
 _RFM = f"""SELECT id, recency_days, frequency, monetary, CASE WHEN recency_days <= a THEN 5 WHEN recency_days <= b THEN 4 WHEN recency_days <= c THEN 3 WHEN recency_days <= d THEN 2 ELSE 1 END AS r_score,
     CAST(GREATEST(1, CEIL((ROW_NUMBER() OVER (ORDER BY frequency, id) - 1) * 5.0 / (COUNT(*) OVER () - 1))) AS INTEGER) AS f_score,
     CAST(GREATEST(1, CEIL((ROW_NUMBER() OVER (ORDER BY monetary, id) - 1) * 5.0 / (COUNT(*) OVER () - 1))) AS INTEGER) AS m_score FROM base,
     (SELECT quantile_cont(recency_days, 0.2) AS a, quantile_cont(recency_days, 0.4) AS b, quantile_cont(recency_days, 0.6) AS c, quantile_cont(recency_days, 0.8) AS d FROM base)"""
-_RFM_VIEWS = dict(base=f"SELECT id, recency_days, {_BUYS} AS frequency, {half_up(_ALL)} AS monetary FROM customers WHERE recency_days IS NOT NULL", scored=_RFM,
+_RFM_VIEWS = dict(base=f"""SELECT id, COALESCE(CAST(recency_days AS DOUBLE), (SELECT AVG(recency_days) FROM customers)) AS recency_days, {_BUYS} AS frequency,
+    {half_up(_ALL)} AS monetary FROM customers""", scored=_RFM,
                   labelled="""SELECT *, CAST(r_score AS VARCHAR) || f_score || m_score AS rfm_score FROM scored""",
                   final="""SELECT *, CASE WHEN rfm_score >= '555' THEN 'Champions' WHEN rfm_score >= '444' THEN 'Loyal Customers' WHEN rfm_score >= '344' THEN 'Potential Loyalists'
                   WHEN rfm_score >= '244' THEN 'Needs Attention' WHEN rfm_score >= '144' THEN 'At Risk' ELSE 'Lost Customers' END AS segment FROM labelled""")

@@ -29,21 +29,21 @@ def _vectors(t):
 
 @query("m02_kmeans_by_silhouette")
 def _(t):
-    model, _scores = ml.best_kmeans(_vectors(t), range(2, 6))
+    model, _scores = ml.best_kmeans(_vectors(t), range(2, 11))
     return ml.assigned(model, _vectors(t)).groupBy("cluster").agg(F.count(F.lit(1)).alias("members"))
 
 
 @query("m02_silhouette_by_k")
 def _(t):
     scaled = durable(ml.scaled_features(b.customers(t), _FEATURES).select("id", "features"))
-    scores = ml.silhouettes(scaled, range(2, 6))
+    scores = ml.silhouettes(scaled, range(2, 11))
     return t.spark.createDataFrame([(k, float(v)) for k, v in scores.items()], "k int, silhouette double")
 
 
 @query("m03_kmeans_chosen_on_sample")
 def _(t):
     scaled = durable(ml.scaled_features(b.engagement(t), ["watch_mins", "plan_price"]))
-    model, _scores = ml.best_kmeans(scaled, range(2, 6), sample=0.3)
+    model, _scores = ml.best_kmeans(scaled, range(2, 6), sample=0.1)
     return ml.assigned(model, scaled).groupBy("cluster", "platform").agg(F.count(F.lit(1)).alias("users"), F.round(F.avg("watch_mins"), 2).alias("mean_watch"))
 
 

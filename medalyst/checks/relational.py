@@ -226,23 +226,31 @@ def _(t):
         "o_orderkey", "l_linenumber", "l_quantity", "c_name")
 
 
-@query("j03_inner_join", "SELECT l_orderkey, l_linenumber, p_brand, p_type FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size < 10")
+@query("j03_inner_join", "SELECT l_orderkey, l_linenumber, p_brand, p_type FROM lineitem JOIN part ON l_partkey = p_partkey")
 def _(t):
-    return t.lineitem.join(t.part.where("p_size < 10"), F.expr("l_partkey = p_partkey")).select("l_orderkey", "l_linenumber", "p_brand", "p_type")
+    return t.lineitem.join(t.part, F.expr("l_partkey = p_partkey")).select("l_orderkey", "l_linenumber", "p_brand", "p_type")
 
 
-@query("j04_derived_key_join", sql(f"""SELECT s.shift_id, s.rider_id, d.delivery_id FROM live_shifts s JOIN live_deliveries d
-    ON s.rider_id = d.rider_id AND CAST(s.shift_start_ts AS DATE) = d.delivery_date""", "live_shifts", "live_deliveries"))
+@query("j04_derived_key_join", sql(f"""SELECT rider_id, delivery_date, shifts, deliveries FROM
+    (SELECT rider_id, CAST(shift_start_ts AS DATE) AS delivery_date, {n()} AS shifts FROM live_shifts GROUP BY 1, 2)
+    JOIN (SELECT rider_id, delivery_date, {n()} AS deliveries FROM live_deliveries GROUP BY 1, 2) USING (rider_id, delivery_date)""", "live_shifts", "live_deliveries"))
 def _(t):
-    shifts = b.live_shifts(t).select("shift_id", "rider_id", F.to_date("shift_start_ts").alias("delivery_date"))
-    return shifts.join(b.live_deliveries(t), ["rider_id", "delivery_date"]).select("shift_id", "rider_id", "delivery_id")
+    # both sides are one row per rider and day before they meet
+    days = ["rider_id", "delivery_date"]
+    shifts = b.live_shifts(t).withColumn("delivery_date", F.to_date("shift_start_ts")).groupBy(*days).agg(F.count(F.lit(1)).alias("shifts"))
+    return shifts.join(b.live_deliveries(t).groupBy(*days).agg(F.count(F.lit(1)).alias("deliveries")), days)
 
 
-@query("j05_renamed_multi_key_join", sql("""SELECT o.order_id, s.shift_id FROM live_orders o JOIN live_shifts s ON o.city = s.city
-    AND o.order_date = CAST(s.actual_login_ts AS DATE) AND o.order_hour = hour(s.actual_login_ts)""", "live_orders", "live_shifts"))
+@query("j05_renamed_multi_key_join", sql(f"""SELECT o.city, o.order_date, o.order_hour, o.orders, s.logins FROM
+    (SELECT city, order_date, order_hour, {n()} AS orders FROM live_orders GROUP BY 1, 2, 3) o
+    JOIN (SELECT city, CAST(actual_login_ts AS DATE) AS d, CAST(hour(actual_login_ts) AS INTEGER) AS h, {n()} AS logins FROM live_shifts GROUP BY 1, 2, 3) s
+    ON o.city = s.city AND o.order_date = s.d AND o.order_hour = s.h""", "live_orders", "live_shifts"))
 def _(t):
-    logins = b.live_shifts(t).select("shift_id", "city", F.to_date("actual_login_ts").alias("order_date"), F.hour("actual_login_ts").alias("order_hour"))
-    return b.live_orders(t).join(logins, ["city", "order_date", "order_hour"]).select("order_id", "shift_id")
+    # both sides are one row per city and hour before they meet
+    hours = ["city", "order_date", "order_hour"]
+    named = b.live_shifts(t).withColumns({"order_date": F.to_date("actual_login_ts"), "order_hour": F.hour("actual_login_ts")})
+    return b.live_orders(t).groupBy(*hours).agg(F.count(F.lit(1)).alias("orders")).join(
+        named.groupBy(*hours).agg(F.count(F.lit(1)).alias("logins")), hours)
 
 
 @query("j06_join_of_aggregates", f"""SELECT k AS supplier, a.n AS lines, b.value AS late_value FROM (SELECT l_suppkey AS k, {n()} AS n FROM lineitem GROUP BY 1) a

@@ -14,15 +14,23 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from medalyst.operators.cleaning import fill_with_mean
 from medalyst.operators.ordered import nearest_marked
 
 
 def scaled_features(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
-    """Standardised feature vector; rows with a missing feature are left out."""
-    raw = VectorAssembler(inputCols=list(cols), outputCol="_raw", handleInvalid="skip").transform(df)
+    """Standardised feature vector; a missing value counts as its column's mean, so every row stays."""
+    raw = _assembled(df, cols, "_raw")
     return StandardScaler(inputCol="_raw", outputCol=out, withMean=True, withStd=True).fit(raw).transform(raw).drop("_raw")
 
 
+def _assembled(df: DataFrame, cols: Sequence[str], out: str) -> DataFrame:
+    filled = [f"_filled{i}" for i in range(len(cols))]
+    doubles = df.withColumns({f: F.col(c).cast("double") for f, c in zip(filled, cols)})
+    complete = fill_with_mean(doubles, filled).fillna(0.0, subset=filled)      # a column without any value is constant
+    return VectorAssembler(inputCols=filled, outputCol=out).transform(complete).drop(*filled)
+
+
 def silhouettes(vectors: DataFrame, ks: Sequence[int], features: str = "features", seed: int = 42) -> dict[int, float]:
     """Mean silhouette of a clustering for each k."""
     scorer = ClusteringEvaluator(featuresCol=features, metricName="silhouette")
@@ -119,8 +127,7 @@ def matched_effect(scored: DataFrame, score: str, treated: str, outcome: str) ->
 
 def propensity_effect(df: DataFrame, treated: str, outcome: str, covariates: Sequence[str]) -> DataFrame:
     """Logistic propensity of treatment from numeric covariates, then ``matched_effect`` on it."""
-    ready = VectorAssembler(inputCols=list(covariates), outputCol="features", handleInvalid="skip").transform(
-        df.withColumn(treated, F.col(treated).cast("double")))
+    ready = _assembled(df.withColumn(treated, F.col(treated).cast("double")), covariates, "features")
     model = LogisticRegression(labelCol=treated, featuresCol="features", maxIter=50).fit(ready)
     scored = model.transform(ready).withColumn("score", F.round(vector_to_array("probability")[1], 9))
     return matched_effect(scored, "score", treated, outcome)
