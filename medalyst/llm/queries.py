@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from medalyst.llm import bpe, decontaminate, edit_fingerprint, html_mincut, neardup, pii_crf, quality_cnn, rans, secrets, sharding
+from medalyst.llm import bpe, decontaminate, edit_fingerprint, html_mincut, neardup, oracle, pii_crf, quality_cnn, rans, secrets, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,4 +80,7 @@ QUERIES: dict[str, Query] = {
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_near_duplicates": oracle.NEAR_DUPLICATES,
+    "op10_secret_ownership": oracle.secret_ownership(),
+}
