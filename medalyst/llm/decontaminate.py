@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medalyst.llm.arrow import slices, with_outputs
+from medalyst.llm.arrow import map_batches, slices, with_outputs
 from medalyst.llm.shingles import PUNCTUATION, windows, word_hashes
 
 SHORTEST, LONGEST = 3, 8
@@ -185,7 +185,7 @@ def word_counts(docs: DataFrame, text: str, wanted: np.ndarray) -> tuple[dict[in
         yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(counts[some], total))], names=["place", "n"])
 
     # one row for each word of `wanted`, and the total
-    rows = source.mapInArrow(run, "place bigint, n bigint").groupBy("place").agg(F.sum("n").alias("n")).collect()
+    rows = map_batches(source, run, "place bigint, n bigint").groupBy("place").agg(F.sum("n").alias("n")).collect()
     counts = {row["place"]: float(row["n"]) for row in rows}
     return {int(wanted[place]): n for place, n in counts.items() if place >= 0}, counts.get(-1, 0.0)
 

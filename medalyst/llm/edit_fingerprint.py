@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from medalyst.llm.arrow import slices, with_outputs
+from medalyst.llm.arrow import map_batches, slices, with_outputs
 from medalyst.llm.shingles import mixed
 from medalyst.session import shuffle_width
 
@@ -202,4 +202,4 @@ def edited_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
                         yield made(names.slice(0, len(texts) - 1), texts[:-1], texts[1:], prints)
                     held = (number, names.slice(len(texts) - 1), texts[-1], prints[-1:])
 
-    return in_order(docs, doc_id, text).select("slice", "seam", "doc_id", "body").mapInArrow(run, schema)
+    return map_batches(in_order(docs, doc_id, text).select("slice", "seam", "doc_id", "body"), run, schema)
