@@ -5,9 +5,9 @@ collection, so ``HALVES ** 2`` keys come from ``2 * HALVES * HALF`` minhashes in
 miss each other in all keys with a chance of ``2 * (1 - 0.75 ** HALF) ** HALVES`` at most (2e-5).
 
 Steps: equal sets become one node; half-keys and keys that one node has alone are left out; the nodes of a key are compared with its smallest
-node, and confirmed links give components; keys that still hold several components are compared pair by pair across components, in
-blocks of bounded size and by sketches, so no pair list of a group is ever made; what the sketches leave is confirmed on the full sets. A sketch
-drops a pair of similarity 3/4 with a chance of about 3e-6; nothing else is dropped.
+node, and confirmed links give components; nodes of keys that still hold several components are chained into families by their sketches, in blocks
+of bounded size; inside a family, blocks of full sets are compared across components and only links that join two of them are given out, so
+no pair list of a group is ever made or shuffled. A sketch drops a pair of similarity 3/4 with a chance of about 3e-6; nothing else is dropped.
 
 Defined cases: NULL text, empty text and text without words have an empty set (``n_shingles`` 0) and are linked with nothing; a text of fewer
 words than a shingle is one shingle; a NULL id is linked with nothing (``component_id`` NULL, ``kept`` true); rows that share an id are one document
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medalyst.llm.arrow import with_outputs
+from medalyst.llm.arrow import map_batches, with_outputs
 from medalyst.llm.shingles import WORDS, mixed, shingle_sets
 from medalyst.session import durable
 
@@ -32,6 +32,8 @@ HALF, HALVES = 2, 14
 SKETCH = 128                  # minhashes of the sketch, a byte each; the first 2 * HALVES * HALF make the half-keys
 LEAST_EQUAL = 74              # of SKETCH: 4.5 standard deviations below similarity 3/4
 BLOCK = 512                   # nodes compared with each other in one step
+FAMILY_SHINGLES = 1 << 20     # in one block of a family
+SLICE = 1 << 20               # bytes of text hashed at once
 BROADCAST_IDS = 1_000_000     # ids of 8 bytes; beyond it, a shuffled join
 _SALT = mixed(np.arange(1, SKETCH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _ODD = mixed(_SALT) | np.uint64(1)
@@ -69,7 +71,7 @@ def marks(docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
                 [x if ok else None for x, ok in zip(keys.view(np.int64), some, strict=True)],
                 [x.tobytes() if ok else None for x, ok in zip(sketch, some, strict=True)]]
 
-    return with_outputs(source, "body", "n_shingles bigint, set_key binary, halves array<bigint>, sketch binary", compute, drop=["body"])
+    return with_outputs(source, "body", "n_shingles bigint, set_key binary, halves array<bigint>, sketch binary", compute, drop=["body"], size=SLICE)
 
 
 def table_keys(nodes: DataFrame) -> DataFrame:
@@ -93,29 +95,40 @@ def sketched_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SKETCH) for c in ("sketch_a", "sketch_b"))
             yield batch.select(["a", "b"]).filter(pa.array((one == two).sum(axis=1) >= LEAST_EQUAL))
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sketch_a", "sketch_b").mapInArrow(run, "a bigint, b bigint")
+    return map_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "sketch_a", "sketch_b"), run, "a bigint, b bigint")
+
+
+def full_sets(wanted: DataFrame, docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
+    """``node, shingles`` for the rows of ``docs`` named in ``wanted`` (node), read again from their texts."""
+    named = durable(wanted)
+    few = named.count() <= BROADCAST_IDS
+    texts = docs.select(F.col(doc_id).cast("bigint").alias("node"), F.coalesce(F.col(text), F.lit("")).alias("body"))
+    held = texts.join(F.broadcast(named) if few else named, "node", "left_semi")
+    return durable(with_outputs(held, "body", "shingles binary", lambda rows: [[s.tobytes() for s in shingle_sets(rows, words)]], drop=["body"],
+                                size=SLICE))
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, words: int, numerator: int, denominator: int) -> DataFrame:
     """The pairs whose full shingle sets are similar enough: ``denominator * |A and B| >= numerator * |A or B|``."""
-    wanted = durable(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-    few = wanted.count() <= BROADCAST_IDS
-    texts = docs.select(F.col(doc_id).cast("bigint").alias("node"), F.coalesce(F.col(text), F.lit("")).alias("body"))
-    held = texts.join(F.broadcast(wanted) if few else wanted, "node", "left_semi")
-    sets = durable(with_outputs(held, "body", "shingles binary", lambda rows: [[s.tobytes() for s in shingle_sets(rows, words)]], drop=["body"]))
+    sets = full_sets(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), docs, doc_id, text, words)
     one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
     two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for i in range(batch.num_rows):
-                a, b = (np.frombuffer(batch.column(c)[i].as_buffer(), np.uint64) for c in ("left", "right"))
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(denominator * both >= numerator * (len(a) + len(b) - both))
+            keep = [similar(*(np.frombuffer(batch.column(c)[i].as_buffer(), np.uint64) for c in ("left", "right")), numerator, denominator)
+                    for i in range(batch.num_rows)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "left", "right").mapInArrow(run, "a bigint, b bigint")
+    return map_batches(pairs.join(one, "a").join(two, "b").select("a", "b", "left", "right"), run, "a bigint, b bigint")
+
+
+def similar(a: np.ndarray, b: np.ndarray, numerator: int, denominator: int) -> bool:
+    """Whether two sorted sets are similar enough; sizes too far apart need no look."""
+    if denominator * min(len(a), len(b)) < numerator * max(len(a), len(b)):
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return denominator * both >= numerator * (len(a) + len(b) - both)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -123,6 +136,7 @@ def components(links: DataFrame) -> DataFrame:
 
     Each round takes the smallest label among a node and its neighbours, then that label's own label, so distances shrink by half.
     """
+    links = durable(links)      # read in both directions, so made once
     both = durable(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = durable(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("component"))
                      .select(F.col("a").alias("node"), "component"))
@@ -137,42 +151,69 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def crossing_pairs(keyed: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Distinct (a, b) pairs of one key but two components that the sketches do not rule out.
+def blocked(members: DataFrame, sizes: DataFrame, group: str) -> DataFrame:
+    """Each member once for each pair of blocks of its group that its own block is in: columns ``low``, ``high``, ``block``.
+
+    ``sizes`` has a group's number of ``blocks``; groups without one are left out. Rows of a pair of blocks lie together.
+    """
+    cut = members.join(sizes, group).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    spread = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    paired = spread.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("other")
+    return paired.repartition(group, "low", "high").sortWithinPartitions(group, "low", "high")
+
+
+def _sides(low: int, high: int, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    every = np.arange(len(block))
+    return (every, every) if low == high else (np.flatnonzero(block == low), np.flatnonzero(block == high))
+
+
+def _near(sketch: np.ndarray, left: np.ndarray, right: np.ndarray, component: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (i, j) of different components, one from each side, that their sketches do not rule out; each pair once."""
+    found_i, found_j = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for at in range(0, len(left), 64):
+        part = left[at:at + 64]
+        i, j = np.nonzero(component[part][:, None] != component[right])
+        i, j = part[i], right[j]
+        if left is right:
+            i, j = i[i < j], j[i < j]
+        ok = (sketch[i] == sketch[j]).sum(axis=1) >= LEAST_EQUAL
+        found_i.append(i[ok])
+        found_j.append(j[ok])
+    return np.concatenate(found_i), np.concatenate(found_j)
+
+
+def families(keyed: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """``component, family``: components that keys and sketches chain together, by the smallest of them.
 
-    A key with many nodes is cut into blocks of about ``BLOCK``, and each pair of blocks is compared by itself.
+    Only keys that still hold several components are looked at. A pair of blocks yields a star for each chain of components in it, not its pairs.
     """
     named = keyed.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    open_keys = (named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"))
-                 .where("low <> high").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-    sketches = nodes.select("node", "sketch")
-    members = named.join(open_keys, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    spread = members.select("key", "node", "component", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    laid = (spread.select("key", "node", "component", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-            .join(sketches, "node").select("key", "low", "high", "block", "node", "component", "sketch")
-            .repartition("key", "low", "high").sortWithinPartitions("key", "low", "high"))
-
-    def compare(run: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    open_keys = (named.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("n"))
+                 .where("least <> most").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
+    laid = (blocked(named.join(nodes.select("node", "sketch"), "node"), open_keys, "key")
+            .select("key", "low", "high", "block", "node", "component", "sketch"))
+
+    def stars(run: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         low, high, block, node, component, sketch = run
-        left, right = (np.arange(len(node)),) * 2 if low[0] == high[0] else (np.flatnonzero(block == low[0]), np.flatnonzero(block == high[0]))
-        apart = (component[left][:, None] != component[right]) & ((node[left][:, None] < node[right]) if low[0] == high[0] else True)
-        i, j = np.nonzero(apart)
-        if len(i):
-            near = np.zeros(len(i), bool)
-            for at in range(0, len(i), 65536):
-                part = slice(at, at + 65536)
-                near[part] = (sketch[left[i[part]]] == sketch[right[j[part]]]).sum(axis=1) >= LEAST_EQUAL
-            i, j = i[near], j[near]
-        return node[left[i]], node[right[j]]
+        i, j = _near(sketch, *_sides(low[0], high[0], block), component)
+        names, place = np.unique(component, return_inverse=True)
+        a, b = np.unique(np.stack([place[i], place[j]]), axis=1)
+        label = np.arange(len(names))
+        while len(a):
+            before = label.copy()
+            np.minimum.at(label, a, label[b])
+            np.minimum.at(label, b, label[a])
+            if (before == label).all():
+                break
+        moved = np.flatnonzero(label != np.arange(len(names)))
+        return names[label[moved]], names[moved]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[np.ndarray] | None = None
 
-        def pairs(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
-            found = [compare(part) for part in parts]
-            a, b = (np.concatenate([x[i] for x in found]) for i in (0, 1))
-            both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0) if len(a) else np.empty((0, 2), np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+        def links(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
+            found = [stars(part) for part in parts]
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[i] for x in found])) for i in (0, 1)], names=["a", "b"])
 
         for batch in batches:
             now = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "low", "high", "block", "node", "component")]
@@ -181,14 +222,60 @@ def crossing_pairs(keyed: DataFrame, nodes: DataFrame, labels: DataFrame) -> Dat
                 now = [np.concatenate(x) for x in zip(rest, now, strict=True)]
             cut = np.flatnonzero((np.diff(now[0]) != 0) | (np.diff(now[1]) != 0) | (np.diff(now[2]) != 0)) + 1
             edges = [0, *cut.tolist()]
-            ready = [[x[s:e] for x in now[1:]] for s, e in zip(edges, edges[1:], strict=False)]
+            if len(edges) > 1:
+                yield links([[x[s:e] for x in now[1:]] for s, e in zip(edges, edges[1:], strict=False)])
             rest = [x[edges[-1]:] for x in now]
-            if ready:
-                yield pairs(ready)
         if rest is not None and len(rest[0]):
-            yield pairs([rest[1:]])
+            yield links([rest[1:]])
+
+    return components(map_batches(laid, run, "a bigint, b bigint").distinct()).select(F.col("node").alias("component"), F.col("component").alias("family"))
+
+
+def crossing_links(family: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFrame, doc_id: str, text: str, words: int,
+                   numerator: int, denominator: int) -> DataFrame:
+    """Confirmed (a, b) links between components inside a family; once two components are joined in a block, more links are not looked for."""
+    named = (nodes.select("node", "sketch", "n_shingles").join(labels, "node", "left")
+             .withColumn("component", F.coalesce("component", "node")))
+    sized = durable(named.join(family, "component").select("family", "node", "component", "sketch", "n_shingles"))
+    sets = full_sets(sized.select("node"), docs, doc_id, text, words)
+    sizes = (sized.groupBy("family").agg(F.greatest(F.sum("n_shingles") / FAMILY_SHINGLES, F.count(F.lit(1)) / BLOCK).alias("n"))
+             .select("family", F.ceil("n").cast("int").alias("blocks")))
+    laid = (blocked(sized.drop("n_shingles").join(sets, "node"), sizes, "family")
+            .select("family", "low", "high", "block", "node", "component", "sketch", "shingles"))
+
+    def links(rows: list[dict]) -> pa.RecordBatch:
+        node, component, block = (np.array([row[c] for row in rows], np.int64) for c in ("node", "component", "block"))
+        sketch = np.frombuffer(b"".join([row["sketch"] for row in rows]), np.uint8).reshape(-1, SKETCH)
+        held = [np.frombuffer(row["shingles"], np.uint64) for row in rows]
+        i, j = _near(sketch, *_sides(rows[0]["low"], rows[0]["high"], block), component)
+        above = {c: c for c in component.tolist()}
+
+        def top(c: int) -> int:
+            while above[c] != c:
+                above[c] = c = above[above[c]]
+            return c
+
+        made = []
+        for x, y in zip(i.tolist(), j.tolist(), strict=True):
+            one, two = top(int(component[x])), top(int(component[y]))
+            if one != two and similar(held[x], held[y], numerator, denominator):
+                above[max(one, two)] = min(one, two)
+                made.append((int(node[x]), int(node[y])))
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in made], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[dict] = []
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
+                if rows and any(rows[0][c] != row[c] for c in ("family", "low", "high")):
+                    yield links(rows)
+                    rows = []
+                rows.append(row)
+        if rows:
+            yield links(rows)
 
-    return laid.mapInArrow(run, "a bigint, b bigint").distinct()
+    return map_batches(laid, run, "a bigint, b bigint")
 
 
 def one_document(marked: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -206,7 +293,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         raise ValueError("keys and sketches are set for a similarity of 3/4 or more")
     marked = durable(marks(docs.withColumn(doc_id, F.col(doc_id).cast("bigint")), doc_id, text, words))
     nodes = durable(marked.where("set_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_key")
-                    .agg(F.min("doc_id").alias("node"), F.first("halves").alias("halves"), F.first("sketch").alias("sketch")))
+                    .agg(F.min("doc_id").alias("node"), F.first("halves").alias("halves"), F.first("sketch").alias("sketch"),
+                         F.first("n_shingles").alias("n_shingles")))
     by_id = nodes.dropDuplicates(["node"])
     keys = table_keys(nodes)
     centres = keys.groupBy("key").agg(F.min("node").alias("centre"), F.max("node").alias("last")).where("centre <> last").select("key", "centre")
@@ -215,7 +303,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     stars = durable(sketched_pairs(keyed.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), by_id))
     first = durable(check(stars).union(one_document(marked, nodes)))
     labels = components(first)
-    later = check(durable(crossing_pairs(keyed.select("key", "node"), by_id, labels)))
+    family = families(keyed.select("key", "node"), by_id, labels)
+    later = durable(crossing_links(family, by_id, labels, docs, doc_id, text, words, numerator, denominator))
     return assigned(marked, nodes, components(first.union(later)))
 
 
