@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from medalyst.llm.arrow import slices, with_outputs
+from medalyst.llm.arrow import map_batches, slices
 from medalyst.llm.bpe import encode_cached
 from medalyst.session import durable, shuffle_width, workspace
 
@@ -121,12 +121,26 @@ def _library(path: str):
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True              # their strings in a text are ordinary text
 
+    sizes = np.zeros(tokenizer.get_vocab_size(), np.int64)         # a token's name has a character for each of its bytes
+    for name, number in tokenizer.get_vocab().items():
+        sizes[number] = len(name)
+
     def encode_units(units: list[str]) -> list[bytes]:
-        found = tokenizer.encode_batch_fast(units, add_special_tokens=False)
-        ids = [x.ids for x in found]
-        ends = np.cumsum([len(x) for x in ids]) * 4
-        flat = np.fromiter((i for x in ids for i in x), "<u4", int(ends[-1]) // 4 if len(ends) else 0).tobytes()
-        return [flat[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist(), strict=False)]
+        """Ids of each unit. Units of a space and visible ends go to the library as one text, whose ids are dealt out by their bytes."""
+        joined = [unit for unit in units if len(unit) > 1 and unit[0] == " " and not unit[1].isspace() and not unit[-1].isspace()]
+        made: dict[str, bytes] = {}
+        for at in range(0, len(joined), 4096):
+            parts = joined[at:at + 4096]
+            text = "".join(parts)
+            ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
+            ends = np.cumsum(list(map(len, parts) if text.isascii() else [len(part.encode()) for part in parts]))
+            cuts = (4 * (np.searchsorted(np.cumsum(sizes[ids]), ends) + 1)).tolist()
+            flat = ids.astype("<u4").tobytes()
+            made.update(zip(parts, [flat[a:b] for a, b in zip([0, *cuts], cuts, strict=False)], strict=True))
+        single = [unit for unit in units if unit not in made]
+        for unit, found in zip(single, tokenizer.encode_batch_fast(single, add_special_tokens=False), strict=True):
+            made[unit] = np.array(found.ids, "<u4").tobytes()
+        return [made[unit] for unit in units]
 
     return encode_units, {}
 
@@ -164,21 +178,29 @@ def tokens(docs: DataFrame, path: str, end_id: int, doc_id: str = "doc_id", text
         if number is not None:
             yield pa.RecordBatch.from_pylist([{"slice": number, "n": 0, "ids": counts.astype("<i8").tobytes()}], schema=arrow)
 
-    return ranged.mapInArrow(run, schema)
+    return map_batches(ranged, run, schema)
 
 
 def counted(laid: DataFrame) -> np.ndarray:
     """How often each id occurs; as many numbers as the vocabulary has ids."""
 
-    def spread(rows: list[bytes]) -> list[list]:
-        return [[np.frombuffer(x, "<i8").tolist() for x in rows]]
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(0, np.int64)
+        for batch in batches:
+            for row in batch.column("ids").to_pylist():
+                part = np.frombuffer(row, "<i8")
+                total = np.pad(total, (0, max(0, len(part) - len(total))))
+                total[:len(part)] += part
+        yield pa.RecordBatch.from_arrays([pa.array([total.astype("<i8").tobytes()], pa.binary())], names=["ids"])
 
     parts = laid.where(F.col("before").isNull()).select("ids")
-    rows = (with_outputs(parts, "ids", "counts array<bigint>", spread, drop=["ids"]).select(F.posexplode("counts").alias("id", "n"))
-            .where("n > 0").groupBy("id").agg(F.sum("n").alias("n")).collect())
-    out = np.zeros(max((row["id"] for row in rows), default=-1) + 1, np.int64)
+    # sums of sums: as many rows as the square root of the number of slices reach the driver, each as long as the vocabulary
+    few = max(1, int(np.sqrt(shuffle_width(laid.sparkSession))))
+    rows = map_batches(parts.repartition(few), add, "ids binary").collect()
+    out = np.zeros(max((len(row["ids"]) // 8 for row in rows), default=0), np.int64)
     for row in rows:
-        out[row["id"]] = row["n"]
+        part = np.frombuffer(row["ids"], "<i8")
+        out[:len(part)] += part
     return out
 
 
@@ -230,7 +252,7 @@ def write(docs: DataFrame, vocabulary: str, out: str, end_id: int = 2, doc_id: s
         if held_ids:
             yield block()
 
-    held.select("slice", "doc_id", "before", "ids").mapInArrow(run, schema).write.parquet(f"{out}/blocks")
+    map_batches(held.select("slice", "doc_id", "before", "ids"), run, schema).write.parquet(f"{out}/blocks")
     return freq
 
 
@@ -259,7 +281,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                     [pa.array(row["doc_ids"], arrow.field("doc_id").type), pa.array(row["start"] + starts),
                      pa.array([flat[4 * a:4 * b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], pa.binary())], schema=arrow)
 
-    return blocks.mapInArrow(run, schema)
+    return map_batches(blocks, run, schema)
 
 
 def round_trip(docs: DataFrame, vocabulary: str, end_id: int = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
