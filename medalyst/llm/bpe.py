@@ -12,6 +12,7 @@ so a long run of letters costs no quadratic matrix.
 from __future__ import annotations
 
 import base64
+import gc
 import heapq
 import re
 from collections.abc import Callable, Iterable, Iterator
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from medalyst.llm.arrow import with_outputs
 
 MATRIX_WIDTH = 256
-CACHED_UNITS = 400_000
+CACHED_UNITS = 250_000
 NO_PAIR = np.int32(2**31 - 1)
 _EMPTY = np.uint64(2**64 - 1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -207,12 +208,20 @@ def _cut_rows(ids: np.ndarray) -> list[bytes]:
 def encode_cached(texts: Iterable[str], cache: dict[str, bytes], encode_units: Callable[[list[str]], list[bytes]],
                   limit: int = CACHED_UNITS) -> list[bytes]:
     """Encode texts unit by unit; units not in ``cache`` are encoded together. The cache is emptied when it passes ``limit``."""
-    split = [units(text) for text in texts]
-    if len(cache) > limit:
-        cache.clear()
-    fresh = list({unit: None for parts in split for unit in parts if unit not in cache})
-    cache.update(zip(fresh, encode_units(fresh), strict=True))
-    return [b"".join([cache[unit] for unit in parts]) for parts in split]
+    collecting = gc.isenabled()
+    gc.disable()            # nothing here makes cycles, and collections would walk the cache again and again
+    try:
+        split = [units(text) for text in texts]
+        if len(cache) > limit:
+            cache.clear()
+        known = [list(map(cache.get, parts)) for parts in split]
+        fresh = list(dict.fromkeys([unit for parts, ids in zip(split, known, strict=True) for unit, x in zip(parts, ids, strict=True) if x is None]))
+        cache.update(zip(fresh, encode_units(fresh), strict=True))
+        return [b"".join([cache[unit] if x is None else x for unit, x in zip(parts, ids, strict=True)])
+                for parts, ids in zip(split, known, strict=True)]
+    finally:
+        if collecting:
+            gc.enable()
 
 
 @lru_cache(maxsize=2)
@@ -223,7 +232,8 @@ def vocabulary(path: str, pattern: str) -> ByteBpe:
 def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, ids``: the ids of each whole text as little-endian unsigned 32-bit integers."""
     source = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return with_outputs(source, "text", "ids binary", lambda texts: [vocabulary(path, pattern).encode(texts)], drop=["text"])
+    return with_outputs(source, "text", "ids binary", lambda texts: [vocabulary(path, pattern).encode(texts)], drop=["text"],
+                        size=1 << 21, done=lambda: vocabulary(path, pattern).cache.clear())
 
 
 def decode(tokens: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", ids: str = "ids") -> DataFrame:
