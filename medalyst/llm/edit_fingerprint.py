@@ -27,7 +27,7 @@ from pyspark.sql.types import StructType
 
 from medalyst.llm.arrow import map_batches, slices, with_outputs
 from medalyst.llm.shingles import mixed
-from medalyst.session import shuffle_width
+from medalyst.session import durable, shuffle_width
 
 WINDOW, CUT_EVERY, LONGEST = 4, 64, 256
 BANDS, SAMPLED, SLOTS = 4, 12, 32
@@ -133,6 +133,27 @@ def fingerprinted(docs: DataFrame, text: str = "text", out: str = "fingerprint")
     return with_outputs(docs, text, f"`{out}` string", compute, size=1 << 20)
 
 
+def near_pairs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = 0.75, band: int = 4) -> DataFrame:
+    """``a, b, likeness``: documents whose fingerprints agree in ``band`` minima that stand together, verified over all minima.
+
+    Each document meets the smallest id of each of its bands, so a band of any size gives one pair for each of its documents, not all pairs. Documents
+    without an id or with an empty text are in no pair.
+    """
+    prints = durable(fingerprinted(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("body")), "body", "print").select("id", "print")
+                     .where("id IS NOT NULL AND print <> ''").distinct())
+    minima = BANDS * SLOTS
+    cut = F.transform(F.sequence(F.lit(0), F.lit(minima // band - 1)), lambda i: F.substring(F.col("print"), i * 2 * band + 1, F.lit(2 * band)))
+    banded = prints.select("id", "print", F.posexplode(cut).alias("place", "value"))
+    heads = (banded.groupBy("place", "value").agg(F.min(F.struct("id", "print")).alias("head"), F.max("id").alias("last"))
+             .where("head.id <> last").select("place", "value", "head"))
+    pairs = (banded.join(heads, ["place", "value"]).where("id <> head.id")
+             .select(F.col("head.id").alias("a"), F.col("id").alias("b"), F.col("head.print").alias("x"), F.col("print").alias("y")).distinct())
+    same = F.size(F.filter(F.sequence(F.lit(0), F.lit(minima - 1)),
+                           lambda i: F.substring(F.col("x"), 2 * i + 1, F.lit(2)) == F.substring(F.col("y"), 2 * i + 1, F.lit(2))))
+    shared = F.greatest(F.lit(0.0), (same / minima - 1 / 256) / (1 - 1 / 256))
+    return pairs.select("a", "b", (2 * shared / (1 + shared)).alias("likeness")).where(F.col("likeness") >= least)
+
+
 def in_order(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """``slice, seam, order_id, doc_id, body``: slices of falling ids, each followed by a copy (``seam`` 1) of the next slice's first row.
 

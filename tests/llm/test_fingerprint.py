@@ -70,3 +70,13 @@ def test_equal_texts_have_equal_fingerprints(odd_docs):
     for r in rows:
         by_text.setdefault(r["text"] or "", set()).add(r["print"])
     assert all(len(v) == 1 for v in by_text.values()) and by_text[""] == {""}
+
+
+def test_near_pairs(make_docs, odd_docs, no_docs):
+    texts = {i: words(i, 300) for i in (1, 2, 3)}
+    texts |= {10: texts[1], 11: texts[1][:900] + "x" + texts[1][900:], 12: "", 13: None}
+    found = {(r["a"], r["b"]): r["likeness"] for r in edit_fingerprint.near_pairs(make_docs([(i, t, "en", "a") for i, t in texts.items()])).collect()}
+    assert found[1, 10] == 1 and abs(found[1, 11] - likeness_of(texts[1], texts[11])) < 1e-9
+    assert set(found) <= {(1, 10), (1, 11), (10, 11)}
+    assert {(r["a"], r["b"]) for r in edit_fingerprint.near_pairs(odd_docs).collect()} >= {(14, 15)}
+    assert edit_fingerprint.near_pairs(no_docs).collect() == []
