@@ -4,8 +4,8 @@ A text is cut where a hash of the last few characters says so, so an edit moves
 over each chunk: at every step it writes the character it stands on and then, by a random bit of the step and the character, stays or moves on.
 Two walks over chunks that differ by an edit soon stand on the same character again, so a small edit distance becomes a small Hamming
 distance between what the walks wrote. ``BANDS`` samples of ``SAMPLED`` steps are hashed; of each band's hashes, ``SLOTS`` minima over all chunks are kept.
-The share of equal minima estimates how many chunks two texts share; ``likeness`` turns it into the shared part of their length. ``near_pairs``
-finds candidates by equal groups of minima and verifies them by ``likeness``.
+The share of equal minima estimates how many chunks two texts share; ``likeness`` turns it into the shared part of their length. ``near_links``
+finds candidates by equal groups of minima and verifies them by ``likeness``; ``near_groups`` gives each document its component over these links.
 
 Defined cases: NULL text counts as empty; an empty text has the empty fingerprint, like only to another one; equal texts have equal fingerprints;
 an empty table gives an empty result; documents of equal id follow each other by text; NULL ids come last; other columns are ignored, whatever
@@ -15,7 +15,9 @@ their names.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from medalyst.llm import neardup
 from medalyst.llm.arrow import map_batches, slices, with_outputs
 from medalyst.llm.shingles import mixed
 from medalyst.session import durable, shuffle_width
@@ -133,25 +136,75 @@ def fingerprinted(docs: DataFrame, text: str = "text", out: str = "fingerprint")
     return with_outputs(docs, text, f"`{out}` string", compute, size=1 << 20)
 
 
+def least_minima(least: float) -> int:
+    """The smallest number of equal minima whose likeness is at least ``least``."""
+    shared = Fraction(str(least)) / (2 - Fraction(str(least)))
+    return math.ceil(BANDS * SLOTS * (shared * Fraction(255, 256) + Fraction(1, 256)))
+
+
+def near_links(prints: DataFrame, doc_id: str, fingerprint: str, least: float, band: int) -> tuple[DataFrame, DataFrame]:
+    """The distinct fingerprints of named documents (``node, id, print``; ``id`` the smallest that has it), and verified links (a, b) of nodes.
+
+    Nodes are numbered by their smallest ids. Those whose fingerprints agree in ``band`` minima that stand together are candidates. Each meets the
+    smallest node of each of its bands, and verified links give components; bands that still hold several components are compared in blocks across
+    them. So every pair of candidates is either verified or already in one component, and no list of pairs of a group is made.
+    """
+    rows = prints.select(F.col(doc_id).alias("id"), F.col(fingerprint).alias("print")).where("id IS NOT NULL AND print <> ''")
+    nodes = durable(rows.groupBy("print").agg(F.min("id").alias("id")).orderBy("id", "print")
+                    .select(F.monotonically_increasing_id().alias("node"), "id", F.unhex("print").alias("sketch")))
+    places = F.sequence(F.lit(0), F.lit(BANDS * SLOTS // band - 1))
+    cut = F.transform(places, lambda i: F.xxhash64(i, F.substring(F.col("sketch"), i * band + 1, F.lit(band))))
+    banded = nodes.select("node", F.explode(cut).alias("key"))
+    centres = banded.groupBy("key").agg(F.min("node").alias("centre"), F.max("node").alias("last")).where("centre <> last").select("key", "centre")
+    keyed = durable(banded.join(centres, "key"))
+    equal = least_minima(least)
+    stars = keyed.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    first = durable(neardup.sketched_pairs(stars, nodes, equal))
+
+    def crossing(run: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        low, high, block, node, component, sketch = run
+        i, j = neardup._near(sketch, *neardup._sides(low[0], high[0], block), component, equal)
+        a, b = neardup.joining(node, component, i, j)
+        return np.minimum(a, b), np.maximum(a, b)
+
+    later = neardup.over_open_keys(keyed.select("key", "node"), nodes, neardup.components(first), crossing)
+    return nodes, durable(first.union(later))
+
+
 def near_pairs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = 0.75, band: int = 4) -> DataFrame:
-    """``a, b, likeness``: documents whose fingerprints agree in ``band`` minima that stand together, verified over all minima.
+    """``a, b, likeness``: links that hold the groups of documents together; equal fingerprints are linked to the smallest id that has them.
 
-    Each document meets the smallest id of each of its bands, so a band of any size gives one pair for each of its documents, not all pairs. Documents
-    without an id or with an empty text are in no pair.
+    Documents without an id or with an empty text are in no pair.
+    """
+    prints = durable(fingerprinted(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("body")), "body", "print").select("id", "print").distinct())
+    nodes, links = near_links(prints, "id", "print", least, band)
+    one = nodes.select(F.col("node").alias("a"), F.col("id").alias("one"), F.col("sketch").alias("x"))
+    two = nodes.select(F.col("node").alias("b"), F.col("id").alias("two"), F.col("sketch").alias("y"))
+    same = F.size(F.filter(F.sequence(F.lit(1), F.lit(BANDS * SLOTS)),
+                           lambda i: F.substring(F.col("x"), i, F.lit(1)) == F.substring(F.col("y"), i, F.lit(1))))
+    shared = F.greatest(F.lit(0.0), (same / (BANDS * SLOTS) - 1 / 256) / (1 - 1 / 256))
+    between = (links.join(one, "a").join(two, "b").where("one <> two")
+               .select(F.least("one", "two").alias("a"), F.greatest("one", "two").alias("b"), (2 * shared / (1 + shared)).alias("likeness")))
+    within = (prints.where("id IS NOT NULL AND print <> ''").join(nodes.select(F.col("id").alias("a"), F.lower(F.hex("sketch")).alias("print")), "print")
+              .where("id <> a").select("a", F.col("id").alias("b"), F.lit(1.0).alias("likeness")))
+    return between.union(within)
+
+
+def near_groups(prints: DataFrame, doc_id: str = "doc_id", fingerprint: str = "fingerprint", least: float = 0.75, band: int = 4) -> DataFrame:
+    """``prints`` with ``component_id``, the smallest id that verified links lead to, and ``n_links``, the links found at the row's fingerprint.
+
+    Rows of equal fingerprints are in one component without a link. ``component_id`` is NULL where the id is, and the row's own id for an empty text.
     """
-    prints = durable(fingerprinted(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("body")), "body", "print").select("id", "print")
-                     .where("id IS NOT NULL AND print <> ''").distinct())
-    minima = BANDS * SLOTS
-    cut = F.transform(F.sequence(F.lit(0), F.lit(minima // band - 1)), lambda i: F.substring(F.col("print"), i * 2 * band + 1, F.lit(2 * band)))
-    banded = prints.select("id", "print", F.posexplode(cut).alias("place", "value"))
-    heads = (banded.groupBy("place", "value").agg(F.min(F.struct("id", "print")).alias("head"), F.max("id").alias("last"))
-             .where("head.id <> last").select("place", "value", "head"))
-    pairs = (banded.join(heads, ["place", "value"]).where("id <> head.id")
-             .select(F.col("head.id").alias("a"), F.col("id").alias("b"), F.col("head.print").alias("x"), F.col("print").alias("y")).distinct())
-    same = F.size(F.filter(F.sequence(F.lit(0), F.lit(minima - 1)),
-                           lambda i: F.substring(F.col("x"), 2 * i + 1, F.lit(2)) == F.substring(F.col("y"), 2 * i + 1, F.lit(2))))
-    shared = F.greatest(F.lit(0.0), (same / minima - 1 / 256) / (1 - 1 / 256))
-    return pairs.select("a", "b", (2 * shared / (1 + shared)).alias("likeness")).where(F.col("likeness") >= least)
+    nodes, links = near_links(prints, doc_id, fingerprint, least, band)
+    labels = neardup.components(links)
+    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("_links"))
+    roots = nodes.select(F.col("node").alias("component"), F.col("id").alias("_root"))
+    member = durable(nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+                     .join(degree, "node", "left").join(roots, "component")
+                     .select(F.lower(F.hex("sketch")).alias("_print"), "_root", "_links"))
+    joined = prints.join(member, F.col(fingerprint) == F.col("_print"), "left")
+    component = F.when(F.col(doc_id).isNotNull(), F.coalesce("_root", doc_id))
+    return joined.select(*prints.columns, component.alias("component_id"), F.coalesce("_links", F.lit(0)).cast("bigint").alias("n_links"))
 
 
 def in_order(docs: DataFrame, doc_id: str, text: str) -> DataFrame:

@@ -17,7 +17,7 @@ for linking; an empty table gives an empty result; other columns are ignored, wh
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -85,7 +85,7 @@ def table_keys(nodes: DataFrame) -> DataFrame:
     return durable(pairs.select(F.xxhash64("a", "b").alias("key"), "node"))
 
 
-def sketched_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+def sketched_pairs(pairs: DataFrame, nodes: DataFrame, least_equal: int = LEAST_EQUAL) -> DataFrame:
     """The (a, b) pairs that the sketches do not rule out."""
     left = nodes.select(F.col("node").alias("a"), F.col("sketch").alias("sketch_a"))
     right = nodes.select(F.col("node").alias("b"), F.col("sketch").alias("sketch_b"))
@@ -93,7 +93,7 @@ def sketched_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SKETCH) for c in ("sketch_a", "sketch_b"))
-            yield batch.select(["a", "b"]).filter(pa.array((one == two).sum(axis=1) >= LEAST_EQUAL))
+            yield batch.select(["a", "b"]).filter(pa.array((one == two).sum(axis=1) >= least_equal))
 
     return map_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "sketch_a", "sketch_b"), run, "a bigint, b bigint")
 
@@ -167,7 +167,8 @@ def _sides(low: int, high: int, block: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return (every, every) if low == high else (np.flatnonzero(block == low), np.flatnonzero(block == high))
 
 
-def _near(sketch: np.ndarray, left: np.ndarray, right: np.ndarray, component: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _near(sketch: np.ndarray, left: np.ndarray, right: np.ndarray, component: np.ndarray,
+          least_equal: int = LEAST_EQUAL) -> tuple[np.ndarray, np.ndarray]:
     """Rows (i, j) of different components, one from each side, that their sketches do not rule out; each pair once."""
     found_i, found_j = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for at in range(0, len(left), 64):
@@ -176,44 +177,27 @@ def _near(sketch: np.ndarray, left: np.ndarray, right: np.ndarray, component: np
         i, j = part[i], right[j]
         if left is right:
             i, j = i[i < j], j[i < j]
-        ok = (sketch[i] == sketch[j]).sum(axis=1) >= LEAST_EQUAL
+        ok = (sketch[i] == sketch[j]).sum(axis=1) >= least_equal
         found_i.append(i[ok])
         found_j.append(j[ok])
     return np.concatenate(found_i), np.concatenate(found_j)
 
 
-def families(keyed: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """``component, family``: components that keys and sketches chain together, by the smallest of them.
-
-    Only keys that still hold several components are looked at. A pair of blocks yields a star for each chain of components in it, not its pairs.
-    """
+def over_open_keys(keyed: DataFrame, nodes: DataFrame, labels: DataFrame,
+                   found: Callable[[list[np.ndarray]], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """The (a, b) that ``found`` makes of each pair of blocks (low, high, block, node, component, sketch) of the keys that still hold several components."""
     named = keyed.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     open_keys = (named.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("n"))
                  .where("least <> most").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
     laid = (blocked(named.join(nodes.select("node", "sketch"), "node"), open_keys, "key")
             .select("key", "low", "high", "block", "node", "component", "sketch"))
 
-    def stars(run: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        low, high, block, node, component, sketch = run
-        i, j = _near(sketch, *_sides(low[0], high[0], block), component)
-        names, place = np.unique(component, return_inverse=True)
-        a, b = np.unique(np.stack([place[i], place[j]]), axis=1)
-        label = np.arange(len(names))
-        while len(a):
-            before = label.copy()
-            np.minimum.at(label, a, label[b])
-            np.minimum.at(label, b, label[a])
-            if (before == label).all():
-                break
-        moved = np.flatnonzero(label != np.arange(len(names)))
-        return names[label[moved]], names[moved]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[np.ndarray] | None = None
 
         def links(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
-            found = [stars(part) for part in parts]
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[i] for x in found])) for i in (0, 1)], names=["a", "b"])
+            made = [found(part) for part in parts]
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[i] for x in made])) for i in (0, 1)], names=["a", "b"])
 
         for batch in batches:
             now = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "low", "high", "block", "node", "component")]
@@ -228,7 +212,51 @@ def families(keyed: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame
         if rest is not None and len(rest[0]):
             yield links([rest[1:]])
 
-    return components(map_batches(laid, run, "a bigint, b bigint").distinct()).select(F.col("node").alias("component"), F.col("component").alias("family"))
+    return map_batches(laid, run, "a bigint, b bigint").distinct()
+
+
+def families(keyed: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """``component, family``: components that keys and sketches chain together, by the smallest of them.
+
+    Only keys that still hold several components are looked at. A pair of blocks yields a star for each chain of components in it, not its pairs.
+    """
+    def stars(run: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        low, high, block, node, component, sketch = run
+        i, j = _near(sketch, *_sides(low[0], high[0], block), component)
+        names, place = np.unique(component, return_inverse=True)
+        a, b = np.unique(np.stack([place[i], place[j]]), axis=1)
+        label = np.arange(len(names))
+        while len(a):
+            before = label.copy()
+            np.minimum.at(label, a, label[b])
+            np.minimum.at(label, b, label[a])
+            if (before == label).all():
+                break
+        moved = np.flatnonzero(label != np.arange(len(names)))
+        return names[label[moved]], names[moved]
+
+    return (components(over_open_keys(keyed, nodes, labels, stars))
+            .select(F.col("node").alias("component"), F.col("component").alias("family")))
+
+
+def joining(node: np.ndarray, component: np.ndarray, i: np.ndarray, j: np.ndarray,
+            confirmed: Callable[[int, int], bool] = lambda x, y: True) -> tuple[np.ndarray, np.ndarray]:
+    """Those of the pairs (i, j) that are confirmed and join two components; once two are joined, more pairs between them are not looked at."""
+    above = {c: c for c in component.tolist()}
+
+    def top(c: int) -> int:
+        while above[c] != c:
+            above[c] = c = above[above[c]]
+        return c
+
+    made = []
+    for x, y in zip(i.tolist(), j.tolist(), strict=True):
+        one, two = top(int(component[x])), top(int(component[y]))
+        if one != two and confirmed(x, y):
+            above[max(one, two)] = min(one, two)
+            made.append((int(node[x]), int(node[y])))
+    pairs = np.array(made, np.int64).reshape(-1, 2)
+    return pairs[:, 0], pairs[:, 1]
 
 
 def crossing_links(family: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFrame, doc_id: str, text: str, words: int,
@@ -248,20 +276,8 @@ def crossing_links(family: DataFrame, nodes: DataFrame, labels: DataFrame, docs:
         sketch = np.frombuffer(b"".join([row["sketch"] for row in rows]), np.uint8).reshape(-1, SKETCH)
         held = [np.frombuffer(row["shingles"], np.uint64) for row in rows]
         i, j = _near(sketch, *_sides(rows[0]["low"], rows[0]["high"], block), component)
-        above = {c: c for c in component.tolist()}
-
-        def top(c: int) -> int:
-            while above[c] != c:
-                above[c] = c = above[above[c]]
-            return c
-
-        made = []
-        for x, y in zip(i.tolist(), j.tolist(), strict=True):
-            one, two = top(int(component[x])), top(int(component[y]))
-            if one != two and similar(held[x], held[y], numerator, denominator):
-                above[max(one, two)] = min(one, two)
-                made.append((int(node[x]), int(node[y])))
-        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in made], pa.int64()) for k in (0, 1)], names=["a", "b"])
+        a, b = joining(node, component, i, j, lambda x, y: similar(held[x], held[y], numerator, denominator))
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[dict] = []

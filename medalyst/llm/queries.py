@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from medalyst.llm import bpe, decontaminate, edit_fingerprint, html_mincut, neardup, oracle, pii_crf, quality_cnn, rans, secrets, sharding
+from medalyst.session import durable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,7 +59,7 @@ def op8_minimum_cut_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_edit_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return edit_fingerprint.edited_copies(read(spark, sf_dir, "documents"))
+    return edit_fingerprint.near_groups(durable(edit_fingerprint.edited_copies(read(spark, sf_dir, "documents"))))
 
 
 def op10_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:

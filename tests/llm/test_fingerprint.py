@@ -80,3 +80,39 @@ def test_near_pairs(make_docs, odd_docs, no_docs):
     assert set(found) <= {(1, 10), (1, 11), (10, 11)}
     assert {(r["a"], r["b"]) for r in edit_fingerprint.near_pairs(odd_docs).collect()} >= {(14, 15)}
     assert edit_fingerprint.near_pairs(no_docs).collect() == []
+
+
+def test_groups_keep_links_beside_the_smallest_id(make_docs, no_docs):
+    # the middle text is like both others, which are not like each other; the smallest id shares bands with all
+    parts = [words(i, 150) for i in range(40, 46)]
+    base = " ".join(parts)
+    rows = [(1, base)]
+    rows += [(i, " ".join([words(900 + i, 260), *parts[2:]])) for i in range(2, 6)]        # a third or more of base gone
+    rows += [(10 + i, row[1] + f" tail{i}") for i, row in enumerate(rows[1:])]
+    rows += [(30, ""), (31, None), (None, base), (32, base)]
+    texts = {i: t or "" for i, t in rows if i is not None}
+    prints = {i: edit_fingerprint.fingerprints([t])[0] for i, t in texts.items()}
+    parent = {i: i for i in texts}
+
+    def find(x):
+        return x if parent[x] == x else find(parent[x])
+
+    def banded(a, b):
+        return any((prints[a][k:k + 4] == prints[b][k:k + 4]).all() for k in range(0, 128, 4))
+
+    near = {(a, b) for a in texts for b in texts if a < b and texts[a] and texts[b] and banded(a, b) and likeness_of(texts[a], texts[b]) >= 0.75}
+    assert any((1, a) not in near and (1, b) not in near and banded(1, a) for a, b in near)
+    for a, b in sorted(near):
+        x, y = sorted((find(a), find(b)))
+        parent[y] = x
+    docs = make_docs([(i, t, "en", "a") for i, t in rows])
+    got = edit_fingerprint.near_groups(edit_fingerprint.fingerprinted(docs, out="fingerprint")).select("doc_id", "component_id", "n_links").collect()
+    assert {(r["doc_id"], r["component_id"]) for r in got} == {(i, find(i)) for i in texts} | {(None, None)} and len(got) == len(rows)
+    assert all((r["n_links"] > 0) == any(r["doc_id"] in pair and (prints[pair[0]] != prints[pair[1]]).any() for pair in near)
+               for r in got if r["doc_id"] is not None)
+    joined = {i: i for i in texts}
+    for r in edit_fingerprint.near_pairs(docs).collect():
+        one, two = joined[r["a"]], joined[r["b"]]
+        joined = {i: min(one, two) if c in (one, two) else c for i, c in joined.items()}
+    assert joined == {i: find(i) for i in texts}
+    assert edit_fingerprint.near_groups(edit_fingerprint.fingerprinted(no_docs, out="fingerprint")).collect() == []
