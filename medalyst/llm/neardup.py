@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +54,10 @@ def minhashes(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def set_key(shingles: np.ndarray) -> bytes:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+
+
 def marks(docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
     """``doc_id, n_shingles, set_key, halves, sketch`` per row; the last three NULL for an empty set."""
     source = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("body"))
@@ -67,7 +72,7 @@ def marks(docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
         sketch = (mixed(low) >> np.uint64(56)).astype(np.uint8)
         some = [len(s) > 0 for s in sets]
         return [[len(s) for s in sets],
-                [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if ok else None for s, ok in zip(sets, some, strict=True)],
+                [set_key(s) if ok else None for s, ok in zip(sets, some, strict=True)],
                 [x if ok else None for x, ok in zip(keys.view(np.int64), some, strict=True)],
                 [x.tobytes() if ok else None for x, ok in zip(sketch, some, strict=True)]]
 
@@ -98,19 +103,39 @@ def sketched_pairs(pairs: DataFrame, nodes: DataFrame, least_equal: int = LEAST_
     return map_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "sketch_a", "sketch_b"), run, "a bigint, b bigint")
 
 
-def full_sets(wanted: DataFrame, docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
-    """``node, shingles`` for the rows of ``docs`` named in ``wanted`` (node), read again from their texts."""
-    named = durable(wanted)
-    few = named.count() <= BROADCAST_IDS
-    texts = docs.select(F.col(doc_id).cast("bigint").alias("node"), F.coalesce(F.col(text), F.lit("")).alias("body"))
-    held = texts.join(F.broadcast(named) if few else named, "node", "left_semi")
-    return durable(with_outputs(held, "body", "shingles binary", lambda rows: [[s.tobytes() for s in shingle_sets(rows, words)]], drop=["body"],
-                                size=SLICE))
+@dataclass
+class Texts:
+    """Where full sets are read again: ``docs``, and the nodes with the smallest id that has each one's set."""
+
+    docs: DataFrame
+    doc_id: str
+    text: str
+    words: int
+    nodes: DataFrame
+    repeated: bool               # whether rows share an id, so that an id does not tell a set
+
+    def full_sets(self, wanted: DataFrame) -> DataFrame:
+        """``node, shingles`` of the nodes in ``wanted`` (node)."""
+        columns = ["node", "id", "set_key"] if self.repeated else ["node", "id"]
+        named = durable(self.nodes.join(wanted, "node", "left_semi").select(*columns))
+        ids = named.select("id").distinct() if self.repeated else named
+        few = named.count() <= BROADCAST_IDS
+        texts = self.docs.select(F.col(self.doc_id).cast("bigint").alias("id"), F.coalesce(F.col(self.text), F.lit("")).alias("body"))
+        held = texts.join(F.broadcast(ids) if few else ids, "id", "left_semi" if self.repeated else "inner")
+
+        def compute(rows: list[str], words: int = self.words) -> list[list]:
+            sets = shingle_sets(rows, words)
+            return [[s.tobytes() for s in sets], [set_key(s) for s in sets]]
+
+        sets = with_outputs(held.drop("id"), "body", "shingles binary, set_key binary", compute, drop=["body"], size=SLICE)
+        if self.repeated:        # one row of each set, whichever ids and rows it came from
+            return durable(sets.join(named.select("node", "set_key"), "set_key").dropDuplicates(["node"]).select("node", "shingles"))
+        return durable(sets.select("node", "shingles"))
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, words: int, numerator: int, denominator: int) -> DataFrame:
+def confirmed(pairs: DataFrame, texts: Texts, numerator: int, denominator: int) -> DataFrame:
     """The pairs whose full shingle sets are similar enough: ``denominator * |A and B| >= numerator * |A or B|``."""
-    sets = full_sets(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), docs, doc_id, text, words)
+    sets = texts.full_sets(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
     one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
     two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
 
@@ -259,13 +284,12 @@ def joining(node: np.ndarray, component: np.ndarray, i: np.ndarray, j: np.ndarra
     return pairs[:, 0], pairs[:, 1]
 
 
-def crossing_links(family: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFrame, doc_id: str, text: str, words: int,
-                   numerator: int, denominator: int) -> DataFrame:
+def crossing_links(family: DataFrame, nodes: DataFrame, labels: DataFrame, texts: Texts, numerator: int, denominator: int) -> DataFrame:
     """Confirmed (a, b) links between components inside a family; once two components are joined in a block, more links are not looked for."""
     named = (nodes.select("node", "sketch", "n_shingles").join(labels, "node", "left")
              .withColumn("component", F.coalesce("component", "node")))
     sized = durable(named.join(family, "component").select("family", "node", "component", "sketch", "n_shingles"))
-    sets = full_sets(sized.select("node"), docs, doc_id, text, words)
+    sets = texts.full_sets(sized.select("node"))
     sizes = (sized.groupBy("family").agg(F.greatest(F.sum("n_shingles") / FAMILY_SHINGLES, F.count(F.lit(1)) / BLOCK).alias("n"))
              .select("family", F.ceil("n").cast("int").alias("blocks")))
     laid = (blocked(sized.drop("n_shingles").join(sets, "node"), sizes, "family")
@@ -308,25 +332,29 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     if numerator * 4 < denominator * 3:
         raise ValueError("keys and sketches are set for a similarity of 3/4 or more")
     marked = durable(marks(docs.withColumn(doc_id, F.col(doc_id).cast("bigint")), doc_id, text, words))
-    nodes = durable(marked.where("set_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_key")
-                    .agg(F.min("doc_id").alias("node"), F.first("halves").alias("halves"), F.first("sketch").alias("sketch"),
-                         F.first("n_shingles").alias("n_shingles")))
-    by_id = nodes.dropDuplicates(["node"])
+    named = marked.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
+    # numbered by the smallest id that has each set, so the smallest node of a component has its smallest id
+    nodes = durable(named.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("halves").alias("halves"), F.first("sketch").alias("sketch"),
+                                                 F.first("n_shingles").alias("n_shingles"))
+                    .orderBy("id", "set_key").withColumn("node", F.monotonically_increasing_id()))
+    repeated = not marked.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+    texts = Texts(docs, doc_id, text, words, nodes.select("node", "id", "set_key"), repeated)
     keys = table_keys(nodes)
     centres = keys.groupBy("key").agg(F.min("node").alias("centre"), F.max("node").alias("last")).where("centre <> last").select("key", "centre")
     keyed = durable(keys.join(centres, "key"))
-    check = lambda pairs: durable(confirmed(pairs, docs, doc_id, text, words, numerator, denominator))
-    stars = durable(sketched_pairs(keyed.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), by_id))
-    first = durable(check(stars).union(one_document(marked, nodes)))
+    stars = durable(sketched_pairs(keyed.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), nodes))
+    first = durable(durable(confirmed(stars, texts, numerator, denominator)).union(one_document(marked, nodes)))
     labels = components(first)
-    family = families(keyed.select("key", "node"), by_id, labels)
-    later = durable(crossing_links(family, by_id, labels, docs, doc_id, text, words, numerator, denominator))
+    family = families(keyed.select("key", "node"), nodes, labels)
+    later = durable(crossing_links(family, nodes, labels, texts, numerator, denominator))
     return assigned(marked, nodes, components(first.union(later)))
 
 
 def assigned(marked: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Each row's component, by way of the node of its set."""
-    of_set = nodes.select("set_key", "node").join(labels, "node", "left").select("set_key", F.coalesce("component", "node").alias("component"))
+    """Each row's component, by way of the node of its set: the smallest id of any of its rows."""
+    smallest = nodes.select(F.col("node").alias("component"), F.col("id").alias("root"))
+    rooted = labels.where("node <> component").join(smallest, "component").select("node", "root")
+    of_set = nodes.select("set_key", "node", "id").join(rooted, "node", "left").select("set_key", F.coalesce("root", "id").alias("component"))
     joined = marked.select("doc_id", "n_shingles", "set_key").join(of_set, "set_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))

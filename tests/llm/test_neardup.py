@@ -84,6 +84,18 @@ def test_rows_of_one_id_are_one_document(make_docs):
     assert got == brute(rows) and {c for i, _, c in got if i in "349"} == {"3"}
 
 
+def test_near_copies_of_any_text_of_an_id(make_docs):
+    rng = random.Random(21)
+    rows = []
+    for i in range(12):                                    # several texts under one id, a near copy of one of them under another
+        texts = [[f"t{i}_{k}_{j}" for j in range(80)] for k in range(3)]
+        rows += [(10 * i + 7, " ".join(t)) for t in texts for _ in range(2)]
+        rows.append((10 * i + 9, " ".join([*texts[i % 3][:-1], "changed"])))
+    rng.shuffle(rows)
+    got = found(neardup.near_duplicates(make_docs([(i, t, "en", "a") for i, t in rows])))
+    assert got == sorted((str(i), len(shingle_set(t)), str(i // 10 * 10 + 7)) for i, t in rows)
+
+
 def test_empty_table(no_docs):
     assert neardup.near_duplicates(no_docs).collect() == []
     assert neardup.one_of_each(no_docs).collect() == []
