@@ -3,7 +3,8 @@
 At each place of a test item the seed is the shortest run of ``SHORTEST`` to ``LONGEST`` words that the corpus would hold at most ``expected`` times if
 its words fell independently; word frequencies are counted over the whole corpus. A seed found in a document points at the stretch where the item
 would lie, and Smith-Waterman alignment of words scores that stretch, so edited and reordered copies keep most of their score. The similarity
-is the best score over that of the item itself.
+is the best score over that of the item itself. A document holds an item from a similarity of ``least``, or from a score worth ``PASSAGE`` matching
+words found by a rare seed, as that much of a long item is no chance however short a part of it it is.
 
 The item words that one pass holds in memory are bounded by ``WORDS_AT_ONCE``; a larger benchmark is taken in parts, with one pass over the corpus for each.
 
@@ -28,6 +29,7 @@ from medalyst.llm.shingles import PUNCTUATION, windows, word_hashes
 SHORTEST, LONGEST = 3, 8
 WORDS_AT_ONCE = 1_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
+PASSAGE = 13                     # matching words of an item that count as a leak, whatever share of it they are
 SLACK = 8                        # words that an alignment may shift to either side, besides a fifth of the item
 _BITS = 22
 
@@ -54,15 +56,20 @@ class Lookup:
 
 @dataclass
 class Items:
-    """Test items as word hashes, and their seeds by length: sorted hashes with the range of (item, place) that each has."""
+    """Test items as word hashes, and their seeds by length: sorted hashes with the range of (item, place) that each has.
+
+    ``passages`` has the score from which a part of an item counts; an item without a rare seed has none.
+    """
 
     ids: list
     words: list[np.ndarray]
+    passages: list[float]
     seeds: dict[int, tuple[Lookup, np.ndarray, np.ndarray]]
 
     @classmethod
     def seeded(cls, ids: list, words: list[np.ndarray], frequency: dict[int, float], total: float, expected: float) -> Items:
         found: dict[int, list[tuple[int, int, int]]] = {}
+        passages = [float("inf")] * len(words)
         for number, line in enumerate(words):
             n = len(line)
             if n < SHORTEST:
@@ -71,6 +78,8 @@ class Items:
             rare = [(place, size) for place in range(n - SHORTEST + 1)
                     for size in [next((s for s in range(SHORTEST, LONGEST + 1) if place + s <= n and
                                        np.log(max(1.0, total)) + logs[place:place + s].sum() <= np.log(expected)), None)] if size]
+            if rare:
+                passages[number] = MATCH * PASSAGE
             # an item of common words only: its longest runs
             size = min(LONGEST, n)
             for place, length in rare or [(place, size) for place in range(n - size + 1)]:
@@ -82,7 +91,7 @@ class Items:
             keys, first = np.unique(hashes[order], return_index=True)
             where = np.array([(i, p) for i, p, _ in places], np.int64)[order]
             seeds[length] = (Lookup(keys), np.append(first, len(order)), where)
-        return cls(ids, words, seeds)
+        return cls(ids, words, passages, seeds)
 
     def stretches(self, line: np.ndarray, owner: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(text, item, first word, word after): where seeds say that an item may lie, overlapping stretches as one."""
@@ -108,7 +117,7 @@ class Items:
         return [tuple(x) for x in out]
 
     def matches(self, texts: list[str | None], least: float) -> list[dict[int, tuple[float, int, int]]]:
-        """For each text, its items with their best similarity of at least ``least`` and where it lies, in words."""
+        """For each text, its items that it holds, with their best similarity and where it lies, in words."""
         out: list[dict[int, tuple[float, int, int]]] = [{} for _ in texts]
         line, owner = word_hashes([(text or "").encode() for text in texts], PUNCTUATION)
         if not len(line) or not self.seeds:
@@ -122,7 +131,7 @@ class Items:
             for (text, item, low, _), score, stop in zip(part, scores.tolist(), stops.tolist(), strict=True):
                 n = len(self.words[item])
                 similarity = score / (MATCH * n)
-                if similarity >= least and similarity > out[text].get(item, (0.0,))[0]:
+                if (similarity >= least or score >= self.passages[item]) and similarity > out[text].get(item, (0.0,))[0]:
                     end = low + stop - int(begins[text])
                     out[text][item] = (similarity, max(0, end - n), end)
         return out

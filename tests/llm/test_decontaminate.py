@@ -58,6 +58,24 @@ def test_like_plain_alignment(tables):
         assert plain_score(split(item), split(text)[r["first_word"]:r["last_word"]]) > 0
 
 
+def test_partial_copies_of_long_items(spark, make_docs):
+    rng = random.Random(31)
+    vocabulary = [f"w{i}" for i in range(3000)] + ["the", "of", "and"] * 300
+    line = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    items = [(i, " ".join(line(400))) for i in range(4)]
+    rows = []
+    for i in range(60):
+        copied = [0, 8, 20, 60, 190][i % 5]
+        at = rng.randint(0, 400 - copied)
+        rows.append((i, " ".join([*line(rng.randint(5, 80)), *items[i % 4][1].split()[at:at + copied], *line(rng.randint(5, 80))]), "en", "a"))
+    tests = spark.createDataFrame(items, "item_id bigint, text string")
+    held = {(i, k) for i, t, *_ in rows for k, item in items if plain_score(split(item), split(t)) >= 26}
+    assert {(i, i % 4) for i in range(60) if i % 5 > 1} <= held and {i for i, _ in held} == {i for i in range(60) if i % 5 > 1}
+    docs = make_docs(rows)
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, tests).collect()} == held
+    assert {r["doc_id"] for r in decontaminate.clean(docs, tests).collect()} == {i for i in range(60) if i % 5 <= 1}
+
+
 def test_parts_of_a_large_benchmark(tables, monkeypatch):
     docs, rows, tests, items = tables
     monkeypatch.setattr(decontaminate, "WORDS_AT_ONCE", 100)
