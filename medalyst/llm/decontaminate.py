@@ -10,7 +10,8 @@ The item words that one pass holds in memory are bounded by ``WORDS_AT_ONCE``; a
 
 Defined cases: NULL and empty texts match nothing; items of fewer than ``SHORTEST`` words match nothing, as they cannot be told from chance; equal
 items each match; repeated rows give repeated matches; an empty table on either side gives an empty result; other columns are ignored,
-whatever their names. Words are runs of letters and digits; A-Z count as a-z.
+whatever their names. Words are runs of letters and digits of any script, and single characters of scripts that put no spaces between words
+(Chinese, Japanese, Thai, ...); an item's length is counted in these. A-Z count as a-z.
 """
 
 from __future__ import annotations
@@ -24,12 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medalyst.llm.arrow import map_batches, slices, with_outputs
-from medalyst.llm.shingles import PUNCTUATION, windows, word_hashes
+from medalyst.llm.shingles import PUNCTUATION, spaced, windows, word_hashes
 
 SHORTEST, LONGEST = 3, 8
 WORDS_AT_ONCE = 1_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
-PASSAGE = 13                     # matching words of an item that count as a leak, whatever share of it they are
+PASSAGE = 13                     # matching words of an item that count as a leak, whatever share of it they are; twice as many characters
 SLACK = 8                        # words that an alignment may shift to either side, besides a fifth of the item
 _BITS = 22
 
@@ -67,7 +68,7 @@ class Items:
     seeds: dict[int, tuple[Lookup, np.ndarray, np.ndarray]]
 
     @classmethod
-    def seeded(cls, ids: list, words: list[np.ndarray], frequency: dict[int, float], total: float, expected: float) -> Items:
+    def seeded(cls, ids: list, words: list[np.ndarray], passage: list[float], frequency: dict[int, float], total: float, expected: float) -> Items:
         found: dict[int, list[tuple[int, int, int]]] = {}
         passages = [float("inf")] * len(words)
         for number, line in enumerate(words):
@@ -79,7 +80,7 @@ class Items:
                     for size in [next((s for s in range(SHORTEST, LONGEST + 1) if place + s <= n and
                                        np.log(max(1.0, total)) + logs[place:place + s].sum() <= np.log(expected)), None)] if size]
             if rare:
-                passages[number] = MATCH * PASSAGE
+                passages[number] = MATCH * passage[number]
             # an item of common words only: its longest runs
             size = min(LONGEST, n)
             for place, length in rare or [(place, size) for place in range(n - size + 1)]:
@@ -119,7 +120,7 @@ class Items:
     def matches(self, texts: list[str | None], least: float) -> list[dict[int, tuple[float, int, int]]]:
         """For each text, its items that it holds, with their best similarity and where it lies, in words."""
         out: list[dict[int, tuple[float, int, int]]] = [{} for _ in texts]
-        line, owner = word_hashes([(text or "").encode() for text in texts], PUNCTUATION)
+        line, owner = word_hashes([spaced(text or "")[0] for text in texts], PUNCTUATION)
         if not len(line) or not self.seeds:
             return out
         begins = np.searchsorted(owner, np.arange(len(texts)))
@@ -167,15 +168,17 @@ def align(items: list[np.ndarray], stretches: list[np.ndarray]) -> tuple[np.ndar
 
 
 def item_words(tests: DataFrame, item_id: str, text: str) -> DataFrame:
-    """``item_id, words`` of the items that have enough words to match."""
+    """``item_id, words, passage`` of the items that have enough words to match."""
     source = tests.select(F.col(item_id).alias("item_id"), F.coalesce(F.col(text), F.lit("")).alias("body"))
 
     def compute(texts: list[str]) -> list[list]:
-        line, owner = word_hashes([t.encode() for t in texts], PUNCTUATION)
+        cut = [spaced(t) for t in texts]
+        line, owner = word_hashes([t for t, _ in cut], PUNCTUATION)
         cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
-        return [[line[a:b].view(np.int64) for a, b in zip(cuts, cuts[1:], strict=False)]]
+        return [[line[a:b].view(np.int64) for a, b in zip(cuts, cuts[1:], strict=False)],
+                [PASSAGE * (1 + single / max(1, n)) for (_, single), n in zip(cut, np.diff(cuts).tolist(), strict=True)]]
 
-    return with_outputs(source, "body", "words array<bigint>", compute, drop=["body"]).where(F.size("words") >= SHORTEST)
+    return with_outputs(source, "body", "words array<bigint>, passage double", compute, drop=["body"]).where(F.size("words") >= SHORTEST)
 
 
 def word_counts(docs: DataFrame, text: str, wanted: np.ndarray) -> tuple[dict[int, float], float]:
@@ -187,7 +190,7 @@ def word_counts(docs: DataFrame, text: str, wanted: np.ndarray) -> tuple[dict[in
         lookup, counts, total = Lookup(shared.value), np.zeros(len(shared.value), np.int64), 0
         for batch in batches:
             for part in slices(batch, "body"):
-                line, _ = word_hashes([t.encode() for t in part.column("body").to_pylist()], PUNCTUATION)
+                line, _ = word_hashes([spaced(t)[0] for t in part.column("body").to_pylist()], PUNCTUATION)
                 counts += np.bincount(lookup(line)[1], minlength=len(counts))
                 total += len(line)
         some = np.flatnonzero(counts)
@@ -209,7 +212,7 @@ def parts_of(tests: DataFrame, docs: DataFrame, item_id: str, item_text: str, te
         words = [np.array(row["words"], np.int64).view(np.uint64) for row in rows]
         if words:
             frequency, total = word_counts(docs, text, np.unique(np.concatenate(words)))
-            yield Items.seeded([row["item_id"] for row in rows], words, frequency, total, expected)
+            yield Items.seeded([row["item_id"] for row in rows], words, [row["passage"] for row in rows], frequency, total, expected)
 
 
 def leaks(docs: DataFrame, tests: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",

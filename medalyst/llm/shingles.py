@@ -5,6 +5,8 @@ Words are what stands between spaces and the characters 9 to 13; A-Z count as a-
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from functools import lru_cache
 
 import numpy as np
@@ -16,6 +18,10 @@ _BYTE[65:91] = _BYTE[97:123]                       # A-Z count as a-z
 _SEPARATOR = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 #: Everything in ASCII but letters and digits parts words.
 PUNCTUATION = (np.arange(256) < 128) & ~np.isin(np.arange(256), [*range(48, 58), *range(65, 91), *range(97, 123)])
+# scripts without spaces between words: Thai, Lao, Myanmar, Khmer, Tai, Chinese, Japanese, Yi
+_UNSPACED = ("\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u1950-\u19df\u1a20-\u1aaf\u2e80-\u2fdf\u3005-\u3007\u3021-\u3029\u3031-\u3035\u3038-\u303c"
+             "\u3041-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf\u4e00-\ua4cf\ua9e0-\ua9ff\uaa60-\uaadf\uf900-\ufaff\uff66-\uff9f"
+             "\U0001aff0-\U0001b16f\U00020000-\U0003ffff")
 _PLACE = _RNG.integers(0, 2**64, 64, dtype=np.uint64) | np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 
@@ -38,6 +44,30 @@ def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
     return both[0], both[1]
 
 
+@lru_cache(maxsize=1)
+def _unicode_cuts() -> tuple[re.Pattern[str], re.Pattern[str], re.Pattern[str]]:
+    """Characters beyond ASCII that part words (punctuation, symbols, spaces, controls), up to U+FFFF and above, and those that are words by themselves.
+
+    Python looks the lower ones up in a table and tries the upper ones one by one, so they are kept apart.
+    """
+    parting = [c for c in map(chr, range(128, 0x20000)) if unicodedata.category(c)[0] in "PSZ" or unicodedata.category(c) == "Cc"]
+    low, high = ("".join(re.escape(c) for c in parting if (c > "\uffff") == upper) for upper in (False, True))
+    return re.compile(f"[{low}\u200b]+"), re.compile(f"[{high}]+"), re.compile(f"[{_UNSPACED}]")
+
+
+_UPPER = re.compile("[\U00010000-\U0010ffff]+")
+
+
+def spaced(text: str) -> tuple[bytes, int]:
+    """``text`` with spaces wherever words part in any script, and how many of its words are single characters of scripts without spaces."""
+    if text.isascii():
+        return text.encode(), 0
+    low, high, unspaced = _unicode_cuts()
+    parted = _UPPER.sub(lambda found: high.sub(" ", found[0]), low.sub(" ", text))
+    cut, single = unspaced.subn(r" \g<0> ", parted)
+    return cut.encode(), single
+
+
 def word_hashes(texts: list[bytes], separators: np.ndarray = _SEPARATOR) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words in order, and the number of the text that each belongs to. ``separators`` must hold the space."""
     joined = np.frombuffer(b" ".join(texts) + b" ", np.uint8)

@@ -96,6 +96,22 @@ def test_common_words_only(spark, make_docs):
     assert 1 in {r["doc_id"] for r in found}
 
 
+def test_scripts_without_spaces(spark, make_docs):
+    rng = random.Random(8)
+    signs = {"zh": [chr(0x4E00 + i) for i in range(600)], "ja": [chr(0x3041 + i) for i in range(80)], "th": [chr(0x0E01 + i) for i in range(46)]}
+    line = lambda lang, n: "".join(rng.choice(signs[lang]) for _ in range(n))
+    items = [(i, line(lang, 60)) for i, lang in enumerate(signs)]
+    items += [(3, "\u3002".join(line("zh", 8) for _ in range(10))), (4, "\u201cl\u2019eau\u201d \u2014 source\u2026vive d\u2019azur\u00a0pur")]
+    rows = []
+    for k, lang in enumerate(signs):
+        rows += [(10 * k, items[k][1], lang, "a"), (10 * k + 1, line(lang, 300), lang, "a"),
+                 (10 * k + 2, line(lang, 100) + items[k][1][:40] + line(lang, 3) + items[k][1][43:] + line(lang, 100), lang, "a")]
+    rows += [(30, items[3][1].replace("\u3002", "\uff0c"), "zh", "a"), (31, "x l'eau, source vive d'azur pur y", "fr", "a")]
+    found = decontaminate.leaks(make_docs(rows), spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(0, 0), (2, 0), (10, 1), (12, 1), (20, 2), (22, 2), (30, 3), (31, 4)}
+    assert all(r["similarity"] > 0.85 for r in found)
+
+
 def test_odd_rows(spark, odd_docs, odd_rows, no_docs):
     text = odd_rows[0][1]
     tests = spark.createDataFrame([(1, text), (1, text), (None, " ".join(text.split()[5:30]))], "item_id bigint, text string")
