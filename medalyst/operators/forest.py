@@ -16,7 +16,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medalyst.operators.quantiles import exact_quantiles
+from medalyst.operators.quantiles import exact_quantiles, quantile_struct
 from medalyst.operators.relational import null_safe_join
 from medalyst.session import durable
 
@@ -69,11 +69,25 @@ def _path_lengths(x: np.ndarray, tree: pd.DataFrame) -> np.ndarray:
         at = np.where(inner, np.where(goes_left, left[at], right[at]), at)
 
 
+def _filled(rows: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``rows`` with missing features as their group's median, then the table's, then 0."""
+    rows = rows.withColumns({f: F.nanvl(f, F.lit(None).cast("double")) for f in features})
+    missing = rows.agg(*[F.count_if(F.col(f).isNull()).alias(f) for f in features]).first()
+    for f in features:
+        if missing[f]:
+            overall = F.coalesce(quantile_struct(rows, f, {"m": 0.5})["m"], F.lit(0.0))
+            medians = exact_quantiles(rows, f, {"_median": 0.5}, keys=["_g"])
+            rows = null_safe_join(rows, medians, ["_g"], "left").withColumn(f, F.coalesce(f, "_median", overall)).drop("_median")
+    return rows
+
+
 def anomaly_scores(df: DataFrame, group: str, key: str, features: Sequence[str], trees: int = 100,
                    sample_rows: int = 256, chunk_rows: int = 1_000_000, seed: int = 42) -> DataFrame:
-    """``key``, ``group`` and ``score`` (higher is more normal, like 0.5 minus the usual anomaly score)."""
-    rows = df.select(key, F.col(group).cast("string").alias("_g"), *[F.col(f).cast("double").alias(f) for f in features]
-                     ).dropna()
+    """``key``, ``group`` and ``score`` (higher is more normal, like 0.5 minus the usual anomaly score) for every row.
+
+    Missing features are filled with the median of their group; rows without a group form a group.
+    """
+    rows = _filled(df.select(key, F.col(group).cast("string").alias("_g"), *[F.col(f).cast("double").alias(f) for f in features]), features)
     sizes = rows.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
     sized = null_safe_join(rows, sizes, ["_g"])
 
@@ -107,8 +121,10 @@ def anomaly_scores(df: DataFrame, group: str, key: str, features: Sequence[str],
     key_type = df.schema[key].dataType.simpleString()
 
     def score(_: tuple, part: pd.DataFrame, grove: pd.DataFrame) -> pd.DataFrame:
-        if part.empty or grove.empty:
+        if part.empty:
             return pd.DataFrame({key: [], "_g": [], "score": []})
+        if grove.empty:                                    # no tree drew a row
+            return pd.DataFrame({key: part[key], "_g": part["_g"], "score": 0.0})
         x = part[names].to_numpy(dtype=float)
         grown = [t.sort_values("node") for _, t in grove.groupby("_tree")]
         mean = sum(_path_lengths(x, t) for t in grown) / len(grown)

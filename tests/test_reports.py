@@ -156,6 +156,19 @@ def test_forest_flags_the_outliers_of_each_group(spark):
     assert all(got[950 + i]["anomaly_flag"] == 0 and got[950 + i]["anomaly_score"] == 0.0 for i in range(4))
 
 
+def test_forest_keeps_rows_with_missing_values(spark):
+    rows = [(i, "ab"[i % 2], float(i % 7), float(i % 5)) for i in range(60)]
+    rows += [(100, "a", None, 1.0), (101, "b", float("nan"), None), (102, None, 3.0, None), (103, None, None, 2.0), (None, "a", 1.0, 1.0), (104, "c", None, None)]
+    df = spark.createDataFrame(rows, "id bigint, g string, v double, w double")
+    scores = forest.anomaly_scores(df, "g", "id", ["v", "w"], trees=10, sample_rows=32)
+    out = forest.flagged_anomalies(scores, "g").collect()
+    assert sorted((str(r["id"]), str(r["g"])) for r in out) == sorted((str(i), str(g)) for i, g, *_ in rows)
+    score = {r["id"]: r["score"] for r in scores.collect()}
+    filled = spark.createDataFrame([(i, g, *((3.0, 1.0) if i == 100 else (v, w))) for i, g, v, w in rows], df.schema)
+    again = {r["id"]: r["score"] for r in forest.anomaly_scores(filled, "g", "id", ["v", "w"], trees=10, sample_rows=32).collect()}
+    assert score[100] == again[100] and all(s is not None and s == s for s in score.values())
+
+
 def test_forest_scores_do_not_depend_on_chunks(spark):
     df = spark.createDataFrame([(i, "a", float(i % 23)) for i in range(200)], "id int, g string, v double")
     one, many = ({r["id"]: r["score"] for r in forest.anomaly_scores(df, "g", "id", ["v"], trees=10, sample_rows=32, chunk_rows=n).collect()} for n in (1000, 30))
