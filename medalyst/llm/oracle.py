@@ -44,3 +44,18 @@ def secret_ownership(copied_owners: int = 3) -> str:
       list_filter(base, lambda x: NOT list_contains(many, x.value)) AS own FROM o, shared)
   SELECT doc_id, {counts}, sha256({listed('base')}) AS base_sha256, {listed('list_sort(list_concat(base, added))')} AS spans,
     CAST(len(own) + len(added) AS BIGINT) AS n_live, CAST(len(base) - len(own) AS BIGINT) AS n_copied FROM j"""
+
+
+HARD_NEGATIVES = """WITH r AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+      list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+  s AS (SELECT a.vec_id AS anchor_id, r.vec_id AS vec_id, a.label = r.label AS same, CAST(list_dot_product(a.v, r.v) AS BIGINT) AS score
+    FROM r a JOIN r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0),
+  p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+  SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+    vec_id AS negative_id, positive_score, score AS negative_score
+  FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+  QUALIFY rank <= 10"""

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from medalyst.llm import bpe, decontaminate, edit_fingerprint, html_mincut, neardup, oracle, pii_crf, quality_cnn, rans, secrets, sharding
+from medalyst.llm import bond, bpe, decontaminate, edit_fingerprint, html_mincut, neardup, oracle, pii_crf, quality_cnn, rans, secrets, sharding
 from medalyst.session import durable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,11 @@ def op10_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.judged(docs, repository=F.concat_ws("/", "source", "lang"), owner=F.col("source")))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return bond.mine(read(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label)
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_network": op1_quality_network,
     "op2_benchmark_leaks": op2_benchmark_leaks,
@@ -78,10 +83,12 @@ QUERIES: dict[str, Query] = {
     "op8_minimum_cut_text": op8_minimum_cut_text,
     "op9_edit_fingerprint": op9_edit_fingerprint,
     "op10_secret_ownership": op10_secret_ownership,
+    "op11_hard_negatives": op11_hard_negatives,
     "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {
     "op7_near_duplicates": oracle.NEAR_DUPLICATES,
     "op10_secret_ownership": oracle.secret_ownership(),
+    "op11_hard_negatives": oracle.HARD_NEGATIVES,
 }
