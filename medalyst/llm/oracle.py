@@ -59,3 +59,26 @@ HARD_NEGATIVES = """WITH r AS (
     vec_id AS negative_id, positive_score, score AS negative_score
   FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
   QUALIFY rank <= 10"""
+
+
+def _words_in_windows(size: int, name: str) -> str:
+    """Words of a document inside windows of ``size`` words that it holds twice or more."""
+    return f"""{name} AS (SELECT doc_id, COUNT(DISTINCT word) AS n FROM (
+      SELECT doc_id, unnest(range(pos, pos + {size})) AS word FROM (
+        SELECT doc_id, pos, COUNT(*) OVER (PARTITION BY doc_id, array_to_string(w[pos:pos + {size - 1}], ' ')) AS copies
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - {size - 2})) AS pos FROM d)) WHERE copies > 1) GROUP BY 1)"""
+
+
+REPETITION_RULES = rf"""WITH d AS (SELECT doc_id, COALESCE(text, '') AS t, regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+  {_words_in_windows(3, 'windows')},
+  {_words_in_windows(10, 'spans')},
+  {_words_in_windows(41, 'long')},
+  c AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(COALESCE(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+      CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+      list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+  f AS (SELECT c.doc_id, n_words, word_chars, n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+      COALESCE(windows.n, 0) AS n_repeat_words, COALESCE(spans.n, 0) AS n_covered, long.n IS NOT NULL AS too_long,
+      n_words < 50 OR 100 * COALESCE(windows.n, 0) > 50 * n_words AS base_failed
+    FROM c LEFT JOIN windows USING (doc_id) LEFT JOIN spans USING (doc_id) LEFT JOIN long USING (doc_id))
+  SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_covered, base_failed,
+    NOT base_failed AND NOT too_long AND n_covered <= 0.2 * n_words AS kept FROM f"""

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from medalyst.llm import bond, bpe, decontaminate, edit_fingerprint, html_mincut, neardup, oracle, pii_crf, quality_cnn, rans, secrets, sharding
+from medalyst.llm import (bond, bpe, decontaminate, edit_fingerprint, html_mincut, neardup, oracle, periodic_runs, pii_crf, quality_cnn, quality_rules, rans,
+                          secrets, sharding)
 from medalyst.session import durable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +73,14 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bond.mine(read(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label)
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.report(read(spark, sf_dir, "documents"), periodic_runs.repeated_tail)
+
+
+def op13_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged(read(spark, sf_dir, "documents")).drop("longest_repeat", "n_maximal")
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_network": op1_quality_network,
     "op2_benchmark_leaks": op2_benchmark_leaks,
@@ -84,6 +93,8 @@ QUERIES: dict[str, Query] = {
     "op9_edit_fingerprint": op9_edit_fingerprint,
     "op10_secret_ownership": op10_secret_ownership,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_repetition_rules": op13_repetition_rules,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -91,4 +102,5 @@ ORACLES: dict[str, str] = {
     "op7_near_duplicates": oracle.NEAR_DUPLICATES,
     "op10_secret_ownership": oracle.secret_ownership(),
     "op11_hard_negatives": oracle.HARD_NEGATIVES,
+    "op13_repetition_rules": oracle.REPETITION_RULES,
 }
