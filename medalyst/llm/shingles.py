@@ -33,15 +33,16 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=2)
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base and of its inverse modulo 2**64."""
-    both = []
-    for base in (_BASE, pow(_BASE, -1, 2**64)):
-        line = np.full(1 << bits, np.uint64(base))
-        line[0] = 1
-        both.append(np.cumprod(line, dtype=np.uint64))
-    return both[0], both[1]
+def _powers(base: int, n: int) -> np.ndarray:
+    """The first ``n`` powers of ``base`` modulo 2**64."""
+    line = np.full(n, np.uint64(base % 2**64))
+    line[0] = 1
+    return np.cumprod(line, dtype=np.uint64)
+
+
+_STEP = 1 << 12
+_POWERS = _powers(_BASE, _STEP)                    # of the places in a word; places beyond go in steps of that many
+_STRETCH = 1 << 20                                 # bytes whose places are laid out at once, or one longer word
 
 
 @lru_cache(maxsize=1)
@@ -71,12 +72,19 @@ def spaced(text: str) -> tuple[bytes, int]:
 def word_hashes(texts: list[bytes], separators: np.ndarray = _SEPARATOR) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words in order, and the number of the text that each belongs to. ``separators`` must hold the space."""
     joined = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
-    power, inverse = _powers(max(16, int(len(joined)).bit_length()))
-    gap = separators[joined]
-    edges = np.diff(np.concatenate([[True], gap]).astype(np.int8))
+    edges = np.diff(np.concatenate([[True], separators[joined]]).astype(np.int8))
     starts, ends = np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
-    total = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE[joined] * power[:len(joined)], dtype=np.uint64)])
-    hashes = mixed((total[ends] - total[starts]) * inverse[starts])
+    hashes = np.empty(len(starts), np.uint64)
+    cuts = np.unique(np.searchsorted(starts, np.arange(0, len(joined), _STRETCH)))
+    for a, b in zip(cuts, [*cuts[1:], len(starts)], strict=True):
+        if a < b:
+            first, last = starts[a], ends[b - 1]
+            place = np.arange(first, last) - np.repeat(starts[a:b], np.diff(np.append(starts[a:b], last)))
+            value = _BYTE[joined[first:last]] * _POWERS[place % _STEP]
+            if (longest := int(place.max())) >= _STEP:
+                value *= _powers(pow(_BASE, _STEP, 2**64), longest // _STEP + 1)[place // _STEP]
+            total = np.concatenate([[np.uint64(0)], np.cumsum(value, dtype=np.uint64)])
+            hashes[a:b] = mixed(total[ends[a:b] - first] - total[starts[a:b] - first])
     bounds = np.cumsum([len(text) + 1 for text in texts])
     return hashes, np.searchsorted(bounds, starts, side="right")
 

@@ -2,11 +2,14 @@
 
 import random
 import re
+import subprocess
+import sys
 
 import numpy as np
 import pytest
 
 from medalyst.llm import neardup, shingles
+from tests.llm.conftest import words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -119,3 +122,22 @@ def test_word_hashes_follow_words():
     hashes, owner = shingles.word_hashes(texts)
     assert owner.tolist() == [0, 0, 2, 2, 2, 3, 3]
     assert hashes[0] == hashes[2] == hashes[5] and hashes[1] == hashes[3] == hashes[6] and len(np.unique(hashes)) == 3
+
+
+def test_word_hashes_across_stretches_and_steps(monkeypatch):
+    texts = [words(1, 400).encode(), b"x" * 9001 + b" " + b"x" * 9000, b"", b"y" * 9001, words(2, 300).encode()]
+    plain = [sum(int(shingles._BYTE[c]) * pow(shingles._BASE, i, 2**64) for i, c in enumerate(w)) % 2**64 for text in texts for w in text.split()]
+    for stretch in (16, 1000, 1 << 20):
+        monkeypatch.setattr(shingles, "_STRETCH", stretch)
+        hashes, owner = shingles.word_hashes(texts)
+        assert hashes.tolist() == shingles.mixed(np.array(plain, np.uint64)).tolist()
+        assert np.bincount(owner, minlength=5).tolist() == [400, 2, 0, 1, 300]
+
+
+def test_a_long_text_leaves_no_memory_behind():
+    code = ("import resource, gc\nfrom medalyst.llm import shingles\n"
+            "rss = lambda: int(open('/proc/self/statm').read().split()[1]) * resource.getpagesize() >> 20\n"
+            "shingles.shingle_sets(['a b c d e f'])\nbefore = rss()\ntext = 'some words of a text ' * (32 * 2**20 // 21)\n"
+            "shingles.shingle_sets([text])\ndel text\ngc.collect()\nassert rss() - before < 50, rss() - before")
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
