@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from medalyst.llm.arrow import with_outputs
 
 MATRIX_WIDTH = 256
-CACHED_UNITS = 250_000
+CACHED_BYTES = 64 << 20
 NO_PAIR = np.int32(2**31 - 1)
 _EMPTY = np.uint64(2**64 - 1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -96,7 +96,7 @@ class ByteBpe:
         self.pairs = PairTable({(ranks[t[:i]], ranks[t[i:]]): rank for t, rank in ranks.items()
                                 for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks})
         self.known = {token: np.array([rank], "<u4").tobytes() for token, rank in ranks.items()}
-        self.cache: dict[str, bytes] = {}
+        self.cache = UnitCache()
 
     @classmethod
     def load(cls, path: str, pattern: str) -> ByteBpe:
@@ -205,20 +205,43 @@ def _cut_rows(ids: np.ndarray) -> list[bytes]:
     return [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
 
-def encode_cached(texts: Iterable[str], cache: dict[str, bytes], encode_units: Callable[[list[str]], list[bytes]],
-                  limit: int = CACHED_UNITS) -> list[bytes]:
-    """Encode texts unit by unit; units not in ``cache`` are encoded together. The cache is emptied when it passes ``limit``."""
+class UnitCache:
+    """Ids of units, in two generations of at most about ``limit`` bytes each: a full one takes the place of the older, whose units are gone unless they were asked for again."""
+
+    def __init__(self, limit: int = CACHED_BYTES):
+        self.limit = limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.size = 0
+
+    def of(self, wanted: set[str], encode_units: Callable[[list[str]], list[bytes]]) -> dict[str, bytes]:
+        """A table that holds all ``wanted`` units; those in neither generation are encoded together."""
+        if self.size > self.limit:
+            self.young, self.old, self.size = {}, self.young, 0
+        young, old = self.young, self.old
+        fresh = [unit for unit in wanted if unit not in young]
+        again = [unit for unit in fresh if unit in old]
+        young.update(zip(again, map(old.__getitem__, again), strict=True))
+        if again:
+            fresh = [unit for unit in fresh if unit not in old]
+        made = encode_units(fresh)
+        young.update(zip(fresh, made, strict=True))
+        # a string, a bytes object and their places in the table take about 250 bytes besides what they hold
+        self.size += 250 * (len(again) + len(fresh)) + sum(map(len, fresh)) + sum(map(len, made))
+        return young
+
+
+def encode_cached(texts: Iterable[str], cache: UnitCache, encode_units: Callable[[list[str]], list[bytes]]) -> list[bytes]:
+    """Encode texts unit by unit; units that ``cache`` does not hold are encoded together."""
     collecting = gc.isenabled()
     gc.disable()            # nothing here makes cycles, and collections would walk the cache again and again
     try:
         split = [units(text) for text in texts]
-        if len(cache) > limit:
-            cache.clear()
-        known = [list(map(cache.get, parts)) for parts in split]
-        fresh = list(dict.fromkeys([unit for parts, ids in zip(split, known, strict=True) for unit, x in zip(parts, ids, strict=True) if x is None]))
-        cache.update(zip(fresh, encode_units(fresh), strict=True))
-        return [b"".join([cache[unit] if x is None else x for unit, x in zip(parts, ids, strict=True)])
-                for parts, ids in zip(split, known, strict=True)]
+        known = cache.of(set().union(*split), encode_units).__getitem__
+        return [b"".join(map(known, parts)) for parts in split]
     finally:
         if collecting:
             gc.enable()

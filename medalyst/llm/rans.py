@@ -25,7 +25,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from medalyst.llm.arrow import map_batches, slices
-from medalyst.llm.bpe import encode_cached
+from medalyst.llm.bpe import UnitCache, encode_cached
 from medalyst.session import durable, shuffle_width, workspace
 
 SCALE = 20                     # bits of the frequency table's total
@@ -34,6 +34,7 @@ WORD = np.uint64(32)
 MAX_LANES = 4096
 CHECKPOINTS = 2
 BLOCK_IDS = 1 << 20
+CACHED_BYTES = 96 << 20       # of one generation of encoded units in a worker, of which there are two
 _HEAD = struct.Struct("<4sIIII")
 
 
@@ -142,7 +143,7 @@ def _library(path: str):
             made[unit] = np.array(found.ids, "<u4").tobytes()
         return [made[unit] for unit in units]
 
-    return encode_units, {}
+    return encode_units, UnitCache(CACHED_BYTES)
 
 
 def tokens(docs: DataFrame, path: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

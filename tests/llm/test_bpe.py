@@ -37,9 +37,10 @@ def test_random_texts(library):
 def test_cache_bound_changes_nothing(library):
     texts = [f"word{i} other{i % 7}" for i in range(50)]
     coder = bpe.vocabulary(PATH, public_tokenizers.PATTERN)
-    cache = {}
-    found = [bpe.encode_cached([text], cache, coder.encode_units, limit=3)[0] for text in texts]
+    cache = bpe.UnitCache(limit=2000)
+    found = [bpe.encode_cached([text], cache, coder.encode_units)[0] for text in texts]
     assert found == [as_bytes(library.encode_ordinary(text)) for text in texts]
+    assert len(cache.young) + len(cache.old) < 20
 
 
 def test_pair_table_collisions():
