@@ -215,13 +215,13 @@ def _(t):
 
 @query("g16_mart_freshness", sql(f"""
     SELECT a.ts AS last_source_event, f.ts AS last_silver_update, g.ts AS last_gold_update,
-      {half_up("date_diff('second', a.ts, g.ts) / 60.0::DOUBLE")} AS e2e_latency_min
+      {half_up("date_diff('second', a.ts, g.ts) / 60.0::DOUBLE")} AS e2e_latency_min, TIMESTAMP '2002-01-01' AS monitored_at
     FROM (SELECT MAX(created_ts) AS ts FROM ow_orders) a, (SELECT MAX(drop_ts) AS ts FROM fact_delivery) f,
       (SELECT MAX(promised_ts) AS ts FROM gold_deliveries) g""", "ow_orders", "fact_delivery", "gold_deliveries"))
 def _(t):
     facts = d.delivery_performance(b.orders(t), b.deliveries(t), b.cancellations(t))
     return d.freshness([("last_source_event", b.orders(t), "created_ts"), ("last_silver_update", facts, "drop_ts"),
-                        ("last_gold_update", gold_deliveries(t), "promised_ts")])
+                        ("last_gold_update", gold_deliveries(t), "promised_ts")], F.lit("2002-01-01").cast("timestamp_ntz"))
 
 
 @query("p20_standardised_text", sql("""

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from medalyst.checks.oracle import money, n
 from medalyst.checks.registry import query
 from medalyst.operators.quality import batch_slice
-from medalyst.session import workspace
+from medalyst.session import durable, workspace
 from medalyst.sources import readers, writers
+from medalyst.sources.ingest import Bronze
 from medalyst.sources.layout import clustered
 from medalyst.sources.upsert import UpsertTable
 
@@ -32,15 +33,32 @@ def _(t):
     return t.nation
 
 
+def _land(rows, folder, by="event_type"):
+    """``rows`` as CSV files that arrive in ``folder``."""
+    rows.write.mode("append").option("header", True).partitionBy(by).csv(folder)
+
+
+@query("s01_malformed_lines", "SELECT event_id, CASE WHEN event_id % 50 = 0 THEN 'rejected' ELSE 'accepted' END AS outcome, CASE WHEN event_id % 50 <> 0 THEN value END AS value FROM events")
+def _(t):
+    folder, kept = workspace(t.spark, "landing"), t.events.select("event_id", "value")
+    _land(t.events.select("event_id", F.when(F.col("event_id") % 50 == 0, "n/a").otherwise(F.col("value").cast("string")).alias("value"), "event_type"), folder)
+    bronze = Bronze(t.spark, "events", folder, kept.schema, workspace(t.spark, "bronze"))
+    bronze.run()
+    lines = bronze.rejected().where(F.col("line").endswith(",n/a")).select(
+        F.split("line", ",")[0].cast("bigint").alias("event_id"), F.lit("rejected").alias("outcome"), F.lit(None).cast("double").alias("value"))
+    return bronze.read().select("event_id", F.lit("accepted").alias("outcome"), "value").unionByName(lines)
+
+
 @query("s05_new_files_only", "SELECT event_id, value FROM events WHERE event_type NOT IN ('view', 'click')")
 def _(t):
-    folder = workspace(t.spark, "landing")
-    t.events.select("event_id", "value", "event_type").write.option("header", True).partitionBy("event_type").csv(folder)
-    listed = readers.list_files(t.spark, folder, "*.csv")
-    tracker = listed.where("file_path RLIKE 'event_type=(view|click)/'").selectExpr("'events' AS table_name", "file_path", "'SUCCESS' AS status")
-    fresh = readers.new_files(t.spark, folder, "events", tracker)
-    paths = [r[0] for r in fresh.select("file_path").collect()]           # file names only
-    return readers.read_csv(t.spark, paths, t.events.select("event_id", "value").schema)
+    folder, rows = workspace(t.spark, "landing"), t.events.select("event_id", "value", "event_type")
+    bronze = Bronze(t.spark, "events", folder, rows.drop("event_type").schema, workspace(t.spark, "bronze"))
+    _land(rows.where("event_type IN ('view', 'click')"), folder)
+    bronze.run()
+    _land(rows.where("event_type NOT IN ('view', 'click')"), folder)
+    fresh = durable(bronze.waiting().select(F.col("file_path").alias("source_file")))
+    bronze.run()
+    return bronze.read().join(fresh, "source_file", "left_semi").select("event_id", "value")
 
 
 @query("s06_counts_as_rows", f"SELECT 'orders' AS table_name, {n()} AS n_rows, CAST(NULL AS VARCHAR) AS note FROM orders UNION ALL SELECT 'lineitem', {n()}, NULL FROM lineitem")
@@ -57,6 +75,15 @@ def _(t):
     return batch_slice(t.orders, "19960101000000", "19960701000000", column="o_orderdate").select("o_orderkey")
 
 
+@query("s07_bronze_by_load_date", "SELECT event_id, CAST(ts AS DATE) AS bronze_date FROM events WHERE ts >= TIMESTAMP '2024-01-05 06:00:00' AND ts < TIMESTAMP '2024-01-20'")
+def _(t):
+    folder, rows = workspace(t.spark, "landing"), t.events.select("event_id", "ts", "event_type")
+    _land(rows, folder)
+    bronze = Bronze(t.spark, "events", folder, rows.drop("event_type").schema, workspace(t.spark, "bronze"))
+    bronze.run(loaded_at=F.col("ts"))
+    return batch_slice(bronze.read(), "20240105060000", "20240120000000").select("event_id", "bronze_date")
+
+
 @query("s08_single_column_metrics", f"SELECT {n()} AS n_rows, MIN(l_shipdate) AS first_ship, MAX(l_shipdate) AS last_ship FROM lineitem")
 def _(t):
     return t.lineitem.select("l_shipdate").agg(F.count(F.lit(1)).alias("n_rows"), F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship"))
@@ -142,25 +169,18 @@ def _(t):
     return t.spark.table("medalyst_orders").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("missing", F.lit(missing))
 
 
-@query("k09_ingest_with_tracker", f"SELECT (SELECT {n()} FROM events) AS n_rows, (SELECT CAST(COUNT(DISTINCT event_type) AS BIGINT) FROM events) AS files_logged, CAST(1 AS BIGINT) AS failures_logged, 'NOTHING_NEW' AS third_run")
+@query("k09_ingest_with_tracker", f"""SELECT (SELECT {n()} FROM events) AS n_rows, (SELECT CAST(COUNT(DISTINCT event_type) AS BIGINT) FROM events) AS files_logged, {n()} AS rows_logged,
+    CAST(1 AS BIGINT) AS failures_logged, TRUE AS cause_kept, 'FAILED SUCCESS NOTHING_NEW' AS outcomes FROM events""")
 def _(t):
-    folder, out = workspace(t.spark, "landing"), workspace(t.spark, "bronze")
-    cols = t.events.select("event_id", "user_id", "value")
-    t.events.select(*cols.columns, "event_type").repartition("event_type").write.option("header", True).partitionBy("event_type").csv(folder)
-    read = lambda paths: readers.read_csv(t.spark, paths, cols.schema)
-
-    def broken(_paths):
-        raise OSError("unreadable batch")
-
-    def run(reader, first=False):
-        seen = None if first else t.spark.read.parquet(f"{out}/tracker")
-        files = [r[0] for r in readers.new_files(t.spark, folder, "events", seen).select("file_path").collect()]
-        return writers.ingest_files(t.spark, files, reader, f"{out}/data", f"{out}/tracker", "events")
-
-    outcomes = [run(broken, first=True), run(read), run(read)]
-    log = t.spark.read.parquet(f"{out}/tracker")
-    return log.agg(F.count_if(F.col("status") == "SUCCESS").alias("files_logged"), F.count_if(F.col("status") == "FAILED").alias("failures_logged")).select(
-        t.spark.read.parquet(f"{out}/data").agg(F.count(F.lit(1))).scalar().alias("n_rows"), "files_logged", "failures_logged", F.lit(outcomes[2]).alias("third_run"))
+    folder, rows = workspace(t.spark, "landing"), t.events.select("event_id", "user_id", "value", "event_type")
+    _land(rows.repartition("event_type"), folder)
+    bronze = Bronze(t.spark, "events", folder, rows.drop("event_type").schema, workspace(t.spark, "bronze"))
+    outcomes = [bronze.run(loaded_at=F.raise_error(F.lit("unreadable batch"))), bronze.run(), bronze.run()]
+    ok = F.col("status") == "SUCCESS"
+    return bronze.tracker().agg(
+        F.count_if(ok).alias("files_logged"), F.sum(F.when(ok, F.col("n_rows"))).alias("rows_logged"), F.count_if(~ok).alias("failures_logged"),
+        F.max(F.col("cause").contains("unreadable batch")).alias("cause_kept")).select(
+        bronze.read().agg(F.count(F.lit(1))).scalar().alias("n_rows"), "*", F.lit(" ".join(outcomes)).alias("outcomes"))
 
 
 @query("k10_csv_export", "SELECT p_partkey, p_name, p_retailprice FROM part")

@@ -9,6 +9,7 @@ from medalyst.checks.oracle import count_if, half_up, n, sql
 from medalyst.checks.registry import query
 from medalyst.contracts import CANCELLATIONS, CONTRACTS, DELIVERIES, ORDERS, PRICING, RIDERS, SUPPORT
 from medalyst.operators import quality
+from medalyst.session import workspace
 
 AS_OF = "2002-01-01"
 
@@ -144,9 +145,22 @@ def _(t):
     return quality.drift_report(t.customer, ["c_custkey", "c_name", "c_nationkey", "segment"])
 
 
+@query("v01_type_drift_gate", f"SELECT check_name, failed_rows, total_rows, CASE WHEN failed_rows = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM (SELECT 'schema_exact_match' AS check_name, CAST(0 AS BIGINT) AS failed_rows, {n()} AS total_rows FROM orders UNION ALL SELECT 'schema_types_match', 2, {n()} FROM orders)")
+def _(t):
+    # every column of the contract is there, two of them with another type
+    expected = {f.name: f.dataType for f in ORDERS.bronze}
+    given = {"order_id": F.col("o_orderkey"), "order_value": F.col("o_totalprice"), "tax_amount": F.col("o_totalprice").cast("string"),
+             "bronze_ingestion_ts": F.col("o_orderdate").cast("timestamp")}
+    typed = {"order_id": "bigint", "tax_amount": "string"}
+    rows = t.orders.select(*[given.get(c, F.lit(None)).cast(typed.get(c, kind)).alias(c) for c, kind in expected.items()])
+    results = quality.check_results(rows, ORDERS, as_of(), types=True)
+    return results.where("check_type = 'schema_check'").select("check_name", "failed_rows", "total_rows", "status")
+
+
 @query("v02_table_not_empty", f"SELECT {n()} AS total_rows, COUNT(*) > 0 AS not_empty FROM events")
 def _(t):
-    return t.events.agg(F.count(F.lit(1)).alias("total_rows"), (F.count(F.lit(1)) > 0).alias("not_empty"))
+    rows = F.count(F.lit(1))
+    return t.events.agg(rows.alias("total_rows"), (~quality.is_empty(rows)).alias("not_empty"))
 
 
 @query("v04_key_uniqueness", f"SELECT {n()} AS duplicate_keys, CAST(SUM(c - 1) AS BIGINT) AS surplus_rows FROM (SELECT COUNT(*) AS c FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1)")
@@ -157,14 +171,14 @@ def _(t):
 
 @query("v05_freshness_days", f"SELECT event_type, date_diff('second', MAX(ts), TIMESTAMP '2024-02-03') // 86400 AS age_days, date_diff('second', MAX(ts), TIMESTAMP '2024-02-03') // 86400 > 2 AS stale FROM events GROUP BY 1")
 def _(t):
-    age = F.floor(F.timestamp_diff("SECOND", F.max("ts"), F.lit("2024-02-03").cast("timestamp_ntz")) / 86400)
-    return t.events.groupBy("event_type").agg(age.alias("age_days"), (age > quality.FRESHNESS_DAYS).alias("stale"))
+    newest, now = F.max("ts"), F.lit("2024-02-03").cast("timestamp_ntz")
+    return t.events.groupBy("event_type").agg(quality.days_since(newest, now).alias("age_days"), quality.is_stale(newest, now).alias("stale"))
 
 
 @query("v06_volume", f"SELECT l_suppkey, {n()} AS total_rows, COUNT(*) < 600 AS too_small FROM lineitem GROUP BY 1")
 def _(t):
     # the per-source form of the volume check, with a limit inside the data's range
-    return t.lineitem.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("total_rows"), (F.count(F.lit(1)) < 600).alias("too_small"))
+    return t.lineitem.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("total_rows"), quality.is_small(F.count(F.lit(1)), 600).alias("too_small"))
 
 
 @query("v07_results_by_severity",
@@ -183,6 +197,19 @@ def _(t):
     return results.groupBy("severity", "status").agg(F.count(F.lit(1)).alias("checks"))
 
 
+@query("v07_result_log", sql(f"""SELECT check_name, CAST(2 AS BIGINT) AS runs, failed, TIMESTAMP '2002-01-02' AS newest_run, CASE WHEN failed = 0 THEN 'PASS' ELSE 'FAIL' END AS newest_status FROM (
+    SELECT 'order_value_positive' AS check_name, {count_if('order_value < 0')} AS failed FROM ow_orders UNION ALL
+    SELECT 'accepted_after_created', {count_if('accepted_ts < created_ts')} FROM ow_orders)""", "ow_orders"))
+def _(t):
+    path = workspace(t.spark, "log")
+    orders = b.orders(t)
+    for rows, day in ((orders.where("order_value < 0 OR order_value >= 1000"), "2002-01-01"), (orders, "2002-01-02")):
+        quality.log_results(quality.check_results(rows, ORDERS, as_of(), ingest_column="ingestion_ts"), path, F.lit(day).cast("timestamp"))
+    log = t.spark.read.parquet(path).where("check_name IN ('order_value_positive', 'accepted_after_created')")
+    newest = quality.latest_results(log).select("check_name", F.col("failed_rows").alias("failed"), F.col("run_ts").cast("timestamp_ntz").alias("newest_run"), F.col("status").alias("newest_status"))
+    return log.groupBy("check_name").agg(F.count(F.lit(1)).alias("runs")).join(newest, "check_name")
+
+
 _BAD_DELIVERY = "NOT (distance_km_actual > 0 AND duration_min_actual > 0 AND pickup_ts >= dispatch_ts)"
 
 
@@ -195,7 +222,10 @@ def _(t):
 @query("v08_undecided_rows_pass", sql(f"SELECT {count_if('drop_ts < pickup_ts')} AS bad, {count_if('drop_ts >= pickup_ts')} AS good, {count_if('drop_ts IS NULL')} AS undecided FROM ow_deliveries", "ow_deliveries"))
 def _(t):
     flagged = b.deliveries(t).withColumn("is_valid", F.col("drop_ts") >= F.col("pickup_ts"))
-    return flagged.agg(F.count_if(~F.col("is_valid")).alias("bad"), F.count_if("is_valid").alias("good"), F.count_if(F.col("is_valid").isNull()).alias("undecided"))
+    let_through = quality.accepted(flagged, "delivery_id", undecided_is_bad=False, by_key=False)
+    rows = lambda df: df.agg(F.count(F.lit(1))).scalar()
+    return t.spark.range(1).select(rows(quality.quarantined(flagged, undecided_is_bad=False)).alias("bad"), rows(let_through.where("drop_ts IS NOT NULL")).alias("good"),
+                                   rows(let_through.where("drop_ts IS NULL")).alias("undecided"))
 
 
 @query("v09_batch_window", """SELECT event_id, ts FROM events WHERE ts >= TIMESTAMP '2024-01-05 06:00:00' AND ts < TIMESTAMP '2024-01-20 00:00:00'""")

@@ -18,12 +18,18 @@ RESULT_COLUMNS = ("table_name", "check_name", "check_type", "failed_rows", "tota
 
 
 def batch_slice(df: DataFrame, start: str | None, end: str | None, column: str = "bronze_ingestion_ts",
-                fmt: str = "yyyyMMddHHmmss") -> DataFrame:
-    """Rows with ``start <= column < end``; without both bounds the whole table."""
+                fmt: str = "yyyyMMddHHmmss", date_column: str = "bronze_date") -> DataFrame:
+    """Rows with ``start <= column < end``; without both bounds the whole table.
+
+    Where the table is laid out by ``date_column`` (the date of ``column``), only the folders of those dates are read.
+    """
     if not (start and end):
         return df
     bound = lambda text: F.to_timestamp(F.lit(text), fmt).cast(df.schema[column].dataType)
-    return df.where((F.col(column) >= bound(start)) & (F.col(column) < bound(end)))
+    inside = (F.col(column) >= bound(start)) & (F.col(column) < bound(end))
+    if date_column in df.columns and date_column != column:
+        inside = inside & F.col(date_column).between(F.to_date(bound(start)), F.to_date(bound(end)))
+    return df.where(inside)
 
 
 def clean_table_name(name: str | None) -> str:
@@ -56,14 +62,33 @@ def type_drift(df: DataFrame, contract: Contract) -> dict[str, tuple[str, str]]:
             if f.name in found and found[f.name] != f.dataType.simpleString()}
 
 
+def days_since(newest: Column, now: Column) -> Column:
+    """Whole days from the newest row to now; NULL without a row."""
+    return F.floor(F.timestamp_diff("SECOND", newest, now) / F.lit(86400))
+
+
+def is_stale(newest: Column, now: Column) -> Column:
+    """True for an empty table, and beyond ``FRESHNESS_DAYS`` whole days."""
+    return newest.isNull() | (days_since(newest, now) > FRESHNESS_DAYS)
+
+
+def is_empty(n_rows: Column) -> Column:
+    return n_rows == 0
+
+
+def is_small(n_rows: Column, least: int = MIN_ROWS) -> Column:
+    return n_rows < least
+
+
 def check_results(df: DataFrame, contract: Contract, as_of: Column | datetime | None = None,
                   table: str | None = None, ingest_column: str = "bronze_ingestion_ts",
-                  full_table: DataFrame | None = None) -> DataFrame:
+                  full_table: DataFrame | None = None, types: bool = False) -> DataFrame:
     """One row per check. Reads ``df`` twice: once for all row rules, the row count and the
     newest load, once for the key counts.
 
     Rules over columns the table lacks are left out; the drift check reports them.
-    With ``full_table`` the emptiness and volume checks count that table instead of the batch.
+    With ``full_table`` the emptiness and volume checks count that table instead of the batch. With ``types`` one more
+    check counts the columns whose type is not the contract's.
     """
     now = F.current_timestamp() if as_of is None else (as_of if isinstance(as_of, Column) else F.lit(as_of))
     name = clean_table_name(table or f"{contract.entity}_raw")
@@ -76,15 +101,14 @@ def check_results(df: DataFrame, contract: Contract, as_of: Column | datetime |
     volume = F.col("n") if full_table is None else full_table.select(F.count(F.lit(1))).scalar()
 
     missing, unexpected = schema_drift(df, contract.bronze.names)
-    age_days = F.floor(F.timestamp_diff("SECOND", F.col("newest"), now) / F.lit(86400))
-    stale = F.when(F.col("newest").isNull(), 1).otherwise((age_days > FRESHNESS_DAYS).cast("int"))
     checks = [
         ("schema_exact_match", "schema_check", F.lit(int(bool(missing or unexpected))), "CRITICAL"),
-        ("table_not_empty", "table_check", (volume == 0).cast("int"), "CRITICAL"),
+        *([("schema_types_match", "schema_check", F.lit(len(type_drift(df, contract))), "CRITICAL")] if types else []),
+        ("table_not_empty", "table_check", is_empty(volume).cast("int"), "CRITICAL"),
         (f"{contract.key}_unique", "duplicate_check", duplicates.scalar(), "CRITICAL"),
         *[(r.name, r.kind, F.col(f"r{i}"), r.severity) for i, r in enumerate(rules)],
-        (contract.freshness_check, "freshness_check", stale, "CRITICAL"),
-        ("volume_reasonable_min_threshold", "volume_check", (volume < MIN_ROWS).cast("int"), "WARNING"),
+        (contract.freshness_check, "freshness_check", is_stale(F.col("newest"), now).cast("int"), "CRITICAL"),
+        ("volume_reasonable_min_threshold", "volume_check", is_small(volume).cast("int"), "WARNING"),
     ]
     rows = F.array(*[
         F.struct(F.lit(check).alias("check_name"), F.lit(kind).alias("check_type"),
@@ -96,6 +120,18 @@ def check_results(df: DataFrame, contract: Contract, as_of: Column | datetime |
         F.when(F.col("failed_rows") == 0, "PASS").otherwise("FAIL").alias("status"), "severity")
 
 
+def log_results(results: DataFrame, path: str, run_ts: Column | None = None) -> None:
+    """Append one run's check results to the log, stamped with the run."""
+    results.select(*RESULT_COLUMNS, (F.current_timestamp() if run_ts is None else run_ts).cast("timestamp").alias("run_ts")).write.mode("append").parquet(path)
+
+
+def latest_results(log: DataFrame) -> DataFrame:
+    """The newest run's row of each table and check; the log may hold any number of runs."""
+    rest = [c for c in log.columns if c not in ("table_name", "check_name")]
+    newest = log.groupBy("table_name", "check_name").agg(F.max_by(F.struct(*rest), F.struct("run_ts", "failed_rows")).alias("r"))
+    return newest.select("table_name", "check_name", *[F.col(f"r.{c}").alias(c) for c in rest])
+
+
 def with_validity(df: DataFrame, contract: Contract, as_of: Column | datetime | None = None) -> DataFrame:
     now = F.current_timestamp() if as_of is None else (as_of if isinstance(as_of, Column) else F.lit(as_of))
     return df.withColumn("is_valid", contract.valid(now.cast("date")))

@@ -252,12 +252,12 @@ def health_snapshot(scores: DataFrame, processed_at: str = "processed_at") -> Da
         ladder([(score >= 98, "EXCELLENT"), (score >= 90, "WARNING")], "CRITICAL").alias("health_status"))
 
 
-def freshness(stages: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:
-    """Newest timestamp of each stage (output column, table, timestamp column) and the minutes
-    from the first stage to the last, 0 when either is empty. One plan, nothing collected."""
+def freshness(stages: Sequence[tuple[str, DataFrame, str]], as_of: Column | None = None) -> DataFrame:
+    """Newest timestamp of each stage (output column, table, timestamp column), the minutes from the first
+    stage to the last, 0 when either is empty, and when it was looked at. One plan, nothing collected."""
     newest = {name: df.agg(F.max(ts)).scalar() for name, df, ts in stages}
     spark = stages[0][1].sparkSession
     first, last = stages[0][0], stages[-1][0]
     lag = F.round(minutes_between(first, last), 2)
     return spark.range(1).select(*[c.alias(n) for n, c in newest.items()]).withColumn(
-        "e2e_latency_min", F.coalesce(lag, F.lit(0.0)))
+        "e2e_latency_min", F.coalesce(lag, F.lit(0.0))).withColumn("monitored_at", F.current_timestamp() if as_of is None else as_of)

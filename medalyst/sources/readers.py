@@ -26,27 +26,12 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructTy
     return reader.option("mode", "PERMISSIVE").schema(schema).csv(paths)
 
 
-def list_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
+def list_files(spark: SparkSession, folder: str, glob: str = "*", nested: bool = False) -> DataFrame:
     """The files below a folder as a frame; no content is read."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
+    return (spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", nested).load(folder)
             .select(F.col("path").alias("file_path"), "modificationTime", "length"))
 
 
-def new_files(spark: SparkSession, folder: str, table: str, tracker: DataFrame | None, glob: str = "*.csv") -> DataFrame:
-    """Files of a folder without a SUCCESS row in the tracker. No tracker means a first run;
-    a folder that cannot be read means nothing new."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        listed = list_files(spark, folder, glob)
-    except AnalysisException:
-        return spark.createDataFrame([], "file_path string, modificationTime timestamp, length bigint")
-    if tracker is None:
-        return listed
-    done = tracker.where((F.col("table_name") == table) & (F.col("status") == "SUCCESS")).select("file_path")
-    return listed.join(done, "file_path", "left_anti")
-
-
 def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType = FILE_TRACKER) -> DataFrame:
     """A few rows with stated types, so an all-NULL column keeps its type."""
     return spark.createDataFrame(list(rows), schema)

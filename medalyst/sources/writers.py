@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from medalyst.contracts import FILE_TRACKER
-
 
 def stamped(df: DataFrame, layer: str, as_of: Column | None = None, source: Column | str | None = None) -> DataFrame:
     """Add ``<layer>_ingestion_ts`` and, if given, ``record_source``."""
@@ -53,28 +49,3 @@ def create_if_missing(spark: SparkSession, path: str, schema: T.StructType) -> b
 def export_csv(df: DataFrame, path: str) -> None:
     """CSV with a header, one file per task; never gathered into one."""
     df.write.mode("overwrite").option("header", True).csv(path)
-
-
-def ingest_files(spark: SparkSession, files: Sequence[str], read: Callable[[list[str]], DataFrame], target: str,
-                 tracker: str, table: str, as_of: Column | None = None) -> str:
-    """Append the files' rows with a load stamp, then log one row per file.
-
-    A failed batch is logged as one ``BATCH_FAILURE`` row. Data and log are two
-    commits, so a crash between them loads a file again: readers keep the
-    newest row per key, and the streaming ingest closes the gap.
-    """
-    if not files:
-        return "NOTHING_NEW"
-    now = F.current_timestamp() if as_of is None else as_of
-
-    def log(paths: Sequence[str], status: str) -> None:
-        rows = spark.createDataFrame([(table, p, status, None) for p in paths], FILE_TRACKER)
-        append(rows.withColumn("ingestion_ts", now.cast("timestamp")), tracker)
-
-    try:
-        append(read(list(files)).withColumn("bronze_ingestion_ts", now), target)
-    except Exception:
-        log(["BATCH_FAILURE"], "FAILED")
-        return "FAILED"
-    log(files, "SUCCESS")
-    return "SUCCESS"

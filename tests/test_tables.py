@@ -23,10 +23,6 @@ def test_malformed_csv_fields_become_null(spark, rows):
     assert rows(got, "id", "n", readers.CORRUPT) == [("a", 1, None), ("b", None, "b,oops")]
 
 
-def test_unreadable_folder_means_nothing_new(spark):
-    assert readers.new_files(spark, "/tmp/medalyst-no-such-folder", "orders", None).count() == 0
-
-
 def test_required_tables_are_all_named(spark):
     with pytest.raises(LookupError, match="nope_a, nope_b"):
         readers.require_tables(spark, ["nope_a", "nope_b"])
