@@ -8,7 +8,7 @@ from medalyst.checks import bindings as b
 from medalyst.checks.oracle import count_if, half_up, n, sql
 from medalyst.checks.registry import query
 from medalyst.checks.subscribers import _SWITCH
-from medalyst.operators import stats
+from medalyst.operators import logistic, stats
 from medalyst.operators.relational import frequency
 from medalyst.operators.series import below
 
@@ -91,7 +91,7 @@ def _wilson(g: str, sign: str) -> str:
 _TWO = f"""SELECT *, {half_up('x_treatment / n_treatment::DOUBLE', 9)} AS rate_treatment, {half_up('x_control / n_control::DOUBLE', 9)} AS rate_control,
     {half_up('(x_treatment / n_treatment::DOUBLE - x_control / n_control::DOUBLE) * 100 / (x_control / n_control::DOUBLE)', 6)} AS lift_pct,
     {half_up('(x_treatment / n_treatment::DOUBLE - x_control / n_control::DOUBLE) / sqrt((x_treatment + x_control) / (n_treatment + n_control)::DOUBLE * (1 - (x_treatment + x_control) / (n_treatment + n_control)::DOUBLE) * (1 / n_treatment::DOUBLE + 1 / n_control::DOUBLE))', 6)} AS z_stat,
-    {', '.join(f'{_wilson(g, s)} AS {name}_{g}' for g in ('treatment', 'control') for name, s in (('low', '-'), ('high', '+')))} FROM a"""
+    n_treatment >= 30 AND n_control >= 30 AS enough, {', '.join(f'{_wilson(g, s)} AS {name}_{g}' for g in ('treatment', 'control') for name, s in (('low', '-'), ('high', '+')))} FROM a"""
 
 
 @query("st04_two_proportions", sql(_TWO, a=_ARMS))
@@ -138,7 +138,29 @@ def _(t):
     return rounded(stats.widest_cell(b.engagement(t), ["age_group", "city_tier"], "watch_mins"), mean=4, variance=2)
 
 
-@query("st07_two_way_anova")
+# the additive fit by alternating means over the levels, until nothing moves
+_ADDITIVE = sql("""SELECT 'age_group' AS term, r_both - r_b AS sum_sq, CAST(ka - 1 AS DOUBLE) AS dof FROM fit UNION ALL SELECT 'city_tier', r_both - r_a, kb - 1 FROM fit
+    UNION ALL SELECT 'age_group:city_tier', r_cells - r_both, k - ka - kb + 1 FROM fit UNION ALL SELECT 'residual', within, n - k FROM fit""", "engagement",
+    known="SELECT age_group AS a, city_tier AS b, watch_mins - AVG(watch_mins) OVER () AS x FROM engagement WHERE age_group IS NOT NULL AND city_tier IS NOT NULL AND watch_mins IS NOT NULL",
+    cells="SELECT a, b, CAST(COUNT(*) AS DOUBLE) AS n, SUM(x) AS s, VAR_POP(x) * COUNT(*) AS w FROM known GROUP BY ALL",
+    la="SELECT list(a ORDER BY a) AS names, list(n ORDER BY a) AS n, list(s ORDER BY a) AS s FROM (SELECT a, SUM(n) AS n, SUM(s) AS s FROM cells GROUP BY 1)",
+    lb="SELECT list(b ORDER BY b) AS names, list(n ORDER BY b) AS n, list(s ORDER BY b) AS s FROM (SELECT b, SUM(n) AS n, SUM(s) AS s FROM cells GROUP BY 1)",
+    grid="SELECT list(r ORDER BY a) AS m FROM (SELECT a, list(n ORDER BY b) AS r FROM (SELECT la.a, lb.b, COALESCE(cells.n, 0) AS n FROM (SELECT DISTINCT a FROM cells) la CROSS JOIN (SELECT DISTINCT b FROM cells) lb LEFT JOIN cells USING (a, b)) GROUP BY 1)",
+    effects="""SELECT al, be FROM (WITH RECURSIVE step(i, al, be) AS (
+      SELECT 0, list_transform(la.n, lambda v: 0.0::DOUBLE), list_transform(lb.n, lambda v: 0.0::DOUBLE) FROM la, lb
+      UNION ALL SELECT i + 1, na, list_transform(range(1, len(be) + 1), lambda j: (lb.s[j] - list_dot_product(na, list_transform(m, lambda r: r[j]))) / lb.n[j]) FROM (
+        SELECT i, be, m, list_transform(range(1, len(al) + 1), lambda k: (la.s[k] - list_dot_product(be, m[k])) / la.n[k]) AS na FROM step, la, grid WHERE i < 200), lb)
+      SELECT al, be FROM step WHERE i = 200)""",
+    fit="""SELECT list_dot_product(al, la.s) + list_dot_product(be, lb.s) AS r_both, (SELECT SUM(s * s / n) FROM cells) AS r_cells, (SELECT SUM(w) FROM cells) AS within, (SELECT SUM(n) FROM cells) AS n, (SELECT COUNT(*) FROM cells) AS k,
+      list_sum(list_transform(range(1, len(al) + 1), lambda k: la.s[k] * la.s[k] / la.n[k])) AS r_a, list_sum(list_transform(range(1, len(be) + 1), lambda k: lb.s[k] * lb.s[k] / lb.n[k])) AS r_b, len(al) AS ka, len(be) AS kb FROM effects, la, lb""")
+
+
+@query("st07_two_way_anova", f"SELECT term, {half_up('sum_sq', 3)} AS sum_sq, dof FROM ({_ADDITIVE})")
+def _(t):
+    return rounded(stats.two_way_anova(b.engagement(t), "age_group", "city_tier", "watch_mins").select("term", "sum_sq", "dof"), sum_sq=3)
+
+
+@query("st07_anova_p_values")
 def _(t):
     return stats.two_way_anova(b.engagement(t), "age_group", "city_tier", "watch_mins")
 
@@ -169,7 +191,21 @@ def _(t):
     from medalyst.plans.subscribers import with_downgrade_flag
     coded = with_downgrade_flag(_coded(t))
     mean = coded.agg(F.avg("watch_mins")).scalar()
-    return stats.odds_ratios(coded.withColumn("low_watch", below("watch_mins", mean)), "downgrade_flag", ["low_watch", "inactivity_flag", "age_code"], "platform")
+    return logistic.odds_ratios(coded.withColumn("low_watch", below("watch_mins", mean)), "downgrade_flag", ["low_watch", "inactivity_flag", "age_code"], "platform")
+
+
+# with one flag as the only feature the fit has a closed form: the odds of the two-by-two table
+_SIDES = ", ".join(f"CAST(COUNT(*) FILTER (WHERE y = {y} AND x = {x}) AS DOUBLE) AS n{y}{x}" for y in (0, 1) for x in (0, 1))
+_ODDS = {"const": ("n10 / n00", "1 / n10 + 1 / n00"), "large": ("n11 * n00 / (n10 * n01)", "1 / n11 + 1 / n10 + 1 / n01 + 1 / n00")}
+
+
+@query("st09_odds_of_a_flag", "WITH f AS (SELECT CAST(l_suppkey AS VARCHAR) AS g, CAST(l_returnflag = 'R' AS INTEGER) AS y, CAST(l_quantity > 25 AS INTEGER) AS x FROM lineitem), "
+       f"c AS (SELECT g, {_SIDES} FROM f GROUP BY 1 UNION ALL SELECT 'Overall', {_SIDES} FROM f) "
+       + " UNION ALL ".join(f"SELECT g AS part, '{term}' AS term, {half_up(odds, 7)} AS odds_ratio, {half_up(f'exp(ln({odds}) - {stats.Z95!r}::DOUBLE * sqrt({var}))', 7)} AS low, {half_up(f'exp(ln({odds}) + {stats.Z95!r}::DOUBLE * sqrt({var}))', 7)} AS high, CAST(n00 + n01 + n10 + n11 AS BIGINT) AS n_rows, TRUE AS converged FROM c"
+                            for term, (odds, var) in _ODDS.items()))
+def _(t):
+    flagged = t.lineitem.select("l_suppkey", (F.col("l_returnflag") == "R").cast("int").alias("returned"), (F.col("l_quantity") > 25).cast("int").alias("large"))
+    return rounded(logistic.odds_ratios(flagged, "returned", ["large"], "l_suppkey").drop("p_value"), odds_ratio=7, low=7, high=7)
 
 
 @query("st10_hash_assignment", f"""SELECT CASE WHEN substr(md5('exp1:' || CAST(c_custkey AS VARCHAR)), 32, 1) IN ('1', '3', '5', '7', '9', 'b', 'd', 'f') THEN 'treatment' ELSE 'control' END AS arm, {n()} AS users FROM customer GROUP BY 1""")

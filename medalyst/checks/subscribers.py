@@ -260,10 +260,13 @@ def _(t):
     return p.cohort_decay(b.subscribers(t), "platform", AS_OF)
 
 
-@query("c36_acquired_cohort", sql("""SELECT user_id, subscription_date FROM subs WHERE platform = 'A' AND year(subscription_date) = 1995 AND CASE WHEN (SELECT COUNT(*) FROM subs WHERE platform = 'A' AND year(subscription_date) = 1995
+_NARROW = "(SELECT COUNT(*) FROM subs WHERE platform = 'A' AND year(subscription_date) = 1995 AND month(subscription_date) BETWEEN 4 AND 6)"
+
+
+@query("c36_acquired_cohort", sql(f"""SELECT user_id, subscription_date, CAST({_NARROW} AS BIGINT) AS range_users, CASE WHEN {_NARROW} >= 50 THEN '4-6' ELSE '1-9' END AS cohort_range FROM subs WHERE platform = 'A' AND year(subscription_date) = 1995 AND CASE WHEN (SELECT COUNT(*) FROM subs WHERE platform = 'A' AND year(subscription_date) = 1995
     AND month(subscription_date) BETWEEN 4 AND 6) >= 50 THEN month(subscription_date) BETWEEN 4 AND 6 ELSE month(subscription_date) BETWEEN 1 AND 9 END""", "subs"))
 def _(t):
-    return p.acquired_between(b.subscribers(t), "A", 1995, (4, 6), (1, 9)).select("user_id", "subscription_date")
+    return p.acquired_between(b.subscribers(t), "A", 1995, (4, 6), (1, 9)).select("user_id", "subscription_date", "range_users", "cohort_range")
 
 
 _STEPS = [("signup", "COUNT(*)"), ("paid", "COUNT(*) FILTER (WHERE plan_price > 0)"), ("active", "COUNT(*) FILTER (WHERE act)"), ("high_engagement", "COUNT(*) FILTER (WHERE watch_mins >= h)")]

@@ -14,7 +14,6 @@ from medalyst.operators.ordered import running_total
 from medalyst.session import durable
 
 Z95 = 1.959963984540054      # two-sided 95 percent normal quantile
-MAX_CELLS = 10_000           # most result cells a closed-form fit may bring to the driver
 
 
 def pearson_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -71,7 +70,7 @@ def chi_square_2x2(df: DataFrame, a: Column, b: Column, by: Sequence[str] = (),
 def two_proportions(df: DataFrame, arm: Column, success: Column, by: Sequence[str] = (), min_arm: int = 30) -> DataFrame:
     """Pooled z-test of treatment (``arm`` true) against control with Wilson intervals and lift.
 
-    Statistics are NULL when an arm has fewer than ``min_arm`` rows.
+    ``enough`` tells whether both arms have ``min_arm`` rows, as the normal approximation asks for; the statistics do not depend on it.
     """
     s = df.where(success.isNotNull()).groupBy(*by).agg(
         F.count_if(arm).alias("n_treatment"), F.count_if(~arm).alias("n_control"),
@@ -85,13 +84,13 @@ def two_proportions(df: DataFrame, arm: Column, success: Column, by: Sequence[st
     out = s.withColumns({
         "rate_treatment": p["treatment"], "rate_control": p["control"],
         "lift_pct": F.coalesce(F.try_divide((p["treatment"] - p["control"]) * 100, p["control"]), F.lit(0.0)),
-        "z_stat": F.when(enough, F.try_divide(p["treatment"] - p["control"], error))})
+        "z_stat": F.try_divide(p["treatment"] - p["control"], error), "enough": enough})
     for g in ("treatment", "control"):
         n, z2 = F.col(f"n_{g}"), Z95 * Z95
         spread = F.try_divide(F.lit(1.0), F.lit(1.0) + F.try_divide(F.lit(z2), n))
         centre = (p[g] + F.try_divide(F.lit(z2), n * 2)) * spread
         margin = F.sqrt(F.try_divide(p[g] * (F.lit(1.0) - p[g]), n) + F.try_divide(F.lit(z2), n * n * 4)) * Z95 * spread
-        out = out.withColumns({f"low_{g}": F.when(enough, centre - margin), f"high_{g}": F.when(enough, centre + margin)})
+        out = out.withColumns({f"low_{g}": centre - margin, f"high_{g}": centre + margin})
     return out.withColumn("p_value", normal_p("z_stat"))
 
 
@@ -143,38 +142,58 @@ def widest_cell(df: DataFrame, factors: Sequence[str], value: str) -> DataFrame:
         F.desc("variance"), *factors).limit(1)
 
 
+def _additive(cells: DataFrame) -> tuple[float, float, int, int]:
+    """Sums of squares explained by ``a + b`` and by ``a`` alone over the cells ``a, b, n, s``, and the number of levels of each.
+
+    With the effects of ``a`` eliminated, those of ``b`` solve one linear system. It is never built: a product with it is two grouped sums
+    over the cells, and conjugate gradients, scaled by the level sizes, need a few of them.
+    """
+    of_a = durable(cells.groupBy("a").agg(F.sum("n").alias("na"), F.sum("s").alias("sa")))
+    joined = durable(cells.join(of_a, "a"))
+    state = durable(joined.groupBy("b").agg(F.sum("n").alias("nb"), F.sum(F.col("s") - F.col("n") * F.col("sa") / F.col("na")).alias("r")).select(
+        "b", "nb", F.lit(0.0).alias("beta"), "r", (F.col("r") / F.col("nb")).alias("p"), F.col("r").alias("r0")))
+    alone, levels_a = of_a.agg(F.sum(F.col("sa") * F.col("sa") / F.col("na")), F.count(F.lit(1))).first()
+    start, levels_b = state.agg(F.sum(F.col("r") * F.col("r") / F.col("nb")), F.count(F.lit(1))).first()
+    left = start
+    for _ in range(2 * levels_b):
+        if not left or left <= 1e-24 * start:
+            break
+        pulled = joined.join(state.select("b", "p"), "b").groupBy("a").agg((F.sum(F.col("n") * F.col("p")) / F.max("na")).alias("mean"))
+        moved = joined.join(pulled, "a").groupBy("b").agg(F.sum(F.col("n") * F.col("mean")).alias("q"))
+        stepped = durable(state.join(moved, "b").withColumn("q", F.col("nb") * F.col("p") - F.col("q")))
+        curve = stepped.agg(F.sum(F.col("p") * F.col("q"))).first()[0]
+        if curve <= 1e-14 * left:                                       # what is left moves all levels alike
+            break
+        step = left / curve
+        state = stepped.select("b", "nb", (F.col("beta") + step * F.col("p")).alias("beta"), (F.col("r") - step * F.col("q")).alias("r"), "p", "r0")
+        now = state.agg(F.sum(F.col("r") * F.col("r") / F.col("nb"))).first()[0]
+        state = durable(state.withColumn("p", F.col("r") / F.col("nb") + (now / left) * F.col("p")))
+        left = now
+    gain = state.agg(F.sum(F.col("beta") * F.col("r0"))).first()[0]
+    return alone + gain, alone, levels_a, levels_b
+
+
 def two_way_anova(df: DataFrame, a: str, b: str, value: str) -> DataFrame:
-    """Type II sums of squares with interaction.
+    """Type II sums of squares with interaction; rows with a NULL factor or value are left out.
 
-    Spark reduces the table to one row per cell (n, mean, squared deviations);
-    the nested least-squares fits then run on those few cells.
+    Spark reduces the table to one row per cell and fits the main effects over the cells; only sums reach the driver, however many levels there are.
     """
-    x = F.col(value).cast("double")
-    per_cell = df.where(x.isNotNull()).groupBy(a, b).agg(
-        F.count(x).alias("n"), F.avg(x).alias("mean"), (F.var_pop(x) * F.count(x)).alias("within"))
-    cells = per_cell.limit(MAX_CELLS + 1).collect()
-    if len(cells) > MAX_CELLS:
-        raise ValueError(f"more than {MAX_CELLS} factor combinations")
-    n = np.array([r["n"] for r in cells], dtype=float)
-    mean = np.array([r["mean"] for r in cells])
-    within = float(sum(r["within"] for r in cells))
-    level = lambda f: sorted({r[f] for r in cells})
-    dummies = lambda f: np.array([[float(r[f] == v) for v in level(f)[1:]] for r in cells])
-    one, da, db = np.ones((len(cells), 1)), dummies(a), dummies(b)
-
-    def between(*blocks: np.ndarray) -> float:
-        """Weighted residual sum of squares of the cell means under a model."""
-        design, root = np.hstack(blocks), np.sqrt(n)
-        fit, *_ = np.linalg.lstsq(design * root[:, None], mean * root, rcond=None)
-        return float(np.sum(n * (mean - design @ fit) ** 2))
-
-    main = between(one, da, db)
-    ka, kb = da.shape[1], db.shape[1]
-    kab = len(cells) - 1 - ka - kb
-    rows = [(a, between(one, db) - main, ka), (b, between(one, da) - main, kb), (f"{a}:{b}", main, kab)]
-    dof_rest = int(n.sum()) - len(cells)
-    base = within / dof_rest
-    out = [(term, ss, float(dof), ss / dof / base, f_tail(ss / dof / base, dof, dof_rest)) for term, ss, dof in rows if dof]
+    rows = df.select(F.col(a).alias("a"), F.col(b).alias("b"), F.col(value).cast("double").alias("x")).dropna()
+    centre = rows.agg(F.avg("x")).first()[0]
+    if centre is None:
+        raise ValueError("no complete rows to fit")
+    cells = durable(rows.groupBy("a", "b").agg(F.count("x").alias("n"), (F.sum(F.col("x") - centre)).alias("s"), (F.var_pop("x") * F.count("x")).alias("within")))
+    between, n_cells, n, within = cells.agg(F.sum(F.col("s") * F.col("s") / F.col("n")), F.count(F.lit(1)), F.sum("n"), F.sum("within")).first()
+    both, a_alone, levels_a, levels_b = _additive(cells)
+    b_alone = cells.groupBy("b").agg((F.sum("s") * F.sum("s") / F.sum("n")).alias("ss")).agg(F.sum("ss")).first()[0]
+    dof_a, dof_b, dof_rest = levels_a - 1, levels_b - 1, n - n_cells
+    parts = [(a, both - b_alone, dof_a), (b, both - a_alone, dof_b), (f"{a}:{b}", between - both, n_cells - 1 - dof_a - dof_b)]
+    base = within / dof_rest if dof_rest else None
+    out = []
+    for term, ss, dof in parts:
+        if dof:
+            f = max(ss, 0.0) / dof / base if base else None
+            out.append((term, max(ss, 0.0), float(dof), f, None if f is None else f_tail(f, dof, dof_rest)))
     out.append(("residual", within, float(dof_rest), None, None))
     return df.sparkSession.createDataFrame(out, "term string, sum_sq double, dof double, f_stat double, p_value double")
 
@@ -232,29 +251,3 @@ def _ols_fit(df: DataFrame, response: Column, features: dict[str, Column]):
     coef = back @ beta
     coef[0] += float(shift[k - 2])
     return coef, back @ cov @ back.T, dof, names
-
-
-def odds_ratios(df: DataFrame, label: str, features: Sequence[str], group: str, overall: str = "Overall",
-                max_groups: int = 50) -> DataFrame:
-    """Logistic regression per group and over all rows: odds ratios with 95% intervals and p-values."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import GeneralizedLinearRegression
-
-    # every fitting step reads the rows again, so the narrow table is written once
-    narrow = durable(df.select(F.col(label).cast("double").alias("label"), F.col(group).cast("string").alias("_g"),
-                               *[F.col(f).cast("double").alias(f) for f in features]))
-    ready = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip").transform(narrow)
-    groups = [r[0] for r in ready.select("_g").distinct().orderBy("_g").limit(max_groups + 1).collect()]
-    if len(groups) > max_groups:
-        raise ValueError(f"more than {max_groups} groups to fit")
-    rows = []
-    for name, part in [*[(g, ready.where(F.col("_g").eqNullSafe(F.lit(g)))) for g in groups], (overall, ready)]:
-        model = GeneralizedLinearRegression(family="binomial", link="logit", maxIter=50).fit(part)
-        summary = model.summary
-        for i, term in enumerate([*features, "const"]):
-            b = float(model.intercept) if term == "const" else float(model.coefficients[i])
-            se = float(summary.coefficientStandardErrors[i])
-            rows.append((name, term, float(np.exp(b)), float(np.exp(b - Z95 * se)), float(np.exp(b + Z95 * se)),
-                         float(summary.pValues[i])))
-    return df.sparkSession.createDataFrame(
-        rows, "part string, term string, odds_ratio double, low double, high double, p_value double")

@@ -320,12 +320,17 @@ def cohort_decay(subscribers: DataFrame, cohort: str, as_of: str) -> DataFrame:
 
 
 def acquired_between(subscribers: DataFrame, platform: str, year: int, months: tuple[int, int],
-                     fallback: tuple[int, int], at_least: int = 50) -> DataFrame:
-    """A platform's users acquired in some months of a year, or in the wider ``fallback`` months if those are few."""
+                     fallback: tuple[int, int], wanted_users: int = 50) -> DataFrame:
+    """A platform's users acquired in some months of a year, or in the wider ``fallback`` months if those hold fewer than ``wanted_users``.
+
+    ``cohort_range`` tells which months they are and ``range_users`` how many the narrow months hold.
+    """
     mine = subscribers.where((F.col("platform") == platform) & (F.year("subscription_date") == year))
     in_months = lambda span: F.month("subscription_date").between(*span)
     narrow = mine.agg(F.count_if(in_months(months))).scalar()
-    return mine.where(F.when(narrow >= at_least, in_months(months)).otherwise(in_months(fallback)))
+    told = lambda span: F.lit(f"{span[0]}-{span[1]}")
+    picked = mine.withColumns({"range_users": narrow, "cohort_range": F.when(narrow >= wanted_users, told(months)).otherwise(told(fallback))})
+    return picked.where(F.when(F.col("range_users") >= wanted_users, in_months(months)).otherwise(in_months(fallback)))
 
 
 # --- mix, funnel, overlap, targeting ------------------------------------------------
