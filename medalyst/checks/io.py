@@ -10,7 +10,7 @@ from medalyst.operators.quality import batch_slice
 from medalyst.session import durable, workspace
 from medalyst.sources import readers, writers
 from medalyst.sources.ingest import Bronze
-from medalyst.sources.layout import clustered
+from medalyst.sources.layout import clustered, file_ranges, files_touched
 from medalyst.sources.upsert import UpsertTable
 
 
@@ -66,7 +66,7 @@ def _(t):
     from medalyst.contracts import struct
     from pyspark.sql import types as T
     rows = [(name, getattr(t, name).count(), None) for name in ("orders", "lineitem")]
-    schema = T.StructType([*struct("table_name:s").fields, T.StructField("n_rows", T.LongType()), *struct("note:s").fields])
+    schema = T.StructType([*struct("table_name string").fields, T.StructField("n_rows", T.LongType()), *struct("note string").fields])
     return readers.literal_rows(t.spark, rows, schema)
 
 
@@ -141,6 +141,16 @@ def _(t):
     return table.read()
 
 
+@query("k05_upsert_by_date", """SELECT event_id, ts, CASE WHEN CAST(ts AS DATE) = DATE '2024-01-10' AND event_id % 2 = 0 THEN value * 2 ELSE value END AS value, CAST(1 AS BIGINT) AS dates_touched FROM events
+    WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-09' AND DATE '2024-01-11'""")
+def _(t):
+    rows = t.events.select("event_id", "ts", "value")
+    table = UpsertTable(t.spark, workspace(t.spark, "upsert"), "event_id", buckets=1, date="ts")
+    table.merge(rows)
+    touched = table.merge(rows.where("to_date(ts) = DATE '2024-01-10' AND event_id % 2 = 0").withColumn("value", F.col("value") * 2))
+    return table.read("2024-01-09", "2024-01-11").withColumn("dates_touched", F.lit(len(touched)).cast("bigint"))
+
+
 @query("k06_clustered_write", f"SELECT l_returnflag, {n()} AS n_rows, {money('l_extendedprice')} AS total FROM lineitem GROUP BY 1")
 def _(t):
     path = workspace(t.spark, "clustered")
@@ -149,6 +159,19 @@ def _(t):
     return t.spark.read.parquet(path).groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n_rows"), exact_sum("l_extendedprice").alias("total"))
 
 
+@query("k06_files_touched", f"SELECT column_name, {n()} AS n_rows, TRUE AS below_share FROM lineitem, (VALUES ('l_suppkey'), ('l_shipdate')) c(column_name) GROUP BY 1")
+def _(t):
+    path, cols = workspace(t.spark, "clustered"), ["l_suppkey", "l_shipdate"]
+    writers.replace(clustered(t.lineitem, cols, files=16), path)
+    stored = t.spark.read.parquet(path)
+    # one sixteenth of the values of either column; a table in any other order would have to read all files for one of them
+    low, high = (t.lineitem.agg(F.struct(*[f(c).alias(c) for c in cols])).scalar() for f in (F.min, F.max))
+    wanted = {"l_suppkey": (low["l_suppkey"], low["l_suppkey"] + (high["l_suppkey"] - low["l_suppkey"]) / 16),
+              "l_shipdate": (low["l_shipdate"], F.timestamp_add("SECOND", F.floor(F.timestamp_diff("SECOND", low["l_shipdate"], high["l_shipdate"]) / 16).cast("int"), low["l_shipdate"]))}
+    touched = files_touched(file_ranges(stored, cols), wanted)
+    return touched.select("column_name", "n_rows", (F.col("files_read") <= 0.5 * F.col("files")).alias("below_share"))
+
+
 @query("k07_created_when_missing", f"SELECT {n()} AS n_rows, TRUE AS created_first, FALSE AS created_again FROM part")
 def _(t):
     path = workspace(t.spark, "table")

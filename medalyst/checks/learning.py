@@ -73,6 +73,12 @@ def _(t):
     return _anomalies(t).select("event_id", "event_type", "anomaly_flag", F.round("anomaly_probability", 6).alias("anomaly_probability"))
 
 
+@query("m05_flagged_share", f"SELECT event_type, {n()} AS n_rows, TRUE AS enough, TRUE AS share_kept FROM events GROUP BY 1")
+def _(t):
+    rows = F.count(F.lit(1))
+    return _anomalies(t).groupBy("event_type").agg(rows.alias("n_rows"), F.min("enough").alias("enough"), F.sum("anomaly_flag").between(1, F.ceil(0.1 * rows)).alias("share_kept"))
+
+
 # M06 works on any 0/1 anomaly flag; here the flag is the value fence, so that SQL can check the reports.
 _FLAGGED = """SELECT e.*, CAST(e.watch_mins > q3 AS INTEGER) AS anomaly_flag, CAST(CASE new_subscription_plan WHEN 'Free' THEN 0 WHEN 'Basic' THEN 1 WHEN 'Premium' THEN 2 ELSE 3 END
     < CASE subscription_plan WHEN 'Free' THEN 0 WHEN 'Basic' THEN 1 WHEN 'Premium' THEN 2 ELSE 3 END AND plan_change_date IS NOT NULL AS INTEGER) AS downgrade_flag

@@ -13,16 +13,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-TYPES = {"s": T.StringType(), "t": T.TimestampType(), "d": T.DoubleType(), "i": T.IntegerType(), "b": T.BooleanType()}
+TYPES = {"string": T.StringType(), "timestamp": T.TimestampType(), "double": T.DoubleType(), "int": T.IntegerType(), "boolean": T.BooleanType()}
 
-AUDIT = "ingestion_ts:t source_file:s bronze_ingestion_ts:t"
+AUDIT = "ingestion_ts timestamp, source_file string, bronze_ingestion_ts timestamp"
 SILVER_AUDIT = ("silver_ingestion_ts", "record_source")
 
 
-def struct(spec: str) -> T.StructType:
-    """``name:t`` pairs to a schema (s text, t timestamp, d double, i int, b boolean)."""
-    pairs = [item.split(":") for item in spec.split()]
-    return T.StructType([T.StructField(name, TYPES[code]) for name, code in pairs])
+def struct(text: str) -> T.StructType:
+    """A schema from its text, ``name type, name type``; unlike Spark's own reader it needs no session."""
+    fields = [field.split() for field in text.split(", ")]
+    return T.StructType([T.StructField(name, TYPES[kind]) for name, kind in fields])
 
 
 @dataclass(frozen=True)
@@ -74,10 +74,12 @@ def _missing(name: str, check: str, severity: str = "CRITICAL", kind: str = "nul
 
 ORDERS = Contract(
     "orders", "order_id",
-    struct("order_id:s customer_id:s city:s restaurant_id:s delivery_zone:s created_ts:t accepted_ts:t promised_ts:t "
-           "estimated_pickup_ts:t estimated_drop_ts:t estimated_distance_km:d estimated_duration_min:i order_value:d "
-           "tax_amount:d tip_amount:d payment_method:s payment_status:s order_status:s priority_flag:b device_type:s "
-           "app_version:s customer_rating_expected:i"),
+    struct("order_id string, customer_id string, city string, restaurant_id string, delivery_zone string, "
+           "created_ts timestamp, accepted_ts timestamp, promised_ts timestamp, estimated_pickup_ts timestamp, "
+           "estimated_drop_ts timestamp, estimated_distance_km double, estimated_duration_min int, "
+           "order_value double, tax_amount double, tip_amount double, payment_method string, payment_status string, "
+           "order_status string, priority_flag boolean, device_type string, app_version string, "
+           "customer_rating_expected int"),
     {"city": "upper", "order_status": "lower", "payment_status": "title", "payment_method": "title"},
     (
         _missing("order_id", "order_id_not_null"),
@@ -93,10 +95,11 @@ ORDERS = Contract(
 
 DELIVERIES = Contract(
     "deliveries", "delivery_id",
-    struct("delivery_id:s order_id:s rider_id:s dispatch_ts:t arrival_at_pickup_ts:t pickup_ts:t "
-           "departure_from_pickup_ts:t arrival_at_drop_ts:t drop_ts:t delivery_status:s failure_reason:s "
-           "distance_km_actual:d duration_min_actual:i traffic_delay_min:i weather_flag:b proof_of_delivery_flag:b "
-           "customer_rating:i rider_rating:i"),
+    struct("delivery_id string, order_id string, rider_id string, dispatch_ts timestamp, "
+           "arrival_at_pickup_ts timestamp, pickup_ts timestamp, departure_from_pickup_ts timestamp, "
+           "arrival_at_drop_ts timestamp, drop_ts timestamp, delivery_status string, failure_reason string, "
+           "distance_km_actual double, duration_min_actual int, traffic_delay_min int, weather_flag boolean, "
+           "proof_of_delivery_flag boolean, customer_rating int, rider_rating int"),
     {"delivery_status": "lower", "failure_reason": "keep"},
     (
         _missing("delivery_id", "delivery_id_not_null"),
@@ -114,9 +117,11 @@ DELIVERIES = Contract(
 
 RIDERS = Contract(
     "riders", "rider_id",
-    struct("rider_id:s rider_name:s city:s home_zone:s join_date:t vehicle_type:s license_verified_flag:b "
-           "background_check_flag:b employment_type:s status:s rating_avg:d total_deliveries_lifetime:i "
-           "last_active_ts:t device_os:s device_model:s bank_account_verified:b incentive_tier:s"),
+    struct("rider_id string, rider_name string, city string, home_zone string, join_date timestamp, "
+           "vehicle_type string, license_verified_flag boolean, background_check_flag boolean, "
+           "employment_type string, status string, rating_avg double, total_deliveries_lifetime int, "
+           "last_active_ts timestamp, device_os string, device_model string, bank_account_verified boolean, "
+           "incentive_tier string"),
     {"rider_name": "title", "city": "upper", "vehicle_type": "lower", "status": "lower"},
     (
         _missing("rider_id", "rider_id_not_null"),
@@ -134,9 +139,10 @@ RIDERS = Contract(
 
 SHIFTS = Contract(
     "shifts", "shift_id",
-    struct("shift_id:s rider_id:s city:s shift_start_ts:t shift_end_ts:t scheduled_hours:d actual_login_ts:t "
-           "actual_logout_ts:t shift_status:s late_start_flag:b early_logout_flag:b overtime_flag:b shift_type:s "
-           "manager_id:s"),
+    struct("shift_id string, rider_id string, city string, shift_start_ts timestamp, shift_end_ts timestamp, "
+           "scheduled_hours double, actual_login_ts timestamp, actual_logout_ts timestamp, shift_status string, "
+           "late_start_flag boolean, early_logout_flag boolean, overtime_flag boolean, shift_type string, "
+           "manager_id string"),
     {"city": "upper", "shift_status": "title", "shift_type": "title"},
     (
         _missing("shift_id", "shift_id_not_null"),
@@ -155,8 +161,9 @@ SHIFTS = Contract(
 
 CANCELLATIONS = Contract(
     "cancellations", "cancel_id",
-    struct("cancel_id:s order_id:s cancel_ts:t cancel_stage:s cancel_actor:s cancel_reason_code:s "
-           "cancel_reason_text:s refund_amount:d compensation_paid:d auto_cancel_flag:b linked_support_ticket:s"),
+    struct("cancel_id string, order_id string, cancel_ts timestamp, cancel_stage string, cancel_actor string, "
+           "cancel_reason_code string, cancel_reason_text string, refund_amount double, compensation_paid double, "
+           "auto_cancel_flag boolean, linked_support_ticket string"),
     {"cancel_stage": "lower", "cancel_actor": "title", "cancel_reason_code": "upper"},
     (
         _missing("cancel_id", "cancel_id_not_null"),
@@ -174,8 +181,9 @@ CANCELLATIONS = Contract(
 
 PINGS = Contract(
     "pings", "ping_id",
-    struct("ping_id:s rider_id:s delivery_id:s lat:d lon:d speed_kmh:i heading:i accuracy_meters:i battery_level:i "
-           "network_type:s ping_ts:t gps_provider:s is_mock_location_flag:b"),
+    struct("ping_id string, rider_id string, delivery_id string, lat double, lon double, speed_kmh int, heading int, "
+           "accuracy_meters int, battery_level int, network_type string, ping_ts timestamp, gps_provider string, "
+           "is_mock_location_flag boolean"),
     {"network_type": "upper", "gps_provider": "lower"},
     (
         _missing("ping_id", "ping_id_not_null"),
@@ -195,9 +203,10 @@ PINGS = Contract(
 
 PRICING = Contract(
     "pricing", "pricing_event_id",
-    struct("pricing_event_id:s order_id:s pricing_ts:t base_fare:d distance_fare:d time_fare:d surge_multiplier:d "
-           "service_fee:d platform_fee:d discount_amount:d promo_code_id:s promo_type:s company_subsidy:d "
-           "rider_bonus:d final_customer_price:d pricing_version:s"),
+    struct("pricing_event_id string, order_id string, pricing_ts timestamp, base_fare double, distance_fare double, "
+           "time_fare double, surge_multiplier double, service_fee double, platform_fee double, "
+           "discount_amount double, promo_code_id string, promo_type string, company_subsidy double, "
+           "rider_bonus double, final_customer_price double, pricing_version string"),
     {"promo_code_id": "upper", "promo_type": "title"},
     (
         _missing("pricing_event_id", "pricing_event_id_not_null"),
@@ -213,9 +222,10 @@ PRICING = Contract(
 
 SUPPORT = Contract(
     "support", "ticket_id",
-    struct("ticket_id:s order_id:s customer_id:s created_ts:t issue_category:s issue_subcategory:s priority_level:s "
-           "ticket_channel:s agent_id:s resolution_status:s resolution_ts:t compensation_amount:d csat_score:i "
-           "reopened_flag:b notes_text:s"),
+    struct("ticket_id string, order_id string, customer_id string, created_ts timestamp, issue_category string, "
+           "issue_subcategory string, priority_level string, ticket_channel string, agent_id string, "
+           "resolution_status string, resolution_ts timestamp, compensation_amount double, csat_score int, "
+           "reopened_flag boolean, notes_text string"),
     {"issue_category": "title", "issue_subcategory": "title", "resolution_status": "title",
      "priority_level": "upper"},
     (
@@ -234,7 +244,7 @@ SUPPORT = Contract(
 
 CONTRACTS = {c.entity: c for c in (ORDERS, DELIVERIES, RIDERS, SHIFTS, CANCELLATIONS, PINGS, PRICING, SUPPORT)}
 
-FILE_TRACKER = struct("table_name:s file_path:s status:s ingestion_ts:t")
+FILE_TRACKER = struct("table_name string, file_path string, status string, ingestion_ts timestamp")
 
 # Clustering columns per table (fixed values).
 CLUSTERING = {

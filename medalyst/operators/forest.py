@@ -1,8 +1,8 @@
 """Isolation forest per group, trained and scored as grouped Spark jobs of bounded size.
 
-Each (group, tree) trains on a hash sample of about ``sample_rows`` rows. Scoring
-cuts every group into chunks of about ``chunk_rows`` rows and joins each chunk with
-its group's trees, so a task never holds more than one chunk and one forest.
+Each (group, tree) trains on a hash sample of about ``sample_rows`` rows. Forests of up to ``BROADCAST_BYTES`` together go to the rows,
+which are scored where they are. Beyond that size scoring cuts every group into chunks of about ``chunk_rows`` rows and joins each chunk
+with its group's trees, so a task never holds more than one chunk and one forest.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from medalyst.session import durable
 # workers get these helpers with the task, so the package need not be installed there
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+NODE_BYTES, BROADCAST_BYTES = 64, 64 << 20      # of a node in a worker's memory, and of all forests that may be sent to every executor
 EULER = 0.5772156649015329
 
 
@@ -115,25 +116,51 @@ def anomaly_scores(df: DataFrame, group: str, key: str, features: Sequence[str],
     forest = drawn.groupBy("_g", "_tree").applyInPandas(
         train, "_g string, _tree int, node int, feature int, split double, left int, right int, length double, drawn int")
 
+    key_type = df.schema[key].dataType.simpleString()
+    output = f"{key} {key_type}, _g string, score double"
+
+    def grove_scores(x: np.ndarray, grown: list[pd.DataFrame]) -> np.ndarray:
+        mean = sum(_path_lengths(x, t) for t in grown) / len(grown)
+        usual = float(_average_path(np.mean([t["drawn"].iloc[0] for t in grown])))
+        return 0.5 - np.exp2(-mean / usual) if usual > 0 else np.zeros(len(x))
+
+    spark = df.sparkSession
+    forest = durable(forest)
+    if forest.count() * NODE_BYTES <= BROADCAST_BYTES:
+        # the trees go to the rows: no row is shuffled to be scored
+        nodes = forest.toPandas()
+        held: dict = {}
+        for row in nodes.itertuples(index=False):
+            held.setdefault(None if pd.isna(row[0]) else row[0], []).append(row)
+        groves = spark.sparkContext.broadcast({
+            g: [t.sort_values("node") for _, t in pd.DataFrame(part, columns=nodes.columns).groupby("_tree")] for g, part in held.items()})
+
+        def in_place(batches):
+            for part in batches:
+                part["score"] = 0.0                                     # where no tree drew a row of the group
+                for g in part["_g"].unique():
+                    at = part["_g"].isna() if pd.isna(g) else part["_g"] == g
+                    grown = groves.value.get(None if pd.isna(g) else g)
+                    if grown:
+                        part.loc[at, "score"] = grove_scores(part.loc[at, names].to_numpy(dtype=float), grown)
+                yield part[[key, "_g", "score"]]
+
+        scored = rows.select(key, "_g", *names).mapInPandas(in_place, output)
+        return durable(scored.withColumnRenamed("_g", group))
+
     chunks = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(chunk_rows))).cast("int")
     chunked = sized.withColumn("_chunk", F.pmod(F.xxhash64(F.lit("chunk"), F.col(key)), chunks).cast("int"))
     copies = null_safe_join(forest, sizes, ["_g"]).withColumn("_chunk", F.explode(F.sequence(F.lit(0), chunks - 1))).drop("_n")
-    key_type = df.schema[key].dataType.simpleString()
 
     def score(_: tuple, part: pd.DataFrame, grove: pd.DataFrame) -> pd.DataFrame:
         if part.empty:
             return pd.DataFrame({key: [], "_g": [], "score": []})
         if grove.empty:                                    # no tree drew a row
             return pd.DataFrame({key: part[key], "_g": part["_g"], "score": 0.0})
-        x = part[names].to_numpy(dtype=float)
-        grown = [t.sort_values("node") for _, t in grove.groupby("_tree")]
-        mean = sum(_path_lengths(x, t) for t in grown) / len(grown)
-        usual = float(_average_path(np.mean([t["drawn"].iloc[0] for t in grown])))
-        score = 0.5 - np.exp2(-mean / usual) if usual > 0 else np.zeros(len(x))
-        return pd.DataFrame({key: part[key], "_g": part["_g"], "score": score})
+        return pd.DataFrame({key: part[key], "_g": part["_g"],
+                             "score": grove_scores(part[names].to_numpy(dtype=float), [t.sort_values("node") for _, t in grove.groupby("_tree")])})
 
-    scored = chunked.groupBy("_g", "_chunk").cogroup(copies.groupBy("_g", "_chunk")).applyInPandas(
-        score, f"{key} {key_type}, _g string, score double")
+    scored = chunked.groupBy("_g", "_chunk").cogroup(copies.groupBy("_g", "_chunk")).applyInPandas(score, output)
     # scores are read several times downstream and must not be trained again each time
     return durable(scored.withColumnRenamed("_g", group))
 
@@ -141,7 +168,7 @@ def anomaly_scores(df: DataFrame, group: str, key: str, features: Sequence[str],
 def flagged_anomalies(scores: DataFrame, group: str, contamination: float = 0.10, min_rows: int = 10) -> DataFrame:
     """Flag the lowest share of scores in each group and rescale scores to a 0..1 probability.
 
-    Groups below ``min_rows`` get zeros throughout.
+    ``enough`` tells whether a group has ``min_rows`` rows; in a smaller one nothing is flagged, and scores and probabilities stay as they are.
     """
     limit = exact_quantiles(scores, "score", {"_limit": contamination}, keys=[group])
     span = scores.groupBy(group).agg(F.min("score").alias("_lo"), F.max("score").alias("_hi"), F.count(F.lit(1)).alias("_n"))
@@ -150,5 +177,4 @@ def flagged_anomalies(scores: DataFrame, group: str, contamination: float = 0.10
     prob = F.lit(1.0) - F.try_divide(F.col("score") - F.col("_lo"), F.col("_hi") - F.col("_lo"))
     return joined.withColumns({
         "anomaly_flag": (enough & (F.col("score") < F.col("_limit"))).cast("int"),
-        "anomaly_probability": F.when(enough, F.coalesce(prob, F.lit(0.0))).otherwise(0.0),
-        "anomaly_score": F.when(enough, F.col("score")).otherwise(0.0)}).drop("_lo", "_hi", "_n", "_limit", "score")
+        "anomaly_probability": F.coalesce(prob, F.lit(0.0)), "anomaly_score": F.col("score"), "enough": enough}).drop("_lo", "_hi", "_n", "_limit", "score")

@@ -38,18 +38,15 @@ def into_cells(df: DataFrame, value: str, edges: Sequence[float], out: str) -> D
     return found.withColumn(out, F.col(out).cast("int"))
 
 
-def exact_quantiles(df: DataFrame, value: str | Column, probs: Mapping[str, float], keys: Sequence[str] = (),
-                    cells: int | None = None) -> DataFrame:
-    """Linear-interpolation quantiles, one row per key; NULL values are ignored.
+def order_statistics(counted: DataFrame, ranks: Mapping[str, Column], keys: Sequence[str] = (), cells: int | None = None) -> DataFrame:
+    """What stands at given ranks of each key, from the counted values ``keys, _x, _n`` (a durable table).
 
-    ``probs`` maps output columns to probabilities.
+    ``ranks`` maps an output column to a rank from 0 over ``_total``, the rows of the key. The output is a struct of the value ``x``, how many
+    rows stand ``before`` that value and how many have it (``n``); ``_total`` comes with it.
     """
-    x = F.col(value) if isinstance(value, str) else value
-    # read three times below, so written once: the input is scanned and shuffled a single time
-    counted = durable(df.select(*keys, x.cast("double").alias("_x")).where("_x is not null")
-                      .groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_n")))
+    coded = counted.withColumn("_v", F.col("_x").cast("double"))
     cells = cells or max(LEAST_CELLS, -(-counted.count() // CELL_PAIRS))
-    placed = into_cells(counted, "_x", cell_edges(counted, ["_x"], cells)[0], "_cell")
+    placed = into_cells(coded, "_v", cell_edges(coded, ["_v"], cells)[0], "_cell")
 
     # at most ``cells`` rows per key from here to the filter
     upto = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -57,12 +54,9 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: Mapping[str, floa
     sizes = (placed.groupBy(*keys, "_cell").agg(F.sum("_n").alias("_cn"))
              .withColumns({"_hi": F.sum("_cn").over(upto), "_total": F.sum("_cn").over(whole)})
              .withColumn("_lo", F.col("_hi") - F.col("_cn")))
-    position = {name: F.lit(float(p)) * (F.col("_total") - 1) for name, p in probs.items()}
-    ranks = {name: (F.floor(pos), F.ceil(pos)) for name, pos in position.items()}
     wanted = F.lit(False)
-    for pair in ranks.values():
-        for rank in pair:
-            wanted = wanted | ((rank >= F.col("_lo")) & (rank < F.col("_hi")))
+    for rank in ranks.values():
+        wanted = wanted | ((rank >= F.col("_lo")) & (rank < F.col("_hi")))
     targets = sizes.where(wanted).select(*keys, "_cell", "_lo", "_total")
 
     in_cell = (Window.partitionBy(*keys, "_cell").orderBy("_x")
@@ -70,13 +64,27 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: Mapping[str, floa
     ranked = (_join_on(placed, targets, [*keys, "_cell"])
               .withColumn("_end", F.col("_lo") + F.sum("_n").over(in_cell))
               .withColumn("_start", F.col("_end") - F.col("_n")))
-    at = lambda rank: F.max(F.when((rank >= F.col("_start")) & (rank < F.col("_end")), F.col("_x")))
-    picks = [c for name, (lo, hi) in ranks.items() for c in (at(lo).alias(f"_{name}_l"), at(hi).alias(f"_{name}_h"))]
-    picked = ranked.groupBy(*keys).agg(F.max("_total").alias("_total"), *picks)
+    here = F.struct(F.col("_x").alias("x"), F.col("_start").alias("before"), F.col("_n").alias("n"))
+    at = lambda rank: F.max(F.when((rank >= F.col("_start")) & (rank < F.col("_end")), here))
+    return ranked.groupBy(*keys).agg(F.max("_total").alias("_total"), *[at(rank).alias(name) for name, rank in ranks.items()])
+
+
+def exact_quantiles(df: DataFrame, value: str | Column, probs: Mapping[str, float], keys: Sequence[str] = (),
+                    cells: int | None = None) -> DataFrame:
+    """Linear-interpolation quantiles, one row per key; NULL values are ignored.
+
+    ``probs`` maps output columns to probabilities.
+    """
+    x = F.col(value) if isinstance(value, str) else value
+    # read three times below, so written once: the input is scanned and shuffled a single time
+    counted = durable(df.select(*keys, x.cast("double").alias("_x")).where("_x is not null")
+                      .groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_n")))
+    position = {name: F.lit(float(p)) * (F.col("_total") - 1) for name, p in probs.items()}
+    ranks = {f"_{name}_{side}": edge(pos) for name, pos in position.items() for side, edge in (("l", F.floor), ("h", F.ceil))}
+    picked = order_statistics(counted, ranks, keys, cells)
     share = {name: pos - F.floor(pos) for name, pos in position.items()}
-    return picked.select(
-        *keys,
-        *[(F.col(f"_{n}_l") + (F.col(f"_{n}_h") - F.col(f"_{n}_l")) * share[n]).alias(n) for n in probs])
+    low, high = (lambda n: F.col(f"_{n}_l.x")), (lambda n: F.col(f"_{n}_h.x"))
+    return picked.select(*keys, *[(low(n) + (high(n) - low(n)) * share[n]).alias(n) for n in probs])
 
 
 def quantile_struct(df: DataFrame, value: str | Column, probs: Mapping[str, float]) -> Column:
@@ -109,10 +117,48 @@ def with_rank_bins(df: DataFrame, value: str, tiebreak: Sequence[str], bins: int
 
     Rows without a value get no bin.
     """
+    return with_all_rank_bins(df, {out: value}, tiebreak, bins)
+
+
+def with_all_rank_bins(df: DataFrame, values: Mapping[str, str], tiebreak: Sequence[str], bins: int) -> DataFrame:
+    """``with_rank_bins`` for several columns (output to value column) at once.
+
+    A bin's last row is found by counting values, without ordering the table: the counts give the value that stands there, and only where its equal
+    values go on into the next bin are these rows ordered by ``tiebreak``. The rows themselves are read in place and compared with those few bounds.
+    """
     from medalyst.operators.ordered import number_rows
 
-    known = number_rows(df.where(F.col(value).isNotNull()), [value, *tiebreak], out="_rn")
-    n = df.select(F.count(value)).scalar()
-    step = F.ceil((F.col("_rn") - 1) * F.lit(bins) / F.nullif(n - 1, F.lit(0)))
-    binned = known.withColumn(out, F.greatest(F.lit(1), F.coalesce(step, F.lit(1))).cast("int")).drop("_rn")
-    return binned.unionByName(df.where(F.col(value).isNull()).withColumn(out, F.lit(None).cast("int")))
+    bounds: dict[tuple[str, int], list] = {}
+    kinds: dict[str, list[str]] = {}
+    for out, value in values.items():
+        kinds.setdefault(df.schema[value].dataType.simpleString(), []).append(out)
+    for outs in kinds.values():                     # columns of one type share a pass
+        long = df.select(F.explode(F.array(*[F.struct(F.lit(out).alias("_out"), F.col(values[out]).alias("_x")) for out in outs])).alias("p")).select("p.*")
+        counted = durable(long.where(F.col("_x").isNotNull()).groupBy("_out", "_x").agg(F.count(F.lit(1)).alias("_n")))
+        ranks = {f"r{i}": F.floor((F.col("_total") - 1) * i / bins) for i in range(1, bins)}
+        for row in order_statistics(counted, ranks, ["_out"]).select("_out", *[F.col(f"r{i}").alias(f"s{i}") for i in range(1, bins)], *[rank.alias(name) for name, rank in ranks.items()]).collect():     # a row for each column
+            for i in range(1, bins):
+                held = row[f"s{i}"]
+                bounds[row["_out"], i] = [held["x"], row[f"r{i}"] - held["before"], held["n"]]
+    split = {k: b for k, b in bounds.items() if b[1] + 1 < b[2]}        # equal values on both sides of the bound
+    if split:
+        cuts = F.array(*[F.struct(F.lit(out).alias("_out"), F.lit(i).alias("_i"), (F.col(values[out]) == F.lit(x)).alias("_tie"), F.lit(offset + 1).cast("bigint").alias("_at"))
+                         for (out, i), (x, offset, _) in split.items()])
+        ties = df.select(*tiebreak, F.explode(F.filter(cuts, lambda c: c["_tie"])).alias("c")).select(*tiebreak, "c._out", "c._i", "c._at")
+        last = number_rows(ties, tiebreak, ["_out", "_i"], out="_rn").where("_rn = _at")
+        for row in last.select("_out", "_i", *tiebreak).collect():       # one row a bound
+            bounds[row["_out"], row["_i"]].append([row[c] for c in tiebreak])
+    typed = lambda c, v: F.lit(v).cast(df.schema[c].dataType)
+    made = {}
+    for out, value in values.items():
+        number = F.lit(1)
+        for i in range(1, bins):
+            if (out, i) in bounds:
+                x, _, _, *tie = bounds[out, i]
+                after = F.col(value) > typed(value, x)
+                if tie:
+                    beyond = F.struct(*tiebreak) > F.struct(*[typed(c, v).alias(c) for c, v in zip(tiebreak, tie[0])])
+                    after = after | ((F.col(value) == typed(value, x)) & beyond)
+                number = number + after.cast("int")
+        made[out] = F.when(F.col(value).isNotNull(), number)
+    return df.withColumns(made)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from medalyst.functions.columns import exact_sum, ladder, pct, row_total
-from medalyst.operators.quantiles import exact_quantiles, quantile_struct, with_rank_bins, with_value_bins
+from medalyst.operators.quantiles import exact_quantiles, quantile_struct, with_all_rank_bins, with_value_bins
 from medalyst.operators.relational import null_safe_join
 from medalyst.operators.reshape import columns_to_rows
 from medalyst.session import durable
@@ -98,10 +98,8 @@ def rfm_scores(customers: DataFrame, key: str = "id", recency: str = "recency_da
                monetary: str = "monetary") -> DataFrame:
     """R by value fifths (recent is 5), F and M by rank fifths, score text and segment."""
     # one narrow row per customer, read by every score below
-    base = durable(customers)
-    scored = with_value_bins(base, recency, 5, [5, 4, 3, 2, 1], "r_score")
-    scored = with_rank_bins(scored, frequency, [key], 5, "f_score")
-    scored = with_rank_bins(scored, monetary, [key], 5, "m_score")
+    scored = with_all_rank_bins(durable(customers), {"f_score": frequency, "m_score": monetary}, [key], 5)
+    scored = with_value_bins(scored, recency, 5, [5, 4, 3, 2, 1], "r_score")
     score = F.concat(*[F.col(c).cast("string") for c in ("r_score", "f_score", "m_score")])
     return scored.withColumn("rfm_score", score).withColumn(
         "segment", ladder([(F.col("rfm_score") >= low, name) for low, name in RFM_SEGMENTS], RFM_REST))

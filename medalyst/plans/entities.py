@@ -45,7 +45,7 @@ def to_silver(bronze: DataFrame, contract: Contract, quarantine: DataFrame | Non
     return tagged.select(*[c for c in contract.silver_columns if c in tagged.columns])
 
 
-def load_silver(table: UpsertTable, bronze: DataFrame, contract: Contract, **options) -> list[int]:
+def load_silver(table: UpsertTable, bronze: DataFrame, contract: Contract, **options) -> list[str]:
     """Upsert the silver form of ``bronze`` into its table; a late batch of older versions loses.
 
     The table has one column more than the silver form: ``version_ts``, the newest ``ingestion_ts`` of each key.

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -50,6 +52,7 @@ def shared_dir(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_FOLDERS:
         _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="medalyst-")
+        atexit.register(shutil.rmtree, _LOCAL_FOLDERS[app], ignore_errors=True)     # made here, so removed here
     return _LOCAL_FOLDERS[app]
 
 

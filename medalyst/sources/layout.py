@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -62,3 +62,17 @@ def clustered(df: DataFrame, cols: Sequence[str], files: int, bits: int = 6) ->
     """
     tagged = with_cluster_value(df, cols, bits)
     return tagged.repartitionByRange(files, "_z", *cols).sortWithinPartitions("_z", *cols).drop("_z")
+
+
+def file_ranges(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """What each file of a table holds: ``file, n_rows`` and the least and greatest value of ``cols``."""
+    ends = [f(c).alias(f"{name}_{c}") for c in cols for name, f in (("min", F.min), ("max", F.max))]
+    return df.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n_rows"), *ends)
+
+
+def files_touched(ranges: DataFrame, wanted: Mapping[str, tuple[Column, Column]]) -> DataFrame:
+    """For each column and its filter (both ends included): how many files the table has and how many of them the filter has to read."""
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), ((F.col(f"min_{c}") <= high) & (F.col(f"max_{c}") >= low)).alias("touched"))
+                     for c, (low, high) in wanted.items()])
+    long = ranges.select("n_rows", F.explode(rows).alias("r")).select("n_rows", "r.*")
+    return long.groupBy("column_name").agg(F.count(F.lit(1)).alias("files"), F.count_if("touched").alias("files_read"), F.sum("n_rows").alias("n_rows"))

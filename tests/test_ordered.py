@@ -96,6 +96,19 @@ def test_rank_bins_match_equal_share_cuts(spark, n):
     assert [got[i] for i in range(n)] == want
 
 
+def test_rank_bins_of_several_columns_at_once(spark):
+    import pandas as pd
+
+    rng = random.Random(5)
+    rows = [(i, rng.choice([0, 0, 0, 0, 1, 2, 9]), rng.random(), None if i % 9 == 0 else rng.choice([1.5, 2.5])) for i in range(500)]
+    df = spark.createDataFrame(rows, "id int, often int, free double, gaps double")
+    got = {r["id"]: r for r in quantiles.with_all_rank_bins(df, {"a": "often", "b": "free", "c": "gaps"}, ["id"], 5).collect()}
+    for out, column in (("a", 1), ("b", 2), ("c", 3)):
+        known = [r for r in rows if r[column] is not None]
+        want = pd.qcut(pd.Series([r[column] for r in known]).rank(method="first"), 5, labels=[1, 2, 3, 4, 5]).astype(int).tolist()
+        assert [got[r[0]][out] for r in known] == want and all(got[r[0]][out] is None for r in rows if r[column] is None)
+
+
 def test_value_bins_keep_ties_together_and_merge_equal_edges(spark):
     df = spark.createDataFrame([(1.0,)] * 6 + [(2.0,), (3.0,), (4.0,), (None,)], "v double")
     got = {r["v"]: r["b"] for r in quantiles.with_value_bins(df, "v", 5, [5, 4, 3, 2, 1], "b").collect()}

@@ -154,7 +154,7 @@ def test_forest_flags_the_outliers_of_each_group(spark):
     got = {r["id"]: r for r in out.collect()}
     assert len(got) == df.count()
     assert got[900]["anomaly_flag"] == 1 and got[901]["anomaly_flag"] == 1 and got[900]["anomaly_probability"] == 1.0
-    assert all(got[950 + i]["anomaly_flag"] == 0 and got[950 + i]["anomaly_score"] == 0.0 for i in range(4))
+    assert all(got[950 + i]["anomaly_flag"] == 0 and not got[950 + i]["enough"] for i in range(4))
 
 
 def test_forest_keeps_rows_with_missing_values(spark):
@@ -170,7 +170,17 @@ def test_forest_keeps_rows_with_missing_values(spark):
     assert score[100] == again[100] and all(s is not None and s == s for s in score.values())
 
 
-def test_forest_scores_do_not_depend_on_chunks(spark):
+def test_forest_scores_rows_in_place_or_in_chunks_alike(spark, monkeypatch, capsys):
+    df = spark.createDataFrame([(i, None if i % 50 == 0 else "ab"[i % 2], float((i * 37) % 100)) for i in range(400)], "id int, g string, v double")
+    placed = forest.anomaly_scores(df, "g", "id", ["v"], trees=10, sample_rows=32)
+    monkeypatch.setattr(forest, "BROADCAST_BYTES", 0)
+    dealt = forest.anomaly_scores(df, "g", "id", ["v"], trees=10, sample_rows=32, chunk_rows=30)
+    scores = lambda df: {r["id"]: (r["g"], round(r["score"], 12)) for r in df.collect()}
+    assert scores(placed) == scores(dealt) and len(scores(placed)) == 400
+
+
+def test_forest_scores_do_not_depend_on_chunks(spark, monkeypatch):
+    monkeypatch.setattr(forest, "BROADCAST_BYTES", 0)
     df = spark.createDataFrame([(i, "a", float(i % 23)) for i in range(200)], "id int, g string, v double")
     one, many = ({r["id"]: r["score"] for r in forest.anomaly_scores(df, "g", "id", ["v"], trees=10, sample_rows=32, chunk_rows=n).collect()} for n in (1000, 30))
     assert one == pytest.approx(many)

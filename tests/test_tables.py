@@ -19,7 +19,7 @@ def test_scratch_folder_follows_the_session(spark):
 def test_malformed_csv_fields_become_null(spark, rows):
     path = workspace(spark, "csv")
     spark.createDataFrame([("id,n",), ("a,1",), ("b,oops",)], "value string").coalesce(1).write.text(path)
-    got = readers.read_csv(spark, path, struct("id:s n:i"), keep_corrupt=True)
+    got = readers.read_csv(spark, path, struct("id string, n int"), keep_corrupt=True)
     assert rows(got, "id", "n", readers.CORRUPT) == [("a", 1, None), ("b", None, "b,oops")]
 
 
@@ -153,3 +153,19 @@ def test_window_counts_close_after_the_watermark(spark, rows):
         stream = jobs.windowed_demand(jobs.file_stream(spark, folder, schema, "parquet"), "ts", ["city"])
         jobs.run_available(stream, f"{out}/c", path=f"{out}/d")
     assert [r[0].hour for r in rows(spark.read.parquet(f"{out}/d"), "window_start")] == [1, 2]
+
+
+def test_a_batch_of_one_day_touches_that_day_only(spark, rows):
+    t = UpsertTable(spark, workspace(spark, "up"), "k", buckets=2, date="at")
+    frame = lambda *r: spark.createDataFrame(list(r), "k long, at string, v int").withColumn("at", F.col("at").cast("timestamp"))
+    days = [(i, f"2024-01-{1 + i % 5:02d} 10:00:00", 0) for i in range(50)]
+    first = t.merge(frame(*days, (90, None, 0)))
+    assert {cell.split("/")[0] for cell in first} == {*[f"upsert_date=2024-01-{d:02d}" for d in range(1, 6)], "upsert_date=none"}
+    held = t.manifest().current
+    touched = t.merge(frame((0, "2024-01-01 23:00:00", 7), (100, "2024-01-01 00:00:00", 7)))
+    assert {cell.split("/")[0] for cell in touched} == {"upsert_date=2024-01-01"}
+    now = t.manifest().current
+    assert {c for c in held if now[c] != held[c]} <= set(touched) and t._cells(t._data(2)) == touched
+    assert rows(t.read().where("v = 7 OR k IN (5, 90)"), "k", "v") == [(0, 7), (100, 7), (5, 0), (90, 0)]
+    assert t.read().count() == 52 and t.read("2024-01-01", "2024-01-01").count() == 11 and t.read("2030-01-01").where("v = 7").count() == 0
+    assert t.merge(frame((90, None, 3))) and rows(t.read().where("k = 90"), "v") == [(3,)]
