@@ -146,7 +146,7 @@ def near_links(prints: DataFrame, doc_id: str, fingerprint: str, least: float, b
     """The distinct fingerprints of named documents (``node, id, print``; ``id`` the smallest that has it), and verified links (a, b) of nodes.
 
     Nodes are numbered by their smallest ids. Those whose fingerprints agree in ``band`` minima that stand together are candidates. Each meets the
-    smallest node of each of its bands, and verified links give components; bands that still hold several components are compared in blocks across
+    smallest node of all its bands, and verified links give components; bands that still hold several components are compared in blocks across
     them. So every pair of candidates is either verified or already in one component, and no list of pairs of a group is made.
     """
     rows = prints.select(F.col(doc_id).alias("id"), F.col(fingerprint).alias("print")).where("id IS NOT NULL AND print <> ''")
@@ -158,7 +158,8 @@ def near_links(prints: DataFrame, doc_id: str, fingerprint: str, least: float, b
     centres = banded.groupBy("key").agg(F.min("node").alias("centre"), F.max("node").alias("last")).where("centre <> last").select("key", "centre")
     keyed = durable(banded.join(centres, "key"))
     equal = least_minima(least)
-    stars = keyed.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    # one centre a node: what it shares with its other bands' centres is settled below, inside the bands that stay open
+    stars = keyed.groupBy(F.col("node").alias("b")).agg(F.min("centre").alias("a")).where("a <> b").select("a", "b")
     first = durable(neardup.sketched_pairs(stars, nodes, equal))
 
     def crossing(run: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
