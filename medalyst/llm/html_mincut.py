@@ -9,7 +9,7 @@ The classifier starts from stated weights and is fitted to blocks of at most ``s
 with ``article`` or ``main``; without such pages the stated weights hold.
 
 Defined cases: NULL or empty html gives an empty text; unclosed and misnested tags close where a browser would close them (a paragraph at the next block,
-an item at the next item); a page of text without tags is one block and judged like any other; repeated rows give repeated results; an empty table gives an
+an item at the next item); what stands in ``noscript``, ``template``, ``object`` and the like is no text of the page; a page of text without tags is one block and judged like any other; repeated rows give repeated results; an empty table gives an
 empty result; other columns are ignored, whatever their names.
 """
 
@@ -35,14 +35,41 @@ SKIPPED_TAGS = frozenset("""script style noscript template iframe object svg mat
  applet map""".split())
 FORM_TAGS = frozenset("form fieldset label input legend".split())
 # Words that name parts of a page in class, id, role and element names.
-GOOD = re.compile(r"article|main|content|post|entry|story|body-?text|blog|text|page-body")
-BAD = re.compile(r"\b(?:nav|menu|footer|aside|ads?|advert\w*|promo\w*|banner|sponsor\w*|cookie\w*|consent|notices?|alert|popup|modal|comments?|replies|reply|"
-                 r"discuss\w*|form|share|sharing|social|related|recommend\w*|subscribe|newsletter|signup|login|breadcrumbs?|pagination|pager|toolbar|"
-                 r"widgets?|sidebar|side|masthead|copyright|legal|disclaimer|tags?|toc|search|skip)\b")
+GOOD = frozenset("article main content contents post entry story body blog text".split())
+BAD = frozenset("""nav navbar navigation menu menus footer contentinfo aside complementary sidebar sidebars ad ads advert adverts advertisement advertising promo
+ promos promoted promotion promotions banner banners sponsor sponsored sponsors cookie cookies consent popup modal comment comments commenting replies reply discussion
+ discussions related recommend recommended recommendation recommendations newsletter breadcrumb breadcrumbs pagination pager toolbar widget widgets masthead copyright
+ skip""".split())
+# These name a topic or a tool as often as a part, so an element that calls itself an article outweighs them.
+WEAK = frozenset("alert disclaimer form legal login notice notices search share sharing side signup social subscribe tag tags toc".split())
+# A name of several words that starts with one of these tells about the page or its topic, not which part this is.
+ABOUT = frozenset("category cat tag topic term section type status format author label language lang has is no with without theme template page single".split())
 _TAG = re.compile(r"""<(?:!--(?:.*?-->|.*\Z)|(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?>(?:[^>"']|"[^"]*"|'[^']*')*))>|(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)|[!?/][^>]*(?:>|\Z))""",
                   re.DOTALL)
 _NAMES = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.IGNORECASE)
-_SPLIT = re.compile(r"[^a-z]+|(?<=[a-z])(?=[A-Z])")
+_SPLIT = re.compile(r"[^a-zA-Z]+|(?<=[a-z])(?=[A-Z])")
+
+
+def named_part(tag: str, names: list[str], in_article: bool) -> int:
+    """1 for an element that calls itself the article, -1 for a menu, notice, form and so on, 0 for neither.
+
+    Each of its names counts: the last word of a name says what it is, the others of which kind. ``article`` and ``main`` count for two good names, and names
+    of doubtful meaning (``WEAK``) decide only where no better ones stand against them.
+    """
+    good = 2 if tag in ("article", "main") else 0
+    bad = 3 if tag in FORM_TAGS or tag in BAD or tag == "header" and not in_article else 0
+    doubtful = False
+    for name in names:
+        words = [word.lower() for word in _SPLIT.split(name) if word]
+        if not words or len(words) > 1 and words[0] in ABOUT:
+            continue
+        if any(word in BAD for word in words):
+            bad += 3
+        elif words[-1] in GOOD or len(words) == 2 and words[0] in GOOD and words[1] not in WEAK:
+            good += 2
+        elif any(word in WEAK for word in words):
+            doubtful = True
+    return -1 if bad > good or doubtful and not good else 1 if good else 0
 
 
 @dataclass
@@ -50,8 +77,8 @@ class Block:
     """A run of text and where it stands."""
 
     tag: str
-    parent: int
-    path: tuple[int, ...]
+    element: int
+    tree: list[tuple[int, int]]      # parent and depth of each element of the page
     good: int                # depth of the nearest element named like an article, 0 for none
     bad: int                 # depth of the nearest element named like a menu, notice, form and so on, 0 for none
     article: bool            # inside article or main
@@ -66,8 +93,9 @@ def blocks_of(page: str) -> list[Block]:
     """The blocks of a page in its order, without those that hold no text."""
     out: list[Block] = []
     stack: list[tuple[str, int, int, int, bool]] = [("", 0, 0, 0, False)]       # tag, number, good, bad, article
-    path: tuple[int, ...] = (0,)
-    count, links, at, n = 0, 0, 0, len(page)
+    tree = [(0, 0)]
+    open_tags: dict[str, int] = {}
+    links, at, n = 0, 0, len(page)
     current: Block | None = None
 
     def add(text: str) -> None:
@@ -76,7 +104,7 @@ def blocks_of(page: str) -> list[Block]:
             if text.isspace():
                 return
             tag, number, good, bad, article = stack[-1]
-            current = Block(tag, number, path, good, bad, article)
+            current = Block(tag, number, tree, good, bad, article)
             out.append(current)
         current.pieces.append(text)
         if links:
@@ -110,28 +138,27 @@ def blocks_of(page: str) -> list[Block]:
             continue
         current, links = None, 0
         if closing:
-            for depth in range(len(stack) - 1, 0, -1):
+            for depth in range(len(stack) - 1, 0, -1) if open_tags.get(name) else ():
                 if stack[depth][0] == name:
+                    for tag, *_ in stack[depth:]:
+                        open_tags[tag] -= 1
                     del stack[depth:]
-                    path = path[:depth]
                     break
             continue
         if name in VOID_TAGS:
             continue
         if stack[-1][0] == "p" or stack[-1][0] == name and name in ("li", "dt", "dd", "tr", "td", "th", "option"):
-            stack.pop()
-            path = path[:-1]
-        _, _, good, bad, article = stack[-1]
-        count += 1
+            open_tags[stack.pop()[0]] -= 1
+        _, parent, good, bad, article = stack[-1]
         depth = len(stack)
-        names = " ".join([name, *[" ".join(x) for x in _NAMES.findall(found.group(3) or found.group(6) or "")]])
-        words = " ".join(_SPLIT.split(names)).lower()
-        if BAD.search(words) or name == "header" and not article or name in FORM_TAGS:
+        part = named_part(name, [x for values in _NAMES.findall(found.group(3) or found.group(6) or "") for value in values for x in value.split()], article)
+        if part < 0:
             bad = depth
-        elif name in ("article", "main") or GOOD.search(words):
+        elif part:
             good = depth
-        stack.append((name, count, good, bad, article or name in ("article", "main")))
-        path = (*path, count)
+        open_tags[name] = open_tags.get(name, 0) + 1
+        stack.append((name, len(tree), good, bad, article or name in ("article", "main") and part > 0))
+        tree.append((parent, depth))
     return [block for block in out if block.text()]
 
 
@@ -235,16 +262,17 @@ def smoothness(blocks: list[Block], follow: float, kin: float) -> list[tuple[int
     out = []
     last: dict[int, int] = {}
     for i, block in enumerate(blocks):
+        tree = block.tree
         if i:
-            other = blocks[i - 1].path
-            shared = 0
-            for x, y in zip(other, block.path, strict=False):
-                if x != y:
-                    break
-                shared += 1
-            apart = len(other) + len(block.path) - 2 * shared
+            x, y, apart = blocks[i - 1].element, block.element, 0
+            while x != y:
+                if tree[x][1] >= tree[y][1]:
+                    x = tree[x][0]
+                else:
+                    y = tree[y][0]
+                apart += 1
             out.append((i - 1, i, follow / (1 + apart)))
-        above = block.path[-2] if len(block.path) > 1 else 0
+        above = tree[block.element][0]
         if above in last:
             out.append((last[above], i, kin))
         last[above] = i

@@ -1,10 +1,13 @@
 """Main text: parsing, the cut against enumeration, and whole pages."""
 
 import itertools
+import random
+import time
 
 import numpy as np
 
 from medalyst.llm import html_mincut
+from tests.llm.conftest import words
 
 PAGE = """<!DOCTYPE html><html><head><title>x</title><style>p{}</style></head><body><header class="site-header"><a href=/>Site name</a></header>
 <nav><ul><li><a href="/a">Home</a></li></ul></nav><div class="cookie-notice"><p>We use cookies to make this site work well for you.</p></div>
@@ -56,3 +59,39 @@ def test_fit_keeps_marked_articles(spark):
 def test_no_rare_blocks_are_dropped():
     page = "<article>" + "".join(f"<p>Paragraph {i} says something of its own.</p>" for i in range(3000)) + "</article>"
     assert html_mincut.main_text(page, html_mincut.PRIOR).count("\n") == 2999
+
+
+def test_names_of_topics_and_tools_do_not_lose_the_article():
+    body = "<h1>Title of it</h1><p>The first paragraph says something, and goes on.</p><p>So does the second one here.</p>"
+    wanted = "Title of it\nThe first paragraph says something, and goes on.\nSo does the second one here."
+    around = ("<nav class='main-nav'><a href=/>Home</a><a href=/b>Other page</a></nav>", "<div class='related-posts'><p>Read this other story about something else, too.</p></div>"
+              "<div class='post-tags'><a href=/t>news</a></div><form class='search-form'><label>Find</label></form><footer>All rights are kept.</footer>")
+    for start, end in (("<article class='post tag-news category-legal'>", "</article>"), ("<article class='legal'>", "</article>"), ("<main class='search'>", "</main>"),
+                       ("<article class='form social alert'>", "</article>"), ("<div class='entry-content tag-side notice'>", "</div>"), ("<div class='post legal'>", "</div>"),
+                       ("<div id='articleBody' class='has-sidebar with-comments'>", "</div>"), ("<section role='main' class='toc share'>", "</section>")):
+        page = f"<html><body>{around[0]}{start}{body}<div class='comments'><article class='comment'><p>I liked this article a lot, dear author.</p></article></div>{end}{around[1]}</body></html>"
+        assert html_mincut.main_text(page, html_mincut.PRIOR) == wanted, start
+    assert html_mincut.named_part("div", ["context", "postal", "maintenance"], False) == 0
+
+
+def test_recall_and_precision_of_planted_articles():
+    rng = random.Random(8)
+    articles = ["<article class='hentry post-{i} tag-legal category-search'>|</article>", "<div class='entry-content'>|</div>", "<main id='main-content'>|</main>", "<div class='page-wrap'><div class='story'>|</div></div>"]
+    noise = ["<ul class='menu'><li><a href=/>{w}</a></li><li><a href=/x>{w}</a></li></ul>", "<div class='cookie-notice'><p>{w} {w}</p></div>", "<aside><p>{w}. {w}</p></aside>", "<div class='ad-slot'>{w}</div>",
+             "<section class='comments-area'><article class='comment'><p>{w}. {w}.</p></article></section>", "<div class='social share-buttons'><a href=/s>{w}</a></div>", "<form><label>{w}</label></form>"]
+    caught = kept = right = 0
+    for i in range(80):
+        lines = [words(rng.randrange(10**6), rng.randint(8, 60)) + "." for _ in range(rng.randint(2, 9))]
+        junk = [rng.choice(noise).replace("{w}", words(rng.randrange(10**6), rng.randint(2, 14))) for _ in range(6)]
+        start, end = rng.choice(articles).replace("{i}", str(i)).split("|")
+        page = "<html><body>" + "".join(junk[:3]) + start + "".join(f"<p>{line}</p>" for line in lines) + end + "".join(junk[3:]) + "<footer>" + words(i, 9) + "</footer></body></html>"
+        found = html_mincut.main_text(page, html_mincut.PRIOR).split("\n")
+        right += len(set(found) & set(lines))
+        caught, kept = caught + len(lines), kept + len(found)
+    assert right / caught >= 0.99 and right / kept >= 0.99, (right / caught, right / kept)
+
+
+def test_deeply_nested_elements():
+    start = time.perf_counter()
+    assert html_mincut.main_text("<div>" * 20_000 + "<p>Deep text.</p>" + "</span>" * 20_000, html_mincut.PRIOR) in ("Deep text.", "")
+    assert len(html_mincut.blocks_of("".join(f"<div>line {i}" for i in range(20_000)))) == 20_000 and time.perf_counter() - start < 4
