@@ -1,23 +1,26 @@
 """Document fingerprints by a randomised edit embedding.
 
-A text is cut where a hash of the last few characters says so, so an edit moves no cut beyond its own neighbourhood. A shared random walk runs
-over each chunk: at every step it writes the character it stands on and then, by a random bit of the step and the character, stays or moves on.
-Two walks over chunks that differ by an edit soon stand on the same character again, so a small edit distance becomes a small Hamming
-distance between what the walks wrote. ``BANDS`` samples of ``SAMPLED`` steps are hashed; of each band's hashes, ``SLOTS`` minima over all chunks are kept.
-The share of equal minima estimates how many chunks two texts share; ``likeness`` turns it into the shared part of their length. ``near_links``
-finds candidates by equal groups of minima and verifies them by ``likeness``; ``near_groups`` gives each document its component over these links.
+A shared random walk runs over each text: at every step it writes the character it stands on and then, by a random bit of the step and the
+character, stays or moves on. Two walks over texts that differ by an edit soon stand on the same character again, so a small edit distance
+becomes a small Hamming distance between what the walks wrote. ``WALKS`` walks run, each from the start of every ``SEGMENT`` characters of
+the whole text; segment ``i`` has the steps from ``i * STEPS``.
+
+The fingerprint samples the written symbols: at level ``j`` one step of each 2**j, the smallest level with at most ``SLOTS`` samples. A block of a
+level has the sample of one of its two halves, so a finer fingerprint holds the coarser ones. A sample is a byte of what the walk wrote at the
+step and the ``TRAIL - 1`` before it. ``likeness`` is the share of equal samples (one less the Hamming distance a sample) of the walk that
+agrees best, after chance. ``near_links`` finds candidates by equal groups of samples, at a text's level and the next, and verifies them by the
+Hamming distance of all samples; ``near_groups`` gives each document its component over these links.
 
 Defined cases: NULL text counts as empty; an empty text has the empty fingerprint, like only to another one; equal texts have equal fingerprints;
 an empty table gives an empty result; documents of equal id follow each other by text; NULL ids come last; other columns are ignored, whatever
-their names.
+their names. A walk that has not left a segment after ``STEPS`` steps (12 standard deviations late) ends there.
 """
 
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
-from fractions import Fraction
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,93 +35,166 @@ from medalyst.llm.arrow import map_batches, slices, with_outputs
 from medalyst.llm.shingles import mixed
 from medalyst.session import durable, shuffle_width
 
-WINDOW, CUT_EVERY, LONGEST = 4, 64, 256
-BANDS, SAMPLED, SLOTS = 4, 12, 32
+WALKS, SLOTS, TRAIL = 3, 42, 3
+SEGMENT, STEPS = 3584, 8192            # a walk takes two steps a character on average
+WALKED_BYTES = 24 << 20                # written by walks that run side by side
+SLICE = 2 << 20                        # bytes of text at once
 _RNG = np.random.Generator(np.random.PCG64(77))
-_STEPS = 2 * LONGEST
-_MOVES = _RNG.integers(0, 2, (_STEPS, 256), dtype=np.uint8)                    # the shared walk: step, character class
-_SIGNS = _RNG.integers(0, 2**64, (256,), dtype=np.uint64)
-_PLACES = _RNG.integers(0, 2**64, (BANDS, SAMPLED), dtype=np.uint64) | np.uint64(1)
-_SALTS = _RNG.integers(0, 2**64, (BANDS, SLOTS), dtype=np.uint64)
-_ODDS = _RNG.integers(0, 2**64, (BANDS, SLOTS), dtype=np.uint64) | np.uint64(1)
-_WIDTHS = (8, 16, 32, 64, 128, 256)
-# steps that each band samples, for each width; a walk over a chunk of that width takes about two steps a character
-_SAMPLES = {w: np.stack([np.sort(_RNG.choice(2 * w, SAMPLED, replace=False)) for _ in range(BANDS)]) for w in _WIDTHS}
-
-
-def _chunks(points: np.ndarray, owner_starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and length of each chunk. Cuts depend on the characters before them and on the chunk's start only."""
-    n = len(points)
-    roll = np.zeros(n, np.uint32)
-    coded = points * np.uint32(2654435761)
-    for i in range(WINDOW):
-        roll[i:] = roll[i:] * np.uint32(31) + (coded[:n - i] >> np.uint32(7))
-    after = np.flatnonzero((roll * np.uint32(2246822519) >> np.uint32(20)) % CUT_EVERY == 0) + 1
-    # a text's first cuts would depend on the text before it
-    inside = after - owner_starts[np.searchsorted(owner_starts, after, side="right") - 1] >= WINDOW
-    starts = np.union1d(after[inside & (after < n)], owner_starts)
-    lengths = np.diff(np.append(starts, n))
-    long = lengths > LONGEST
-    if long.any():
-        pieces = -(-lengths // LONGEST)
-        within = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        ends = np.repeat(starts + lengths, pieces)
-        starts = np.repeat(starts, pieces) + within * LONGEST
-        lengths = np.minimum(ends - starts, LONGEST)
-    return starts, lengths
-
-
-def _walk(classes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, width: int) -> np.ndarray:
-    """What the walks over chunks of at most ``width`` characters write; 0 after a chunk's end."""
-    out = np.zeros((2 * width, len(starts)), np.uint8)
-    at, ends = starts.copy(), starts + lengths
-    last = len(classes) - 1
-    for step in range(2 * width):
-        seen = classes[np.minimum(at, last)]
-        seen[at >= ends] = 0
-        out[step] = seen
-        at += _MOVES[step][seen]
-    return out
+_MOVES = _RNG.integers(0, 1 << WALKS, (STEPS, 256), dtype=np.uint8)     # the shared walks: step, character class; a bit for each walk
+_MOVES[:, 0] = 0                                                        # class 0 stands for the end
+_WEIGHTS = _RNG.integers(0, 2**32, TRAIL, dtype=np.uint32) | np.uint32(1)
+_SIDES = _RNG.integers(0, 2**64, WALKS, dtype=np.uint64)
+_REACH = SLOTS << np.arange(48, dtype=np.int64)                         # steps that the samples of each level span
+
+
+def _half(level: int, blocks: np.ndarray) -> np.ndarray:
+    """Which half of each block (walks, blocks) of a level gives its sample."""
+    return (mixed(_SIDES[:, None] ^ (blocks.astype(np.uint64) * np.uint64(64) + np.uint64(level))) & np.uint64(1)).astype(np.int64)
+
+
+@lru_cache(maxsize=64)
+def places(level: int) -> np.ndarray:
+    """The step that each walk's samples of a level are taken at: (``WALKS``, ``SLOTS``)."""
+    at = np.tile(np.arange(SLOTS, dtype=np.int64), (WALKS, 1))
+    for above in range(level, 0, -1):
+        at = 2 * at + _half(above, at)
+    return at
+
+
+def _walk(padded: np.ndarray, starts: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """What the walks from ``starts`` write, (steps, walks, starts), after ``TRAIL - 1`` rows of zeros, and how many steps each takes.
+
+    ``padded`` has a 0 after each segment; segments come by falling length, so those that have ended lie at the end.
+    """
+    lead, steps = TRAIL - 1, min(STEPS, 3 * longest + 64)
+    out = np.zeros((steps + lead, WALKS, len(starts)), np.uint8)
+    at = np.tile(starts, (WALKS, 1))
+    shift = np.arange(WALKS, dtype=np.uint8)[:, None]
+    for step in range(steps):
+        seen = np.take(padded, at, mode="clip")
+        out[step + lead, :, :at.shape[1]] = seen
+        move = np.take(_MOVES[step], seen, mode="clip")
+        move >>= shift
+        move &= 1
+        at += move
+        if step & 63 == 63:
+            going = np.flatnonzero(seen.any(axis=0))
+            if not len(going):
+                break
+            at = np.ascontiguousarray(at[:, :going[-1] + 1])
+    # a walk writes no 0 before its end, so halving finds it
+    low, high = np.zeros((WALKS, len(starts)), np.int64), np.full((WALKS, len(starts)), steps)
+    walk, place = np.arange(WALKS)[:, None], np.arange(len(starts))
+    while (low < high).any():
+        middle = (low + high) // 2
+        going = (out[np.minimum(middle, steps - 1) + lead, walk, place] > 0) & (low < high)
+        low, high = np.where(going, middle + 1, low), np.where(going, high, np.minimum(high, middle))
+    return out, low
+
+
+def _batches(lengths: np.ndarray) -> Iterator[np.ndarray]:
+    """Segments by falling length, as many as may be walked side by side."""
+    order = np.argsort(-lengths, kind="stable")
+    at = 0
+    while at < len(order):
+        end = at + max(1, WALKED_BYTES // (WALKS * min(STEPS, 3 * int(lengths[order[at]]) + 64)))
+        yield order[at:end]
+        at = end
 
 
 def fingerprints(texts: list[str]) -> np.ndarray:
-    """A row of ``BANDS * SLOTS`` bytes for each text; zeros for an empty one."""
+    """A row of bytes for each text: the level, the samples of each walk (0 after its end), and a 0; zeros for an empty text."""
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    out = np.zeros((len(texts), BANDS * SLOTS), np.uint8)
+    out = np.zeros((len(texts), neardup.SKETCH), np.uint8)
     full = np.flatnonzero(sizes)
     if not len(full):
         return out
     points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
-    first = np.cumsum(sizes[full]) - sizes[full]
-    starts, lengths = _chunks(points, first)
     classes = ((points * np.uint32(2654435761)) >> np.uint32(24)).astype(np.uint8)
-    classes[classes == 0] = 1                                                    # 0 stands for the end
-    hashes = np.empty((BANDS, len(starts)), np.uint64)
-    width_of = np.searchsorted(_WIDTHS, lengths)
-    for number, width in enumerate(_WIDTHS):
-        members = np.flatnonzero(width_of == number)
-        for at in range(0, len(members), 1 << 14):
-            rows = members[at:at + (1 << 14)]
-            written = _walk(classes, starts[rows], lengths[rows], width)
-            for band in range(BANDS):
-                total = np.zeros(len(rows), np.uint64)
-                for i, step in enumerate(_SAMPLES[width][band].tolist()):
-                    total += _SIGNS[written[step]] * _PLACES[band, i]
-                hashes[band, rows] = mixed(total)
-    bounds = np.searchsorted(starts, first)
-    for band in range(BANDS):
-        for slot in range(SLOTS):
-            low = np.minimum.reduceat((hashes[band] ^ _SALTS[band, slot]) * _ODDS[band, slot], bounds)
-            out[full, band * SLOTS + slot] = (mixed(low) >> np.uint64(56)).astype(np.uint8)
+    classes[classes == 0] = 1
+    pieces = -(-sizes[full] // SEGMENT)
+    owner = np.repeat(full, pieces)
+    number = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    lengths = np.minimum(sizes[owner] - number * SEGMENT, SEGMENT)
+    ends = np.cumsum(lengths)
+    padded = np.zeros(len(points) + len(owner), np.uint8)
+    inside = np.ones(len(padded), bool)
+    inside[ends + np.arange(len(owner))] = False
+    padded[inside] = classes
+    starts = ends - lengths + np.arange(len(owner))
+    samples = np.zeros((len(texts), WALKS, SLOTS), np.uint8)
+    levels = np.zeros(len(texts), np.int64)
+    final = number == np.repeat(pieces, pieces) - 1
+    # a text's last segment tells how many steps its walks take, and so its level
+    for members in (np.flatnonzero(final), np.flatnonzero(~final)):
+        for rows in _batches(lengths[members]):
+            rows = members[rows]
+            written, taken = _walk(padded, starts[rows], int(lengths[rows[0]]))
+            steps = len(written) - TRAIL + 1
+            if final[rows[0]]:
+                levels[owner[rows]] = np.searchsorted(_REACH, number[rows] * STEPS + taken.max(axis=0))
+            known, which = np.unique(levels[owner[rows]], return_inverse=True)
+            step = np.stack([places(int(level)) for level in known])[which] - (number[rows] * STEPS)[:, None, None]
+            row, walk, slot = np.nonzero((step >= 0) & (step < steps))
+            at = step[row, walk, slot]
+            total = np.zeros(len(at), np.uint32)
+            for i in range(TRAIL):
+                total += written[at + i, walk, row] * _WEIGHTS[i]
+            total = (total ^ (total >> np.uint32(15))) * np.uint32(2246822519)
+            symbol = 1 + (total >> np.uint32(16)) % np.uint32(255)
+            samples[owner[rows[row]], walk, slot] = np.where(written[at + TRAIL - 1, walk, row] > 0, symbol, 0)
+    out[:, 0] = levels
+    out[:, 1:1 + WALKS * SLOTS] = samples.reshape(len(texts), -1)
+    return out
+
+
+def coarser(prints: np.ndarray) -> np.ndarray:
+    """The same texts' fingerprints one level up."""
+    out = np.zeros_like(prints)
+    out[:, 0] = prints[:, 0] + 1
+    samples = prints[:, 1:1 + WALKS * SLOTS].reshape(-1, WALKS, SLOTS)
+    blocks = np.tile(np.arange(SLOTS // 2, dtype=np.int64), (WALKS, 1))
+    for level in np.unique(out[:, 0]).tolist():
+        rows = np.flatnonzero(out[:, 0] == level)
+        taken = np.zeros((len(rows), WALKS, SLOTS), np.uint8)
+        taken[:, :, :SLOTS // 2] = samples[rows][:, np.arange(WALKS)[:, None], 2 * blocks + _half(level, blocks)]
+        out[rows, 1:1 + WALKS * SLOTS] = taken.reshape(len(rows), -1)
     return out
 
 
+def agreement(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Likeness of the rows' non-empty texts; fingerprints of different levels are compared at the higher."""
+    apart = left[:, 0].astype(int) - right[:, 0]
+    while apart.any():
+        left, right = left.copy(), right.copy()
+        left[apart < 0], right[apart > 0] = coarser(left[apart < 0]), coarser(right[apart > 0])
+        apart -= np.sign(apart)
+    one, two = (side[:, 1:1 + WALKS * SLOTS].reshape(-1, WALKS, SLOTS) for side in (left, right))
+    some = (one != 0) | (two != 0)
+    share = ((one == two) & some).sum(axis=2) / np.maximum(1, some.sum(axis=2))
+    return np.maximum(0, (share.max(axis=1, initial=0) - 1 / 255) / (1 - 1 / 255))
+
+
 def likeness(left: np.ndarray, right: np.ndarray, left_empty: np.ndarray, right_empty: np.ndarray) -> np.ndarray:
-    """0 to 1 for each row: the part of the two texts that they share, as their fingerprints tell it."""
-    equal = (left == right).mean(axis=1)
-    shared = np.maximum(0, (equal - 1 / 256) / (1 - 1 / 256))
-    both = 2 * shared / (1 + shared)
-    return np.where(left_empty | right_empty, (left_empty & right_empty).astype(float), both)
+    """0 to 1 for each row: the part of their walks' steps at which two texts agree, as their fingerprints tell it."""
+    return np.where(left_empty | right_empty, (left_empty & right_empty).astype(float), agreement(left, right))
+
+
+def band_keys(prints: np.ndarray, band: int = 4) -> list[list[int]]:
+    """Distinct hashes of ``band`` samples that stand together, of each walk, at a text's own level and the next."""
+    found = []
+    for side in (prints, coarser(prints)):
+        groups = side[:, 1:1 + WALKS * SLOTS].reshape(-1, WALKS, SLOTS)[:, :, :SLOTS // band * band].reshape(len(side), -1, band)
+        place = np.arange(groups.shape[1], dtype=np.uint64) * np.uint64(64) + side[:, :1].astype(np.uint64)
+        key = mixed(place)
+        for i in range(band):
+            key = mixed(key ^ groups[:, :, i])
+        # a walk's first group stands for texts that are too short to fill one
+        used = (groups != 0).sum(axis=2) >= band - 1
+        used[:, ::SLOTS // band] |= groups[:, ::SLOTS // band, 0] != 0
+        found.append((key.view(np.int64), used))
+    keys, used = (np.concatenate(x, axis=1) for x in zip(*found, strict=True))
+    return [np.unique(row[ok]).tolist() for row, ok in zip(keys, used, strict=True)]
 
 
 def named(rows: np.ndarray, texts: list[str]) -> list[str]:
@@ -133,45 +209,63 @@ def fingerprinted(docs: DataFrame, text: str = "text", out: str = "fingerprint")
         texts = [value or "" for value in values]
         return [named(fingerprints(texts), texts)]
 
-    return with_outputs(docs, text, f"`{out}` string", compute, size=1 << 20)
-
-
-def least_minima(least: float) -> int:
-    """The smallest number of equal minima whose likeness is at least ``least``."""
-    shared = Fraction(str(least)) / (2 - Fraction(str(least)))
-    return math.ceil(BANDS * SLOTS * (shared * Fraction(255, 256) + Fraction(1, 256)))
+    return with_outputs(docs, text, f"`{out}` string", compute, size=SLICE)
 
 
 def near_links(prints: DataFrame, doc_id: str, fingerprint: str, least: float, band: int) -> tuple[DataFrame, DataFrame]:
-    """The distinct fingerprints of named documents (``node, id, print``; ``id`` the smallest that has it), and verified links (a, b) of nodes.
+    """The distinct fingerprints of named documents (``node, id, sketch``; ``id`` the smallest that has it), and verified links (a, b) of nodes.
 
-    Nodes are numbered by their smallest ids. Those whose fingerprints agree in ``band`` minima that stand together are candidates. Each meets the
-    smallest node of all its bands, and verified links give components; bands that still hold several components are compared in blocks across
+    Nodes are numbered by their smallest ids. Those whose fingerprints agree in a group of ``band`` samples are candidates. Each meets the
+    smallest node of all its groups, and verified links give components; groups that still hold several components are compared in blocks across
     them. So every pair of candidates is either verified or already in one component, and no list of pairs of a group is made.
     """
     rows = prints.select(F.col(doc_id).alias("id"), F.col(fingerprint).alias("print")).where("id IS NOT NULL AND print <> ''")
     nodes = durable(rows.groupBy("print").agg(F.min("id").alias("id")).orderBy("id", "print")
                     .select(F.monotonically_increasing_id().alias("node"), "id", F.unhex("print").alias("sketch")))
-    places = F.sequence(F.lit(0), F.lit(BANDS * SLOTS // band - 1))
-    cut = F.transform(places, lambda i: F.xxhash64(i, F.substring(F.col("sketch"), i * band + 1, F.lit(band))))
-    banded = nodes.select("node", F.explode(cut).alias("key"))
+
+    def keys(sketches: list[bytes]) -> list[list[list[int]]]:
+        return [band_keys(np.frombuffer(b"".join(sketches), np.uint8).reshape(len(sketches), -1), band)]
+
+    banded = durable(with_outputs(nodes.select("node", "sketch"), "sketch", "keys array<bigint>", keys, drop=["sketch"])
+                     .select("node", F.explode("keys").alias("key")))
     centres = banded.groupBy("key").agg(F.min("node").alias("centre"), F.max("node").alias("last")).where("centre <> last").select("key", "centre")
     keyed = durable(banded.join(centres, "key"))
-    equal = least_minima(least)
-    # one centre a node: what it shares with its other bands' centres is settled below, inside the bands that stay open
+    # one centre a node: what it shares with its other groups' centres is settled below, inside the groups that stay open
     stars = keyed.groupBy(F.col("node").alias("b")).agg(F.min("centre").alias("a")).where("a <> b").select("a", "b")
-    first = durable(neardup.sketched_pairs(stars, nodes, equal))
+    first = durable(alike(stars, nodes).where(F.col("likeness") >= least).select("a", "b"))
 
     def crossing(run: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         low, high, block, node, component, sketch = run
-        i, j = neardup._near(sketch, *neardup._sides(low[0], high[0], block), component, equal)
-        a, b = neardup.joining(node, component, i, j)
+        left, right = neardup._sides(low[0], high[0], block)
+        found = []
+        for at in range(0, len(left), 64):
+            part = left[at:at + 64]
+            i, j = np.nonzero(component[part][:, None] != component[right])
+            i, j = part[i], right[j]
+            if left is right:
+                i, j = i[i < j], j[i < j]
+            ok = agreement(sketch[i], sketch[j]) >= least
+            found.append((i[ok], j[ok]))
+        a, b = neardup.joining(node, component, *(np.concatenate(x) for x in zip(*found, strict=True)))
         return np.minimum(a, b), np.maximum(a, b)
 
     later = neardup.over_open_keys(keyed.select("key", "node"), nodes, neardup.components(first), crossing)
     return nodes, durable(first.union(later))
 
 
+def alike(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``a, b, likeness`` of pairs (a, b) of nodes, over all samples of both."""
+    left = nodes.select(F.col("node").alias("a"), F.col("sketch").alias("sketch_a"))
+    right = nodes.select(F.col("node").alias("b"), F.col("sketch").alias("sketch_b"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, neardup.SKETCH) for c in ("sketch_a", "sketch_b"))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(agreement(one, two))], names=["a", "b", "likeness"])
+
+    return map_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "sketch_a", "sketch_b"), run, "a bigint, b bigint, likeness double")
+
+
 def near_pairs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = 0.75, band: int = 4) -> DataFrame:
     """``a, b, likeness``: links that hold the groups of documents together; equal fingerprints are linked to the smallest id that has them.
 
@@ -179,13 +273,9 @@ def near_pairs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", leas
     """
     prints = durable(fingerprinted(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("body")), "body", "print").select("id", "print").distinct())
     nodes, links = near_links(prints, "id", "print", least, band)
-    one = nodes.select(F.col("node").alias("a"), F.col("id").alias("one"), F.col("sketch").alias("x"))
-    two = nodes.select(F.col("node").alias("b"), F.col("id").alias("two"), F.col("sketch").alias("y"))
-    same = F.size(F.filter(F.sequence(F.lit(1), F.lit(BANDS * SLOTS)),
-                           lambda i: F.substring(F.col("x"), i, F.lit(1)) == F.substring(F.col("y"), i, F.lit(1))))
-    shared = F.greatest(F.lit(0.0), (same / (BANDS * SLOTS) - 1 / 256) / (1 - 1 / 256))
-    between = (links.join(one, "a").join(two, "b").where("one <> two")
-               .select(F.least("one", "two").alias("a"), F.greatest("one", "two").alias("b"), (2 * shared / (1 + shared)).alias("likeness")))
+    names = nodes.select("node", "id")
+    between = (alike(links, nodes).join(names.toDF("a", "one"), "a").join(names.toDF("b", "two"), "b").where("one <> two")
+               .select(F.least("one", "two").alias("a"), F.greatest("one", "two").alias("b"), "likeness"))
     within = (prints.where("id IS NOT NULL AND print <> ''").join(nodes.select(F.col("id").alias("a"), F.lower(F.hex("sketch")).alias("print")), "print")
               .where("id <> a").select("a", F.col("id").alias("b"), F.lit(1.0).alias("likeness")))
     return between.union(within)
@@ -242,9 +332,7 @@ def edited_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
                                 "near_edited double, near_next double")
     arrow = to_arrow_schema(schema)
 
-    def made(ids: pa.Array, texts: list[str], following: list[str], prints: np.ndarray) -> pa.RecordBatch:
-        edited = [a[:len(a) - len(a) // 3] + b[:len(a) // 3] for a, b in zip(texts, following, strict=True)]
-        other = fingerprints(edited)
+    def made(ids: pa.Array, texts: list[str], following: list[str], edited: list[str], prints: np.ndarray, other: np.ndarray) -> pa.RecordBatch:
         empty = [np.array([not t for t in x]) for x in (texts, edited, following)]
         return pa.RecordBatch.from_arrays([
             ids, pa.array([len(t) for t in texts], pa.int64()), pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited], pa.string()),
@@ -255,7 +343,7 @@ def edited_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         held: tuple[int, pa.Array, str, np.ndarray] | None = None      # the last row of the slice so far, waiting for the next
         done: set[int] = set()
         for batch in batches:
-            for part in slices(batch, "body", 1 << 20):
+            for part in slices(batch, "body", SLICE):
                 numbers, seam = (part.column(c).to_numpy(zero_copy_only=False) for c in ("slice", "seam"))
                 bodies, ids = part.column("body").to_pylist(), part.column("doc_id")
                 for number in np.unique(numbers).tolist():
@@ -269,12 +357,17 @@ def edited_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
                     if not len(here):
                         continue
                     texts, names = [bodies[i] for i in here], ids.take(pa.array(here))
-                    prints = fingerprints(texts)
-                    if held is not None and held[0] == number:
-                        texts, prints = [held[2], *texts], np.vstack([held[3], prints])
-                        names = pa.concat_arrays([held[1], names])
-                    if len(texts) > 1:
-                        yield made(names.slice(0, len(texts) - 1), texts[:-1], texts[1:], prints)
+                    before = held if held is not None and held[0] == number else None
+                    if before:
+                        texts, names = [before[2], *texts], pa.concat_arrays([before[1], names])
+                    edited = [a[:len(a) - len(a) // 3] + b[:len(a) // 3] for a, b in zip(texts, texts[1:], strict=False)]
+                    fresh = texts[1:] if before else texts
+                    prints = fingerprints([*fresh, *edited])        # walked together
+                    prints, other = prints[:len(fresh)], prints[len(fresh):]
+                    if before:
+                        prints = np.vstack([before[3], prints])
+                    if edited:
+                        yield made(names.slice(0, len(edited)), texts[:-1], texts[1:], edited, prints, other)
                     held = (number, names.slice(len(texts) - 1), texts[-1], prints[-1:])
 
     return map_batches(in_order(docs, doc_id, text).select("slice", "seam", "doc_id", "body"), run, schema)
