@@ -215,8 +215,8 @@ def fingerprinted(docs: DataFrame, text: str = "text", out: str = "fingerprint")
 def near_links(prints: DataFrame, doc_id: str, fingerprint: str, least: float, band: int) -> tuple[DataFrame, DataFrame]:
     """The distinct fingerprints of named documents (``node, id, sketch``; ``id`` the smallest that has it), and verified links (a, b) of nodes.
 
-    Nodes are numbered by their smallest ids. Those whose fingerprints agree in a group of ``band`` samples are candidates. Each meets the
-    smallest node of all its groups, and verified links give components; groups that still hold several components are compared in blocks across
+    Nodes are numbered by their smallest ids. Those whose fingerprints agree in a group of ``band`` samples are candidates. Each group has its
+    smallest node as centre, each node meets the centre that it shares most groups with, and verified links give components; groups that still hold several components are compared in blocks across
     them. So every pair of candidates is either verified or already in one component, and no list of pairs of a group is made.
     """
     rows = prints.select(F.col(doc_id).alias("id"), F.col(fingerprint).alias("print")).where("id IS NOT NULL AND print <> ''")
@@ -230,12 +230,15 @@ def near_links(prints: DataFrame, doc_id: str, fingerprint: str, least: float, b
                      .select("node", F.explode("keys").alias("key")))
     centres = banded.groupBy("key").agg(F.min("node").alias("centre"), F.max("node").alias("last")).where("centre <> last").select("key", "centre")
     keyed = durable(banded.join(centres, "key"))
-    # one centre a node: what it shares with its other groups' centres is settled below, inside the groups that stay open
-    stars = keyed.groupBy(F.col("node").alias("b")).agg(F.min("centre").alias("a")).where("a <> b").select("a", "b")
+    # one centre a node, the one it shares most groups with; what it shares with others is settled below, inside the groups that stay open
+    met = keyed.where("centre <> node").repartition("node").groupBy("node", "centre").agg(F.count(F.lit(1)).alias("n"))
+    stars = (met.groupBy(F.col("node").alias("b")).agg(F.max(F.struct("n", (-F.col("centre")).alias("near"))).alias("most"))
+             .select((-F.col("most.near")).alias("a"), "b"))
     first = durable(alike(stars, nodes).where(F.col("likeness") >= least).select("a", "b"))
 
     def crossing(run: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        low, high, block, node, component, sketch = run
+        order = np.argsort(run[3], kind="stable")       # groups of the same nodes then give the same links
+        low, high, block, node, component, sketch = (part[order] for part in run)
         left, right = neardup._sides(low[0], high[0], block)
         found = []
         for at in range(0, len(left), 64):
