@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 from medalyst.operators.quantiles import cell_edges, into_cells
 
+FILE_BYTES = 128 << 20        # of rows in a range, as its task holds them to sort; files are smaller
+
 
 def order_code(df: DataFrame, name: str) -> Column:
     """A double that rises with a number, date or time column."""
@@ -53,15 +55,30 @@ def with_cluster_value(df: DataFrame, cols: Sequence[str], bits: int = 6, out: s
     return placed.withColumn(out, interleaved(cells, bits)).drop(*cells)
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes in a sort: texts, bytes and nested values by their length, other columns by a word each."""
+    size = F.lit(32 + 16 * len(df.columns))
+    for field in df.schema:
+        c = F.col("`" + field.name.replace("`", "``") + "`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+    return size.cast("bigint")
+
+
 def clustered(df: DataFrame, cols: Sequence[str], files: int, bits: int = 6) -> DataFrame:
-    """``df`` laid out in about ``files`` ranges of the z-order value, sorted inside each.
+    """``df`` laid out in at least ``files`` ranges of the z-order value, sorted inside each.
 
-    Row-group statistics then let a filter on any of ``cols`` skip most of the
-    data. The range also cuts on the columns themselves, so one very frequent
-    value is spread over several files.
+    A range holds about ``FILE_BYTES`` of rows at most: a larger table gets more files, not larger tasks. Row-group statistics then let a filter on
+    any of ``cols`` skip most of the data. The range also cuts on the columns themselves and then on the other plain columns, so one very frequent
+    value, or combination of values, is spread over several files.
     """
+    total = df.agg(F.sum(row_bytes(df))).first()[0] or 0
     tagged = with_cluster_value(df, cols, bits)
-    return tagged.repartitionByRange(files, "_z", *cols).sortWithinPartitions("_z", *cols).drop("_z")
+    plain = ["`" + f.name.replace("`", "``") + "`" for f in df.schema if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType))]
+    ranged = tagged.repartitionByRange(max(files, -(-total // FILE_BYTES)), "_z", *cols, F.xxhash64(*plain))
+    return ranged.sortWithinPartitions("_z", *cols).drop("_z")
 
 
 def file_ranges(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -118,6 +118,21 @@ def test_clustered_files_are_narrow_in_both_columns(spark):
     assert spark.read.parquet(path).count() == 20_000
 
 
+def test_a_larger_table_gets_more_clustered_files(spark, monkeypatch):
+    from medalyst.sources import layout
+
+    monkeypatch.setattr(layout, "FILE_BYTES", 100_000, raising=False)
+    # half of the rows agree in both columns
+    df = spark.range(20_000).select("id", *[F.when(F.col("id") % 2 == 0, F.col("id") * k % 1000).alias(c) for c, k in (("a", 7919), ("b", 104729))],
+                                    F.lpad(F.lit("x"), 100, "x").alias("text"), F.array("id").alias("held"))
+    for n in (5_000, 20_000):
+        path = workspace(spark, "z")
+        writers.replace(clustered(df.where(F.col("id") < n), ["a", "b"], files=2), path)
+        stored = spark.read.parquet(path)
+        assert stored.groupBy("_metadata.file_path").count().agg(F.max("count")).first()[0] < 2_000
+        assert stored.select("id").distinct().count() == stored.count() == n
+
+
 def test_cluster_value_keeps_nulls(spark):
     df = spark.createDataFrame([(None, "x"), (1.0, None)], "a double, b string")
     assert with_cluster_value(df, ["a", "b"]).where("_z IS NULL").count() == 0
