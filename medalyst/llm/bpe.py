@@ -19,6 +19,8 @@ from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +34,7 @@ _EMPTY = np.uint64(2**64 - 1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _CUT = re.compile(r"(?<=\S)(?= )|(?= \S)")
 _RUN = re.compile(r"\s (?:\s|\Z)")
+_SPACES = np.array([chr(i).isspace() for i in range(256)])
 
 
 def units(text: str) -> list[str]:
@@ -217,7 +220,7 @@ class UnitCache:
         self.old: dict[str, bytes] = {}
         self.size = 0
 
-    def of(self, wanted: set[str], encode_units: Callable[[list[str]], list[bytes]]) -> dict[str, bytes]:
+    def of(self, wanted: Iterable[str], encode_units: Callable[[list[str]], list[bytes]]) -> dict[str, bytes]:
         """A table that holds all ``wanted`` units; those in neither generation are encoded together."""
         if self.size > self.limit:
             self.young, self.old, self.size = {}, self.young, 0
@@ -247,6 +250,63 @@ def encode_cached(texts: Iterable[str], cache: UnitCache, encode_units: Callable
             gc.enable()
 
 
+def edge_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each text of an Arrow column of strings: how many bytes it has, its second and its last byte (0 where it has none)."""
+    width = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    _, bounds, data = texts.buffers()
+    bounds = np.frombuffer(bounds, width)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64) if len(texts) else np.zeros(1, np.int64)
+    data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(1, np.uint8)
+    n = np.diff(bounds)
+    return n, np.where(n > 1, data[np.minimum(bounds[:-1] + 1, len(data) - 1)], 0), np.where(n > 0, data[np.maximum(bounds[1:] - 1, 0)], 0)
+
+
+def ends_in_space(texts: list[str], last: np.ndarray, place: int = -1) -> np.ndarray:
+    """Whether the character at ``place`` is white space, of texts with the byte ``last`` there; only bytes that are not ASCII need a look at the text."""
+    found = _SPACES[last]
+    for i in np.flatnonzero(last >= 128).tolist():
+        found[i] = texts[i][place].isspace()
+    return found
+
+
+def encode_column(texts: pa.Array, cache: UnitCache, encode_units: Callable[[list[str]], list[bytes]], end: bytes = b"") -> pa.Array:
+    """``encode_cached`` of an Arrow column without NULLs, ``end`` after each text. Units are cut, told apart and put together by Arrow.
+
+    A cut at every space is right but where spaces meet other white space; texts that have such a place go through ``units``.
+    """
+    if not len(texts):
+        return pa.array([], pa.binary())
+    collecting = gc.isenabled()
+    gc.disable()            # as above
+    try:
+        cut = pc.split_pattern(texts, " ")
+        first = cut.offsets.to_numpy().astype(np.int64)
+        first, parts = first[:-1] - first[0], cut.flatten()
+        coded = parts.dictionary_encode()
+        at, rest = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        size, _, last = edge_bytes(coded.dictionary)
+        odd = ((size == 0) | ends_in_space(rest, last))[at]
+        odd[first] &= size[at[first]] > 0           # a text may begin with a space
+        odd = np.logical_or.reduceat(odd, first)
+        # a head has no space before it
+        heads, which = np.unique(at[first], return_inverse=True)
+        wanted = [*[" " + part for part in rest], *[rest[i] for i in heads.tolist()]]
+        at[first] = len(rest) + which
+        known = cache.of(wanted, encode_units).__getitem__
+        ids = [*map(known, wanted), b"", end]
+        if odd.any():
+            at[np.repeat(odd, np.diff([*first.tolist(), len(at)]))] = len(wanted)
+            at[first[odd]] = len(ids) + np.arange(odd.sum())
+            ids += encode_cached(texts.filter(pa.array(odd)).to_pylist(), cache, encode_units)
+        after = np.append(first[1:], len(at))
+        joined = pa.array(ids, pa.binary()).take(pa.array(np.insert(at, after, len(wanted) + 1)))
+        _, bounds, data = joined.buffers()
+        edges = np.frombuffer(bounds, np.int32, len(joined) + 1)[np.append(0, after + np.arange(1, len(after) + 1))]
+        return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(edges.tobytes()), data])
+    finally:
+        if collecting:
+            gc.enable()
+
+
 @lru_cache(maxsize=2)
 def vocabulary(path: str, pattern: str) -> ByteBpe:
     return ByteBpe.load(path, pattern)

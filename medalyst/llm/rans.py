@@ -12,6 +12,7 @@ documents like any others; an empty table gives empty files; other columns are i
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -19,13 +20,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from medalyst.llm.arrow import map_batches, slices
-from medalyst.llm.bpe import UnitCache, encode_cached
+from medalyst.llm.bpe import UnitCache, edge_bytes, encode_column, ends_in_space
 from medalyst.session import durable, shuffle_width, workspace
 
 SCALE = 20                     # bits of the frequency table's total
@@ -34,7 +36,9 @@ WORD = np.uint64(32)
 MAX_LANES = 4096
 CHECKPOINTS = 2
 BLOCK_IDS = 1 << 20
-CACHED_BYTES = 96 << 20       # of one generation of encoded units in a worker, of which there are two
+CACHED_BYTES = 64 << 20       # of one generation of encoded units in a worker, of which there are two
+PIECES_BYTES = 32 << 20       # the same of pieces of units
+KNOWN_CHARACTERS = 0x3000     # the characters below it are told apart here, as the library does
 _HEAD = struct.Struct("<4sIIII")
 
 
@@ -114,34 +118,91 @@ class Coder:
         return out if part is None else out[part * every * lanes:(part + 1) * every * lanes]
 
 
+def split_pattern(tokenizer) -> re.Pattern:
+    """The split pattern of the library's byte-level vocabularies for characters below ``KNOWN_CHARACTERS``, by the classes the library itself has them in."""
+    split = tokenizer.pre_tokenizer.pre_tokenize_str
+    kinds: dict[str, list[str]] = {"a": [], "1": [], "!": [], "": []}         # letters, numbers, others, white space
+    for c in map(chr, range(KNOWN_CHARACTERS)):
+        kinds[next((like for like in "a1!" if len(split(like + c)) == 1), "")].append(c)
+    letter, number, other, space = (f"[{re.escape(''.join(found))}]" for found in kinds.values())
+    return re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?{letter}+| ?{number}+| ?{other}+|{space}+(?={space}|\Z)|{space}+")
+
+
+def byte_letters() -> np.ndarray:
+    """The character that stands for each byte in a byte-level vocabulary; a space for 255, which UTF-8 never has."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    out = np.zeros(256, "<u2")
+    out[visible] = visible
+    hidden = np.setdiff1d(np.arange(256), visible)
+    out[hidden] = 256 + np.arange(len(hidden))
+    out[255] = ord(" ")
+    return out
+
+
 @lru_cache(maxsize=1)
 def _library(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"      # Spark runs one task a core
     from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import CharDelimiterSplit
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True              # their strings in a text are ordinary text
+    pattern, letters = split_pattern(tokenizer), byte_letters()
+    beyond = re.compile(f"[^\0-{chr(KNOWN_CHARACTERS - 1)}]")
+    by_piece = Tokenizer(tokenizer.model)               # the same vocabulary and merges for pieces that are cut already
+    by_piece.pre_tokenizer = CharDelimiterSplit(" ")
+    kept = UnitCache(PIECES_BYTES)
+    spaces = [chr(i).isspace() for i in range(128)]
 
     sizes = np.zeros(tokenizer.get_vocab_size(), np.int64)         # a token's name has a character for each of its bytes
     for name, number in tokenizer.get_vocab().items():
         sizes[number] = len(name)
 
+    def encoded(library, text: str) -> np.ndarray:
+        return np.array(library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
+
+    def dealt(parts: list[str], ids: np.ndarray) -> list[bytes]:
+        """The ids of each part of a text, by the bytes they stand for."""
+        ends = np.cumsum(pc.binary_length(pa.array(parts, pa.large_string())).to_numpy())
+        cuts = (4 * (np.searchsorted(np.cumsum(sizes[ids]), ends) + 1)).tolist()
+        flat = ids.astype("<u4").tobytes()
+        return [flat[a:b] for a, b in zip([0, *cuts], cuts, strict=False)]
+
+    def encode_pieces(pieces: list[str]) -> list[bytes]:
+        made: list[bytes] = []
+        for at in range(0, len(pieces), 512):
+            some = pieces[at:at + 512]
+            held = "\uffff".join(some).encode().replace("\uffff".encode(), b"\xff")
+            made += dealt(some, encoded(by_piece, letters[np.frombuffer(held, np.uint8)].tobytes().decode("utf-16-le")))
+        return made
+
     def encode_units(units: list[str]) -> list[bytes]:
-        """Ids of each unit. Units of a space and visible ends go to the library as one text, whose ids are dealt out by their bytes."""
-        joined = [unit for unit in units if len(unit) > 1 and unit[0] == " " and not unit[1].isspace() and not unit[-1].isspace()]
-        made: dict[str, bytes] = {}
-        for at in range(0, len(joined), 4096):
-            parts = joined[at:at + 4096]
-            text = "".join(parts)
-            ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
-            ends = np.cumsum(list(map(len, parts) if text.isascii() else [len(part.encode()) for part in parts]))
-            cuts = (4 * (np.searchsorted(np.cumsum(sizes[ids]), ends) + 1)).tolist()
-            flat = ids.astype("<u4").tobytes()
-            made.update(zip(parts, [flat[a:b] for a, b in zip([0, *cuts], cuts, strict=False)], strict=True))
-        single = [unit for unit in units if unit not in made]
-        for unit, found in zip(single, tokenizer.encode_batch_fast(single, add_special_tokens=False), strict=True):
-            made[unit] = np.array(found.ids, "<u4").tobytes()
-        return [made[unit] for unit in units]
+        """Ids of each unit. Units of a space and visible ends are one text, whose ids are dealt out by their bytes.
+
+        It is cut into the library's pieces here, of which only those not seen lately go to the library; units with other characters go there whole.
+        """
+        made: list[bytes | None] = [None] * len(units)
+        size, second, last = edge_bytes(pa.array(units, pa.large_string()))
+        # a space and one character at least, none of them white space at either end
+        fit = np.flatnonzero((size > 1) & ~ends_in_space(units, last))
+        fit = [i for i, after in zip(fit.tolist(), second[fit].tolist(), strict=True) if units[i][0] == " " and not (units[i][1].isspace() if after > 127 else spaces[after])]
+        text, whole = "".join([units[i] for i in fit]), []
+        if beyond.search(text):
+            whole = [i for i in fit if beyond.search(units[i])]
+            fit = [i for i in fit if not beyond.search(units[i])]
+            text = "".join([units[i] for i in fit])
+        pieces = pattern.findall(text)
+        known = kept.of(set(pieces), encode_pieces).__getitem__
+        for i, ids in zip(fit, dealt([units[i] for i in fit], np.frombuffer(b"".join(map(known, pieces)), "<u4")), strict=True):
+            made[i] = ids
+        for at in range(0, len(whole), 4096):
+            parts = [units[i] for i in whole[at:at + 4096]]
+            for i, ids in zip(whole[at:at + 4096], dealt(parts, encoded(tokenizer, "".join(parts))), strict=True):
+                made[i] = ids
+        single = [i for i, ids in enumerate(made) if ids is None]
+        for i, found in zip(single, tokenizer.encode_batch_fast([units[i] for i in single], add_special_tokens=False), strict=True):
+            made[i] = np.array(found.ids, "<u4").tobytes()
+        return made
 
     return encode_units, UnitCache(CACHED_BYTES)
 
@@ -159,22 +220,22 @@ def tokens(docs: DataFrame, path: str, end_id: int, doc_id: str = "doc_id", text
     kind = source.schema["doc_id"].dataType.simpleString()
     schema = StructType.fromDDL(f"slice int, doc_id {kind}, before bigint, n int, ids binary")
     arrow = to_arrow_schema(schema)
-    end = np.array([end_id], "<u4").tobytes()
+    end = struct.pack("<I", end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_units, cache = _library(path)
         before, counts, number = 0, np.zeros(end_id + 1, np.int64), None
         for batch in batches:
             for part in slices(batch, "text"):
-                ids = [x + end for x in encode_cached(part.column("text").to_pylist(), cache, encode_units)]
-                n = np.array([len(x) // 4 for x in ids], np.int64)
-                seen = np.bincount(np.frombuffer(b"".join(ids), "<u4"))
+                ids = encode_column(part.column("text"), cache, encode_units, end)
+                n = pc.binary_length(ids).to_numpy().astype(np.int64) // 4
+                seen = np.bincount(np.frombuffer(ids.buffers()[2], "<u4"))
                 counts = np.pad(counts, (0, max(0, len(seen) - len(counts))))
                 counts[:len(seen)] += seen
                 number = part.column("slice")[0].as_py()
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("slice"), part.column("doc_id"), pa.array(before + np.cumsum(n) - n), pa.array(n, pa.int32()),
-                     pa.array(ids, pa.binary())], schema=arrow)
+                    [part.column("slice"), part.column("doc_id"), pa.array(before + np.cumsum(n) - n), pa.array(n, pa.int32()), ids],
+                    schema=arrow)
                 before += int(n.sum())
         if number is not None:
             yield pa.RecordBatch.from_pylist([{"slice": number, "n": 0, "ids": counts.astype("<i8").tobytes()}], schema=arrow)

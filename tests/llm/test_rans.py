@@ -1,13 +1,15 @@
 """Token files: exact round trips, checkpoints, checksums and the library's own ids."""
 
+import random
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from medalyst.llm import rans
+from medalyst.llm import bpe, rans
 from medalyst.session import workspace
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -54,6 +56,22 @@ def test_odd_rows(spark, odd_docs, odd_rows):
     assert ids == sorted(ids)
 
 
+def test_columns_of_any_characters_have_the_ids_of_the_library():
+    rng = random.Random(5)
+    marks = [*map(chr, range(0x250)), *" \n\t\r'" * 60, *"abcXY12.,;'stremvld" * 12, *map(chr, range(0x250, 0x3100, 7)), *"\u65e5\u672c\U0001f600\uffff\u2028\u3000\x85\x1c"]
+    texts = ["".join(rng.choices(marks, k=rng.randrange(60))) for _ in range(5000)]
+    texts += ["", " ", "  ", "a ", " a", "a  b", "a \n b", "\n a", "a\n a", "<|endoftext|> x", "it's we'll I'VE 's ''s x's's", "word" * 5000]
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    tokenizer.encode_special_tokens = True
+    wanted = [[*x.ids, 2] for x in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    encode_units, cache = rans._library(VOCABULARY)
+    for kind in (pa.string(), pa.large_string()):
+        column = pa.array(["before", *texts], kind).slice(1)
+        found = bpe.encode_column(column, cache, encode_units, np.array([2], "<u4").tobytes())
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in found.to_pylist()] == wanted
+    assert bpe.encode_column(pa.array([], pa.string()), cache, encode_units).to_pylist() == []
+
+
 def test_many_blocks_and_a_spoiled_one(spark, make_docs):
     docs = make_docs([(i, f"text number {i} " * (i % 5 + 1), "en", "a") for i in range(60)])
     folder = workspace(spark, "tokens")
