@@ -34,7 +34,9 @@ _EMPTY = np.uint64(2**64 - 1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _CUT = re.compile(r"(?<=\S)(?= )|(?= \S)")
 _RUN = re.compile(r"\s (?:\s|\Z)")
-_SPACES = np.array([chr(i).isspace() for i in range(256)])
+_SPACES = np.array([chr(i).isspace() for i in range(0x3002)])       # none beyond
+LETTER, NUMBER, OTHER, SPACE, BEYOND = range(5)     # classes of characters
+BLANK = ord(" ")
 
 
 def units(text: str) -> list[str]:
@@ -250,61 +252,113 @@ def encode_cached(texts: Iterable[str], cache: UnitCache, encode_units: Callable
             gc.enable()
 
 
-def edge_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each text of an Arrow column of strings: how many bytes it has, its second and its last byte (0 where it has none)."""
-    width = np.int64 if pa.types.is_large_string(texts.type) else np.int32
-    _, bounds, data = texts.buffers()
-    bounds = np.frombuffer(bounds, width)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64) if len(texts) else np.zeros(1, np.int64)
-    data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(1, np.uint8)
-    n = np.diff(bounds)
-    return n, np.where(n > 1, data[np.minimum(bounds[:-1] + 1, len(data) - 1)], 0), np.where(n > 0, data[np.maximum(bounds[1:] - 1, 0)], 0)
+class ColumnCache:
+    """Ids of strings as two Arrow columns. When they pass about ``limit`` bytes, only the strings asked for last stay."""
 
+    def __init__(self, limit: int = CACHED_BYTES):
+        self.limit = limit
+        self.strings, self.ids = pa.array([], pa.string()), pa.array([], pa.binary())
+
+    def of(self, wanted: pa.Array, encode: Callable[[pa.Array], pa.Array]) -> pa.Array:
+        """The ids of each of the distinct strings ``wanted``; those not held are encoded together."""
+        at = pc.index_in(wanted, value_set=self.strings)
+        new = at.is_null()
+        fresh, held = wanted.filter(new), len(self.strings)
+        at = at.fill_null(0).to_numpy().astype(np.int64)
+        at[new.to_numpy(zero_copy_only=False)] = held + np.arange(len(fresh))
+        self.strings, self.ids = pa.concat_arrays([self.strings, fresh]), pa.concat_arrays([self.ids, encode(fresh)])
+        found = self.ids.take(pa.array(at))
+        if self.strings.nbytes + self.ids.nbytes > self.limit:
+            self.strings, self.ids = wanted, found
+        return found
+
+
+def laid_out(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of an Arrow column of strings without NULLs, one value after another; where each begins, and the last one ends."""
+    _, bounds, data = values.buffers()
+    bounds = np.frombuffer(bounds, np.int32)[values.offset:values.offset + len(values) + 1].astype(np.int64) if len(values) else np.zeros(1, np.int64)
+    data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
+    return data[bounds[0]:bounds[-1]], bounds - bounds[0]
+
+
+def code_points(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The characters of an Arrow column of strings without NULLs, one text after another; where each text begins, and the last one ends."""
+    points = np.frombuffer(laid_out(texts)[0].tobytes().decode().encode("utf-32-le"), "<u4")
+    return points, np.concatenate([[0], np.cumsum(pc.utf8_length(texts).to_numpy(), dtype=np.int64)])
+
+
+def of_bytes(kind: pa.DataType, bounds: np.ndarray, data: np.ndarray | pa.Buffer) -> pa.Array:
+    """The Arrow column of the parts of ``data`` between ``bounds``."""
+    return pa.Array.from_buffers(kind, len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data)])
 
-def ends_in_space(texts: list[str], last: np.ndarray, place: int = -1) -> np.ndarray:
-    """Whether the character at ``place`` is white space, of texts with the byte ``last`` there; only bytes that are not ASCII need a look at the text."""
-    found = _SPACES[last]
-    for i in np.flatnonzero(last >= 128).tolist():
-        found[i] = texts[i][place].isspace()
-    return found
 
+def regrouped(ids: pa.Array, bounds: np.ndarray) -> pa.Array:
+    """The Arrow column whose values are those of ``ids`` between ``bounds``, joined."""
+    data, edges = laid_out(ids)
+    return of_bytes(pa.binary(), edges[bounds], data)
 
-def encode_column(texts: pa.Array, cache: UnitCache, encode_units: Callable[[list[str]], list[bytes]], end: bytes = b"") -> pa.Array:
-    """``encode_cached`` of an Arrow column without NULLs, ``end`` after each text. Units are cut, told apart and put together by Arrow.
+
+def piece_starts(points: np.ndarray, kinds: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Which characters begin a piece of the split pattern, in texts that lie between ``bounds``; ``kinds`` are the characters' classes.
+
+    The pattern is ``'s|'t|'re|'ve|'m|'ll|'d| ?L+| ?N+| ?O+|S+(?!V)|S+`` for letters, numbers, others, white space and anything visible. A text that
+    has a character ``BEYOND`` those told apart is left whole.
+    """
+    first = np.zeros(len(points) + 1, bool)
+    first[bounds] = True
+    space = kinds == SPACE
+    after_space, before_visible = np.roll(space, 1), ~np.roll(space, -1) & ~first[1:]
+    # the last of several white spaces stands alone, or goes with what follows if it is a blank
+    start = first.copy()
+    start[:-1] |= np.where(space, ~after_space | before_visible, np.where(after_space, np.roll(points, 1) != BLANK, np.roll(kinds, 1) != kinds))
+    marks = np.flatnonzero(start[:-1] & (points == ord("'")))
+    for ending in ("s", "t", "re", "ve", "m", "ll", "d"):
+        at = marks[marks + len(ending) < len(points)]
+        for i, letter in enumerate(ending, 1):
+            at = at[(points[at + i] == ord(letter)) & ~first[at + i]]
+        start[at + 1] = False
+        start[at + 1 + len(ending)] = True
+    beyond = kinds == BEYOND
+    if beyond.any():
+        seen = np.concatenate([[0], np.cumsum(beyond)])[bounds]
+        start[:-1] &= first[:-1] | ~np.repeat(np.diff(seen) > 0, np.diff(bounds))
+    return start[:-1]
+
+
+def encode_column(texts: pa.Array, cache: ColumnCache, encode_units: Callable[[pa.Array, ColumnCache], pa.Array], end: bytes = b"") -> pa.Array:
+    """Ids of each text of an Arrow column without NULLs, ``end`` after each. Units are cut, told apart and put together by Arrow.
 
     A cut at every space is right but where spaces meet other white space; texts that have such a place go through ``units``.
     """
     if not len(texts):
         return pa.array([], pa.binary())
-    collecting = gc.isenabled()
-    gc.disable()            # as above
-    try:
-        cut = pc.split_pattern(texts, " ")
-        first = cut.offsets.to_numpy().astype(np.int64)
-        first, parts = first[:-1] - first[0], cut.flatten()
-        coded = parts.dictionary_encode()
-        at, rest = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        size, _, last = edge_bytes(coded.dictionary)
-        odd = ((size == 0) | ends_in_space(rest, last))[at]
-        odd[first] &= size[at[first]] > 0           # a text may begin with a space
-        odd = np.logical_or.reduceat(odd, first)
-        # a head has no space before it
-        heads, which = np.unique(at[first], return_inverse=True)
-        wanted = [*[" " + part for part in rest], *[rest[i] for i in heads.tolist()]]
-        at[first] = len(rest) + which
-        known = cache.of(wanted, encode_units).__getitem__
-        ids = [*map(known, wanted), b"", end]
-        if odd.any():
-            at[np.repeat(odd, np.diff([*first.tolist(), len(at)]))] = len(wanted)
-            at[first[odd]] = len(ids) + np.arange(odd.sum())
-            ids += encode_cached(texts.filter(pa.array(odd)).to_pylist(), cache, encode_units)
-        after = np.append(first[1:], len(at))
-        joined = pa.array(ids, pa.binary()).take(pa.array(np.insert(at, after, len(wanted) + 1)))
-        _, bounds, data = joined.buffers()
-        edges = np.frombuffer(bounds, np.int32, len(joined) + 1)[np.append(0, after + np.arange(1, len(after) + 1))]
-        return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(edges.tobytes()), data])
-    finally:
-        if collecting:
-            gc.enable()
+    cut = pc.split_pattern(texts.cast(pa.string()), " ")
+    first = cut.offsets.to_numpy().astype(np.int64)
+    first, parts = first[:-1] - first[0], cut.flatten()
+    coded = parts.dictionary_encode()
+    at, rest = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+    points, bounds = code_points(rest)
+    empty = np.diff(bounds) == 0
+    odd = empty.copy()
+    odd[~empty] = _SPACES[np.minimum(points[bounds[1:][~empty] - 1], len(_SPACES) - 1)]
+    odd = odd[at]
+    odd[first] &= ~empty[at[first]]             # a text may begin with a space
+    odd = np.logical_or.reduceat(odd, first)
+    # a head has no space before it
+    heads, which = np.unique(at[first], return_inverse=True)
+    wanted = pa.concat_arrays([pc.binary_join_element_wise("", rest, " "), rest.take(pa.array(heads))])
+    at[first] = len(rest) + which
+    ids = [encode_units(wanted, cache), pa.array([b"", end], pa.binary())]
+    if odd.any():
+        split = [units(text) for text in texts.filter(pa.array(odd)).to_pylist()]
+        edges = np.concatenate([[0], np.cumsum(list(map(len, split)))])
+        at[np.repeat(odd, np.diff([*first.tolist(), len(at)]))] = len(wanted)
+        at[first[odd]] = len(wanted) + 2 + np.arange(len(split))
+        each = pa.array([unit for parts in split for unit in parts], pa.string()).dictionary_encode()
+        ids.append(regrouped(encode_units(each.dictionary, cache).take(each.indices), edges))
+    after = np.append(first[1:], len(at))
+    joined = pa.concat_arrays(ids).take(pa.array(np.insert(at, after, len(wanted) + 1)))
+    return regrouped(joined, np.append(0, after + np.arange(1, len(after) + 1)))
 
 
 @lru_cache(maxsize=2)

@@ -12,7 +12,6 @@ documents like any others; an empty table gives empty files; other columns are i
 from __future__ import annotations
 
 import os
-import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -26,8 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from medalyst.llm.arrow import map_batches, slices
-from medalyst.llm.bpe import UnitCache, edge_bytes, encode_column, ends_in_space
+from medalyst.llm.arrow import BATCH_BYTES, map_batches, slices
+from medalyst.llm.bpe import BEYOND, LETTER, NUMBER, OTHER, SPACE, ColumnCache, code_points, encode_column, laid_out, of_bytes, piece_starts, regrouped
 from medalyst.session import durable, shuffle_width, workspace
 
 SCALE = 20                     # bits of the frequency table's total
@@ -36,8 +35,8 @@ WORD = np.uint64(32)
 MAX_LANES = 4096
 CHECKPOINTS = 2
 BLOCK_IDS = 1 << 20
-CACHED_BYTES = 64 << 20       # of one generation of encoded units in a worker, of which there are two
-PIECES_BYTES = 32 << 20       # the same of pieces of units
+CACHED_BYTES = 32 << 20       # of the pieces of texts whose ids a worker keeps
+TOGETHER = 4096               # pieces given to the library at once
 KNOWN_CHARACTERS = 0x3000     # the characters below it are told apart here, as the library does
 _HEAD = struct.Struct("<4sIIII")
 
@@ -118,14 +117,11 @@ class Coder:
         return out if part is None else out[part * every * lanes:(part + 1) * every * lanes]
 
 
-def split_pattern(tokenizer) -> re.Pattern:
-    """The split pattern of the library's byte-level vocabularies for characters below ``KNOWN_CHARACTERS``, by the classes the library itself has them in."""
-    split = tokenizer.pre_tokenizer.pre_tokenize_str
-    kinds: dict[str, list[str]] = {"a": [], "1": [], "!": [], "": []}         # letters, numbers, others, white space
-    for c in map(chr, range(KNOWN_CHARACTERS)):
-        kinds[next((like for like in "a1!" if len(split(like + c)) == 1), "")].append(c)
-    letter, number, other, space = (f"[{re.escape(''.join(found))}]" for found in kinds.values())
-    return re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?{letter}+| ?{number}+| ?{other}+|{space}+(?={space}|\Z)|{space}+")
+def character_kinds(tokenizer) -> np.ndarray:
+    """The classes in which the library has the characters below ``KNOWN_CHARACTERS``, and ``BEYOND`` for all others."""
+    split, likes = tokenizer.pre_tokenizer.pre_tokenize_str, {"a": LETTER, "1": NUMBER, "!": OTHER}
+    kinds = [next((kind for like, kind in likes.items() if len(split(like + c)) == 1), SPACE) for c in map(chr, range(KNOWN_CHARACTERS))]
+    return np.array([*kinds, BEYOND], np.uint8)
 
 
 def byte_letters() -> np.ndarray:
@@ -147,64 +143,48 @@ def _library(path: str):
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True              # their strings in a text are ordinary text
-    pattern, letters = split_pattern(tokenizer), byte_letters()
-    beyond = re.compile(f"[^\0-{chr(KNOWN_CHARACTERS - 1)}]")
+    kinds, letters = character_kinds(tokenizer), byte_letters()
     by_piece = Tokenizer(tokenizer.model)               # the same vocabulary and merges for pieces that are cut already
     by_piece.pre_tokenizer = CharDelimiterSplit(" ")
-    kept = UnitCache(PIECES_BYTES)
-    spaces = [chr(i).isspace() for i in range(128)]
 
     sizes = np.zeros(tokenizer.get_vocab_size(), np.int64)         # a token's name has a character for each of its bytes
     for name, number in tokenizer.get_vocab().items():
         sizes[number] = len(name)
 
-    def encoded(library, text: str) -> np.ndarray:
-        return np.array(library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
-
-    def dealt(parts: list[str], ids: np.ndarray) -> list[bytes]:
-        """The ids of each part of a text, by the bytes they stand for."""
-        ends = np.cumsum(pc.binary_length(pa.array(parts, pa.large_string())).to_numpy())
-        cuts = (4 * (np.searchsorted(np.cumsum(sizes[ids]), ends) + 1)).tolist()
-        flat = ids.astype("<u4").tobytes()
-        return [flat[a:b] for a, b in zip([0, *cuts], cuts, strict=False)]
-
-    def encode_pieces(pieces: list[str]) -> list[bytes]:
-        made: list[bytes] = []
-        for at in range(0, len(pieces), 512):
-            some = pieces[at:at + 512]
-            held = "\uffff".join(some).encode().replace("\uffff".encode(), b"\xff")
-            made += dealt(some, encoded(by_piece, letters[np.frombuffer(held, np.uint8)].tobytes().decode("utf-16-le")))
-        return made
-
-    def encode_units(units: list[str]) -> list[bytes]:
-        """Ids of each unit. Units of a space and visible ends are one text, whose ids are dealt out by their bytes.
-
-        It is cut into the library's pieces here, of which only those not seen lately go to the library; units with other characters go there whole.
-        """
-        made: list[bytes | None] = [None] * len(units)
-        size, second, last = edge_bytes(pa.array(units, pa.large_string()))
-        # a space and one character at least, none of them white space at either end
-        fit = np.flatnonzero((size > 1) & ~ends_in_space(units, last))
-        fit = [i for i, after in zip(fit.tolist(), second[fit].tolist(), strict=True) if units[i][0] == " " and not (units[i][1].isspace() if after > 127 else spaces[after])]
-        text, whole = "".join([units[i] for i in fit]), []
-        if beyond.search(text):
-            whole = [i for i in fit if beyond.search(units[i])]
-            fit = [i for i in fit if not beyond.search(units[i])]
-            text = "".join([units[i] for i in fit])
-        pieces = pattern.findall(text)
-        known = kept.of(set(pieces), encode_pieces).__getitem__
-        for i, ids in zip(fit, dealt([units[i] for i in fit], np.frombuffer(b"".join(map(known, pieces)), "<u4")), strict=True):
-            made[i] = ids
-        for at in range(0, len(whole), 4096):
-            parts = [units[i] for i in whole[at:at + 4096]]
-            for i, ids in zip(whole[at:at + 4096], dealt(parts, encoded(tokenizer, "".join(parts))), strict=True):
-                made[i] = ids
-        single = [i for i, ids in enumerate(made) if ids is None]
-        for i, found in zip(single, tokenizer.encode_batch_fast([units[i] for i in single], add_special_tokens=False), strict=True):
-            made[i] = np.array(found.ids, "<u4").tobytes()
-        return made
-
-    return encode_units, UnitCache(CACHED_BYTES)
+    def kinds_of(points: np.ndarray) -> np.ndarray:
+        return kinds[np.minimum(points, KNOWN_CHARACTERS)]
+
+    def encode_pieces(pieces: pa.Array) -> pa.Array:
+        """Ids of pieces: many go to the library as one text, whose ids are dealt out by the bytes they stand for."""
+        data, bounds = laid_out(pieces)
+        found = []
+        for at in range(0, len(pieces), TOGETHER):
+            edges = bounds[at:at + TOGETHER + 1]
+            held = letters[np.insert(data[edges[0]:edges[-1]], edges[1:-1] - edges[0], 255)].tobytes().decode("utf-16-le")
+            found.append(np.array(by_piece.encode_batch_fast([held], add_special_tokens=False)[0].ids, "<u4"))
+        ids = np.concatenate([np.zeros(0, "<u4"), *found])
+        return of_bytes(pa.binary(), 4 * np.searchsorted(np.cumsum(sizes[ids]), bounds, "right"), ids)
+
+    def encode_strings(strings: pa.Array) -> pa.Array:
+        """Ids of pieces, and of whole units that have characters beyond those told apart here."""
+        points, bounds = code_points(strings)
+        beyond = np.diff(np.concatenate([[0], np.cumsum(points >= KNOWN_CHARACTERS)])[bounds]) > 0
+        if not beyond.any():
+            return encode_pieces(strings)
+        whole = tokenizer.encode_batch_fast(strings.filter(pa.array(beyond)).to_pylist(), add_special_tokens=False)
+        made = pa.concat_arrays([encode_pieces(strings.filter(pa.array(~beyond))), pa.array([np.array(x.ids, "<u4").tobytes() for x in whole], pa.binary())])
+        return made.take(pa.array(np.where(beyond, len(strings) - len(whole) + np.cumsum(beyond) - 1, np.cumsum(~beyond) - 1)))
+
+    def encode_units(units: pa.Array, cache: ColumnCache) -> pa.Array:
+        """Ids of each unit. They are cut into the library's pieces here, of which only those not seen lately go to the library."""
+        points, bounds = code_points(units)
+        starts = np.flatnonzero(piece_starts(points, kinds_of(points), bounds))
+        data, _ = laid_out(units)
+        places = np.flatnonzero((data & 0xC0) != 0x80)             # of the characters' first bytes
+        pieces = of_bytes(pa.string(), np.append(places[starts], len(data)), data).dictionary_encode()
+        return regrouped(cache.of(pieces.dictionary, encode_strings).take(pieces.indices), np.searchsorted(starts, bounds))
+
+    return encode_units, ColumnCache(CACHED_BYTES)
 
 
 def tokens(docs: DataFrame, path: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -226,7 +206,7 @@ def tokens(docs: DataFrame, path: str, end_id: int, doc_id: str = "doc_id", text
         encode_units, cache = _library(path)
         before, counts, number = 0, np.zeros(end_id + 1, np.int64), None
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 2 * BATCH_BYTES):       # a batch, unless it has long texts: the more at once, the fewer distinct units
                 ids = encode_column(part.column("text"), cache, encode_units, end)
                 n = pc.binary_length(ids).to_numpy().astype(np.int64) // 4
                 seen = np.bincount(np.frombuffer(ids.buffers()[2], "<u4"))

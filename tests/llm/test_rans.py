@@ -1,6 +1,7 @@
 """Token files: exact round trips, checkpoints, checksums and the library's own ids."""
 
 import random
+import sys
 import zlib
 
 import numpy as np
@@ -72,6 +73,28 @@ def test_columns_of_any_characters_have_the_ids_of_the_library():
     assert bpe.encode_column(pa.array([], pa.string()), cache, encode_units).to_pylist() == []
 
 
+def test_a_worker_keeps_no_object_for_each_unit():
+    encode_units, cache = rans._library(VOCABULARY)
+    texts = ["".join(f" kept{i}x{n}" for i in range(10_000)) for n in range(3)]
+    column = pa.array(texts)
+    bpe.encode_column(pa.array(["warm up"]), cache, encode_units)
+    before = sys.getallocatedblocks()
+    found = bpe.encode_column(column, cache, encode_units)
+    assert sys.getallocatedblocks() - before < 5000
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in found.to_pylist()] == list(map(library_ids, texts))
+
+
+def test_ids_are_right_when_the_cache_is_full():
+    encode_units, _ = rans._library(VOCABULARY)
+    cache = bpe.ColumnCache(2000)
+    for n in range(30):
+        texts = [f"a text of column {n} \u65e5\u672c{i} we'll" for i in range(n)] + ["", "the same"]
+        found = bpe.encode_column(pa.array([" ".join(texts)]), cache, encode_units)
+        assert bpe.encode_column(pa.array([" ".join(texts)]), bpe.ColumnCache(), encode_units).equals(found)
+        assert cache.strings.nbytes + cache.ids.nbytes <= 4000
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in found.to_pylist()] == [library_ids(" ".join(texts))]
+
+
 def test_many_blocks_and_a_spoiled_one(spark, make_docs):
     docs = make_docs([(i, f"text number {i} " * (i % 5 + 1), "en", "a") for i in range(60)])
     folder = workspace(spark, "tokens")
