@@ -287,6 +287,10 @@ def code_points(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return points, np.concatenate([[0], np.cumsum(pc.utf8_length(texts).to_numpy(), dtype=np.int64)])
 
 
+def is_space(points: np.ndarray) -> np.ndarray:
+    return _SPACES[np.minimum(points, len(_SPACES) - 1)]
+
+
 def of_bytes(kind: pa.DataType, bounds: np.ndarray, data: np.ndarray | pa.Buffer) -> pa.Array:
     """The Arrow column of the parts of ``data`` between ``bounds``."""
     return pa.Array.from_buffers(kind, len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data)])
@@ -340,7 +344,7 @@ def encode_column(texts: pa.Array, cache: ColumnCache, encode_units: Callable[[p
     points, bounds = code_points(rest)
     empty = np.diff(bounds) == 0
     odd = empty.copy()
-    odd[~empty] = _SPACES[np.minimum(points[bounds[1:][~empty] - 1], len(_SPACES) - 1)]
+    odd[~empty] = is_space(points[bounds[1:][~empty] - 1])
     odd = odd[at]
     odd[first] &= ~empty[at[first]]             # a text may begin with a space
     odd = np.logical_or.reduceat(odd, first)

@@ -14,7 +14,7 @@ from __future__ import annotations
 import os
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -25,8 +25,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from medalyst.llm.arrow import BATCH_BYTES, map_batches, slices
-from medalyst.llm.bpe import BEYOND, LETTER, NUMBER, OTHER, SPACE, ColumnCache, code_points, encode_column, laid_out, of_bytes, piece_starts, regrouped
+from medalyst.llm.arrow import map_batches, slices
+from medalyst.llm.bpe import (
+    BEYOND,
+    BLANK,
+    LETTER,
+    NUMBER,
+    OTHER,
+    SPACE,
+    ColumnCache,
+    code_points,
+    encode_column,
+    is_space,
+    laid_out,
+    of_bytes,
+    piece_starts,
+    regrouped,
+)
 from medalyst.session import durable, shuffle_width, workspace
 
 SCALE = 20                     # bits of the frequency table's total
@@ -36,7 +51,7 @@ MAX_LANES = 4096
 CHECKPOINTS = 2
 BLOCK_IDS = 1 << 20
 CACHED_BYTES = 32 << 20       # of the pieces of texts whose ids a worker keeps
-TOGETHER = 4096               # pieces given to the library at once
+TOGETHER = 1 << 16            # bytes given to the library at once
 KNOWN_CHARACTERS = 0x3000     # the characters below it are told apart here, as the library does
 _HEAD = struct.Struct("<4sIIII")
 
@@ -154,26 +169,37 @@ def _library(path: str):
     def kinds_of(points: np.ndarray) -> np.ndarray:
         return kinds[np.minimum(points, KNOWN_CHARACTERS)]
 
-    def encode_pieces(pieces: pa.Array) -> pa.Array:
-        """Ids of pieces: many go to the library as one text, whose ids are dealt out by the bytes they stand for."""
-        data, bounds = laid_out(pieces)
-        found = []
-        for at in range(0, len(pieces), TOGETHER):
-            edges = bounds[at:at + TOGETHER + 1]
-            held = letters[np.insert(data[edges[0]:edges[-1]], edges[1:-1] - edges[0], 255)].tobytes().decode("utf-16-le")
-            found.append(np.array(by_piece.encode_batch_fast([held], add_special_tokens=False)[0].ids, "<u4"))
+    def dealt(library, strings: pa.Array, joined: Callable[[np.ndarray, np.ndarray], str]) -> pa.Array:
+        """Ids of strings: many go to ``library`` as one text, whose ids are dealt out by the bytes they stand for."""
+        found = [np.array(library.encode_batch_fast([joined(*laid_out(part.column("text")))], add_special_tokens=False)[0].ids, "<u4")
+                 for part in slices(pa.record_batch([strings], ["text"]), "text", TOGETHER)]
         ids = np.concatenate([np.zeros(0, "<u4"), *found])
-        return of_bytes(pa.binary(), 4 * np.searchsorted(np.cumsum(sizes[ids]), bounds, "right"), ids)
+        return of_bytes(pa.binary(), 4 * np.searchsorted(np.cumsum(sizes[ids]), laid_out(strings)[1], "right"), ids)
+
+    def encode_pieces(pieces: pa.Array) -> pa.Array:
+        return dealt(by_piece, pieces, lambda data, bounds: letters[np.insert(data, bounds[1:-1], 255)].tobytes().decode("utf-16-le"))
+
+    def encode_in_rows(whole: pa.Array) -> pa.Array:
+        """Ids of units of a space and visible ends: a text made of them is cut between them."""
+        return dealt(tokenizer, whole, lambda data, _: data.tobytes().decode())
+
+    def encode_alone(whole: pa.Array) -> pa.Array:
+        parts = slices(pa.record_batch([whole], ["text"]), "text", TOGETHER)
+        return pa.array([np.array(x.ids, "<u4").tobytes() for part in parts
+                         for x in tokenizer.encode_batch_fast(part.column("text").to_pylist(), add_special_tokens=False)], pa.binary())
 
     def encode_strings(strings: pa.Array) -> pa.Array:
         """Ids of pieces, and of whole units that have characters beyond those told apart here."""
         points, bounds = code_points(strings)
-        beyond = np.diff(np.concatenate([[0], np.cumsum(points >= KNOWN_CHARACTERS)])[bounds]) > 0
-        if not beyond.any():
+        way = (np.diff(np.concatenate([[0], np.cumsum(points >= KNOWN_CHARACTERS)])[bounds]) > 0).astype(np.int8)
+        if not way.any():
             return encode_pieces(strings)
-        whole = tokenizer.encode_batch_fast(strings.filter(pa.array(beyond)).to_pylist(), add_special_tokens=False)
-        made = pa.concat_arrays([encode_pieces(strings.filter(pa.array(~beyond))), pa.array([np.array(x.ids, "<u4").tobytes() for x in whole], pa.binary())])
-        return made.take(pa.array(np.where(beyond, len(strings) - len(whole) + np.cumsum(beyond) - 1, np.cumsum(~beyond) - 1)))
+        space, first, last = is_space(points), bounds[:-1], bounds[1:] - 1
+        way[(way > 0) & ((first == last) | (points[first] != BLANK) | space[np.minimum(first + 1, last)] | space[last])] = 2
+        made = [encode(strings.filter(pa.array(way == i))) for i, encode in enumerate((encode_pieces, encode_in_rows, encode_alone))]
+        place = np.empty(len(way), np.int64)
+        place[np.argsort(way, kind="stable")] = np.arange(len(way))
+        return pa.concat_arrays(made).take(pa.array(place))
 
     def encode_units(units: pa.Array, cache: ColumnCache) -> pa.Array:
         """Ids of each unit. They are cut into the library's pieces here, of which only those not seen lately go to the library."""
@@ -206,7 +232,7 @@ def tokens(docs: DataFrame, path: str, end_id: int, doc_id: str = "doc_id", text
         encode_units, cache = _library(path)
         before, counts, number = 0, np.zeros(end_id + 1, np.int64), None
         for batch in batches:
-            for part in slices(batch, "text", 2 * BATCH_BYTES):       # a batch, unless it has long texts: the more at once, the fewer distinct units
+            for part in slices(batch, "text"):
                 ids = encode_column(part.column("text"), cache, encode_units, end)
                 n = pc.binary_length(ids).to_numpy().astype(np.int64) // 4
                 seen = np.bincount(np.frombuffer(ids.buffers()[2], "<u4"))
