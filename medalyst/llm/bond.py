@@ -118,11 +118,14 @@ class Block:
 
 
 def paired(blocks: DataFrame, anchors: DataFrame) -> DataFrame:
-    """Every block of rows beside every block of anchors, dealt out by lanes."""
+    """Every block of rows beside every block of anchors, dealt out by lanes.
+
+    Both sides are shuffled whatever their size: a copy for each lane is many times what the anchors' files suggest, and a broadcast would gather it on the driver.
+    """
     lanes = max(1, min(shuffle_width(blocks.sparkSession), blocks.count()))
     laid = blocks.withColumn("lane", F.pmod(F.xxhash64("block"), F.lit(lanes)).cast("int")).repartition(lanes, "lane")
     spread = anchors.select(F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"), F.struct(*anchors.columns).alias("anchors"))
-    return laid.join(spread, "lane").select(F.struct(*[c for c in blocks.columns]).alias("rows"), "anchors")
+    return laid.join(spread.hint("merge"), "lane").select(F.struct(*[c for c in blocks.columns]).alias("rows"), "anchors")
 
 
 def each_anchor(batches: Iterator[pa.RecordBatch], found: Callable, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -195,7 +198,7 @@ def negatives(blocks: DataFrame, anchors: DataFrame, near: DataFrame, k: int, lo
                 same = [np.full(len(best), v, np.int64) for v in (number, p["place"], anchors.ids[i], p["positive_id"], p["positive_score"])]
                 yield *same, rows.ids[at[best]], scores[best]
 
-    made = map_batches(paired(blocks, anchors.join(windows, "block")), lambda batches: each_anchor(batches, found, schema), ddl)
+    made = map_batches(paired(blocks, anchors.join(windows.hint("merge"), "block")), lambda batches: each_anchor(batches, found, schema), ddl)
     return _first(made, ["anchor", "place"], "negative_score", "negative_id", k, "rank")
 
 

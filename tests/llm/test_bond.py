@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from medalyst.llm import bond
+from medalyst.session import durable
 
 SCHEMA = "vec_id bigint, embedding array<float>, label int, id string, lane int, block binary, score double"
 
@@ -89,6 +90,18 @@ def test_large_components_stay_exact(spark):
     assert mined(spark, rows) == brute(rows)
 
 
+def test_copies_for_the_lanes_are_not_gathered_on_the_driver(spark, small_blocks):
+    table = spark.createDataFrame([(*r, "x", 1, b"y", 0.5) for r in vectors(4, 420, 8)], SCHEMA)
+    rows = bond.scaled(table, "vec_id", "embedding", "label", 256)
+    blocks, anchors = durable(bond.packed(rows)), durable(bond.packed(rows.where("id % 100 = 0"), bond.ANCHORS))
+    near = bond.positives(blocks, anchors, 5)
+    hard = bond.negatives(blocks, anchors, durable(near), 10, 30, 90)
+    for found in (near, hard):
+        assert found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" in plan and "Broadcast" not in plan
+
+
 def test_few_and_no_rows(spark):
     assert mined(spark, []) == []
     assert mined(spark, [(100, [1.0, 2.0], 1)]) == []
