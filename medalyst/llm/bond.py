@@ -17,6 +17,7 @@ Ties go to the smaller id. An empty table gives an empty result, and other colum
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -29,32 +30,47 @@ from medalyst.session import durable, shuffle_width
 
 PEAK = 1 << 24
 STEP = 8                       # columns between two looks at the bounds
+NARROW = 4                     # the candidates' columns to come are copied together once they are fewer than this part of the rows
 ROW_BYTES, ANCHORS = 2 << 20, 256      # size of a block of rows, anchors in a block of anchors
 _SHIFT = 8                     # an anchor's number is its block's number and its place among 256
 BLOCK = "block bigint, ids binary, labels binary, width int, columns binary"
 
-Keep = Callable[[np.ndarray, np.ndarray], np.ndarray]
 
+class Keep(NamedTuple):
+    """What rules rows out, of which the columns not read yet add at least ``least`` and at most ``most`` to each score so far.
 
-def scan(values: np.ndarray, query: np.ndarray, alive: np.ndarray, keep: Keep) -> tuple[np.ndarray, np.ndarray]:
+    ``none``: whether it surely rules out none, by the greatest of the rows' least scores and the least of their greatest scores.
+    ``rows``: the bitmap of candidates that stay, by the scores so far, the bitmap of candidates, ``least`` and ``most``.
+    """
+    none: Callable[[float, float], bool]
+    rows: Callable[[np.ndarray, np.ndarray, float, float], np.ndarray]
+
+
+def bounds(values: np.ndarray) -> np.ndarray:
+    """Least and greatest value of each column, 0 among them."""
+    return np.stack([values.min(axis=1, initial=0), values.max(axis=1, initial=0)])
+
+
+def scan(values: np.ndarray, query: np.ndarray, alive: np.ndarray, keep: Keep, ends: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Places and exact scores of the rows (of the columns ``values``, among ``alive``) that ``keep`` does not rule out.
 
-    ``keep`` gets the least and greatest possible score of each candidate and returns a bitmap.
+    ``ends`` are the ``bounds`` of ``values``, where the caller has them.
     """
     order = np.argsort(-np.abs(query), kind="stable")[:np.count_nonzero(query)]
-    at = np.arange(values.shape[1])
+    ends = (bounds(values) if ends is None else ends)[:, order] * query[order]
+    rest = [np.concatenate([np.cumsum(end[::-1])[::-1], [0]]).tolist() for end in (ends.min(axis=0), ends.max(axis=0))]
+    at, columns = np.arange(values.shape[1]), order                      # where in ``values`` the columns lie
     scores = np.zeros(len(at), values.dtype)
-    ends = np.stack([values.min(axis=1, initial=0), values.max(axis=1, initial=0)])[:, order] * query[order]
-    rest = [np.concatenate([np.cumsum(end[::-1])[::-1], [0]]) for end in (ends.min(axis=0), ends.max(axis=0))]
     for first in range(0, len(order), STEP):
-        dims = order[first:first + STEP]
-        scores = scores + query[dims] @ values[dims]
-        seen = first + len(dims)
-        alive[alive] = keep(scores[alive] + rest[0][seen], scores[alive] + rest[1][seen])
-        if 2 * np.count_nonzero(alive) < len(alive):
-            values, at, scores = values[:, alive], at[alive], scores[alive]
-            alive = np.ones(len(at), bool)
-    alive[alive] = keep(scores[alive], scores[alive])
+        seen = min(first + STEP, len(order))
+        scores = scores + query[order[first:seen]] @ values[columns[first:seen]]
+        least, most = (r[seen] for r in rest)
+        if len(at) and not keep.none(scores.max().item() + least, scores.min().item() + most):
+            alive = keep.rows(scores, alive, least, most)
+            if NARROW * np.count_nonzero(alive) < len(alive):
+                values, at, scores = values[columns[seen:, None], np.flatnonzero(alive)], at[alive], scores[alive]
+                alive, columns = np.ones(len(at), bool), np.arange(len(order)) - seen
+    alive = keep.rows(scores, alive, 0, 0)
     return at[alive], scores[alive]
 
 
@@ -65,19 +81,33 @@ def _greatest(values: np.ndarray, k: int) -> float:
 
 def nearest(k: int) -> Keep:
     """Rules out rows that k others are sure to beat."""
-    return lambda low, high: np.ones(len(low), bool) if len(low) <= k else high >= _greatest(low, k)
+    def rows(scores: np.ndarray, alive: np.ndarray, least: float, most: float) -> np.ndarray:
+        left = scores[alive]
+        return alive if len(left) <= k else alive & (scores + most >= _greatest(left, k) + least)
+    return Keep(lambda low, high: low <= high, rows)
 
 
 def in_windows(windows: list[tuple[int, int]], k: int) -> Keep:
     """Rules out rows that lie in no window (both ends included), or below k rows that are sure to lie in it."""
-    def keep(low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        wanted = np.zeros(len(low), bool)
-        for least, most in windows:
-            sure = low[(low >= least) & (high <= most)]
-            floor = least if len(sure) < k else max(least, _greatest(sure, k))
-            wanted |= (high >= floor) & (low <= most)
-        return wanted
-    return keep
+    def none(low: float, high: float) -> bool:
+        return any(start <= high and low <= end < high for start, end in windows)          # each row may lie in that window, none surely
+
+    def rows(scores: np.ndarray, alive: np.ndarray, least: float, most: float) -> np.ndarray:
+        spans = [(start, end) for start, end in windows if start <= end]
+        if any(most - least <= end - start for start, end in spans):                       # else no row surely lies in a window
+            left = np.sort(scores[alive])
+            below = np.searchsorted(left + most, [end for _, end in spans], "right").tolist()
+            spans = [(max(start, left[n - k].item() + least) if n >= k else start, end) for n, (start, end) in zip(below, spans, strict=True)]
+        low, high, wanted, merged = scores + least, scores + most, np.zeros(len(scores), bool), []
+        for start, end in sorted(spans):
+            if merged and start <= merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], end)
+            else:
+                merged.append([start, end])
+        for start, end in merged:
+            wanted |= (high >= start) & (low <= end)
+        return alive & wanted
+    return Keep(none, rows)
 
 
 def scaled(rows: DataFrame, vec_id: str, vector: str, label: str, scale: int) -> DataFrame:
@@ -90,10 +120,11 @@ def scaled(rows: DataFrame, vec_id: str, vector: str, label: str, scale: int) ->
 
 
 def packed(rows: DataFrame, most: int | None = None) -> DataFrame:
-    """Blocks of ``id, label, vector`` rows, at most ``most`` rows or about ``ROW_BYTES`` each, columns side by side."""
+    """Blocks of ``id, label, vector`` rows, at most ``most`` rows or about ``ROW_BYTES`` each, in order of labels, columns side by side."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
+            batch = batch.sort_by("label")
             ids, labels = (batch.column(name).to_numpy() for name in ("id", "label"))
             lists = batch.column("vector")
             sizes, flat = lists.value_lengths().to_numpy(), lists.flatten().to_numpy()
@@ -129,16 +160,17 @@ def paired(blocks: DataFrame, anchors: DataFrame) -> DataFrame:
 
 
 def each_anchor(batches: Iterator[pa.RecordBatch], found: Callable, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """``found(rows, values, anchors, i, query)`` for each anchor of each pair of blocks; it returns columns of equal length."""
+    """``found(row, rows, values, ends, anchors, i, query)`` for each anchor of each pair of blocks; it returns columns of equal length."""
     for batch in batches:
         for row in batch.to_pylist():
             rows, anchors = Block(row["rows"]), Block(row["anchors"])
             width = min(len(rows.columns), len(anchors.columns))
             whole, queries = rows.columns[:width], anchors.columns[:width].T
             peak = int(np.abs(whole).max(initial=0)) * int(np.abs(queries).max(initial=0)) * width
-            kind = np.float64 if peak < 1 << 53 else np.int64               # either is exact
+            kind = np.float32 if peak < 1 << 24 else np.float64 if peak < 1 << 53 else np.int64               # each is exact
             whole, queries = whole.astype(kind), queries.astype(kind)
-            parts = [p for i in range(len(anchors.ids)) for p in found(row, rows, whole, anchors, i, queries[i])]
+            ends = bounds(whole)
+            parts = [p for i in range(len(anchors.ids)) for p in found(row, rows, whole, ends, anchors, i, queries[i])]
             if parts:
                 columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
@@ -163,14 +195,16 @@ def positives(blocks: DataFrame, anchors: DataFrame, k: int) -> DataFrame:
     ddl, schema = _schema("anchor anchor_id positive_id positive_score")
     keep = nearest(k)
 
-    def found(row, rows, values, anchors, i, query):
-        alive = (rows.labels == anchors.labels[i]) & (rows.ids != anchors.ids[i])
+    def found(row, rows, values, ends, anchors, i, query):
+        own = slice(*(np.searchsorted(rows.labels, anchors.labels[i], side) for side in ("left", "right")))
+        ids = rows.ids[own]
+        alive = ids != anchors.ids[i]
         if not alive.any():
             return
-        at, scores = scan(values, query, alive, keep)
-        best = ranked(rows.ids[at], scores, k)
+        at, scores = scan(values[:, own], query, alive, keep)
+        best = ranked(ids[at], scores, k)
         n = len(best)
-        yield np.full(n, (row["anchors"]["block"] << _SHIFT) + i), np.full(n, anchors.ids[i]), rows.ids[at[best]], scores[best].astype(np.int64)
+        yield np.full(n, (row["anchors"]["block"] << _SHIFT) + i), np.full(n, anchors.ids[i]), ids[at[best]], scores[best].astype(np.int64)
 
     made = map_batches(paired(blocks, anchors), lambda batches: each_anchor(batches, found, schema), ddl)
     return _first(made, ["anchor"], "positive_score", "positive_id", k, "place")
@@ -182,16 +216,16 @@ def negatives(blocks: DataFrame, anchors: DataFrame, near: DataFrame, k: int, lo
     windows = (near.groupBy(F.shiftright("anchor", _SHIFT).alias("block"))            # at most 256 anchors with a few positives each
                .agg(F.collect_list(F.struct("anchor", "place", "positive_id", "positive_score")).alias("near")))
 
-    def found(row, rows, values, anchors, i, query):
+    def found(row, rows, values, ends, anchors, i, query):
         number = (row["anchors"]["block"] << _SHIFT) + i
         mine = [p for p in row["anchors"]["near"] if p["anchor"] == number]
-        bounds = [(-(-low * p["positive_score"] // 100), high * p["positive_score"] // 100) for p in mine]
+        windows_of = [(-(-low * p["positive_score"] // 100), high * p["positive_score"] // 100) for p in mine]
         alive = rows.labels != anchors.labels[i]
         if not mine or not alive.any():
             return
-        at, scores = scan(values, query, alive, in_windows(bounds, k))
+        at, scores = scan(values, query, alive, in_windows(windows_of, k), ends)
         scores = scores.astype(np.int64)
-        for p, (least, most) in zip(mine, bounds, strict=True):
+        for p, (least, most) in zip(mine, windows_of, strict=True):
             inside = np.flatnonzero((scores >= least) & (scores <= most))
             best = inside[ranked(rows.ids[at[inside]], scores[inside], k)]
             if len(best):

@@ -84,6 +84,25 @@ def test_bounds_never_lose_a_row():
             assert set(inside[np.argsort(-exact[inside], kind="stable")[:k]]) <= set(at)
 
 
+def test_bounds_are_exact_up_to_the_last_bit():
+    """At the edge of what 24 bits hold, in windows that end at a score, and where no column is read or no row given."""
+    rng = np.random.default_rng(8)
+    for kind, most in ((np.float32, 1800), (np.float64, 30_000_000), (np.int64, 1 << 24)):
+        values = rng.integers(-most, most, (5, 300)).astype(kind)
+        query = rng.integers(-most, most, 5).astype(kind)
+        exact = np.array([sum(int(a) * int(b) for a, b in zip(query, column)) for column in values.T], object)
+        ends = sorted(exact)
+        windows = [(ends[40], ends[90]), (ends[80], ends[81]), (ends[200], ends[290]), (ends[9], ends[8])]
+        at, scores = bond.scan(values, query, np.ones(300, bool), bond.in_windows(windows, 4), bond.bounds(values))
+        assert [int(s) for s in scores] == [exact[i] for i in at]
+        for least, most_here in windows:
+            inside = sorted((-int(s), i) for i, s in enumerate(exact) if least <= s <= most_here)
+            assert {i for _, i in inside[:4]} <= set(at.tolist())
+        at, scores = bond.scan(values, 0 * query, np.ones(300, bool), bond.nearest(300))
+        assert len(at) == 300 and not scores.any()
+        assert not len(bond.scan(values[:, :0], query, np.ones(0, bool), bond.in_windows(windows, 4))[0])
+
+
 def test_large_components_stay_exact(spark):
     rng = random.Random(3)
     rows = [(i, [rng.uniform(-60_000, 60_000) for _ in range(40)], i % 2) for i in range(0, 260)]
