@@ -16,7 +16,9 @@ Ties go to the smaller id. An empty table gives an empty result, and other colum
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable, Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -122,22 +124,22 @@ def scaled(rows: DataFrame, vec_id: str, vector: str, label: str, scale: int) ->
 def packed(rows: DataFrame, most: int | None = None) -> DataFrame:
     """Blocks of ``id, label, vector`` rows, at most ``most`` rows or about ``ROW_BYTES`` each, in order of labels, columns side by side."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            batch = batch.sort_by("label")
-            ids, labels = (batch.column(name).to_numpy() for name in ("id", "label"))
-            lists = batch.column("vector")
-            sizes, flat = lists.value_lengths().to_numpy(), lists.flatten().to_numpy()
-            width = int(sizes.max(initial=0))
-            matrix = np.zeros((len(ids), width), np.int32)
-            matrix[np.arange(width) < sizes[:, None]] = flat
+        block, rest = TaskContext.get().partitionId() << 32, []
+        for batch in chain(batches, [None]):
+            held = pa.concat_batches(rest + [batch] * (batch is not None)) if rest or batch is not None else []
+            width = int(held.column("vector").value_lengths().to_numpy().max(initial=0)) if len(held) else 0
             n = most or max(1, ROW_BYTES // (4 * max(1, width)))
-            for at in range(0, len(ids), n):
-                part = slice(at, at + n)
-                columns = np.ascontiguousarray(matrix[part].T)
-                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([ids[part].tobytes()]), pa.array([labels[part].tobytes()]),
-                                                  pa.array([width], pa.int32()), pa.array([columns.tobytes()])], ["block", "ids", "labels", "width", "columns"])
+            for at in range(0, len(held) if batch is None else len(held) // n * n, n):
+                part = held.slice(at, n).sort_by("label")
+                lists = part.column("vector")
+                sizes, flat = lists.value_lengths().to_numpy(), lists.flatten().to_numpy()
+                matrix = np.zeros((len(part), int(sizes.max())), np.int32)
+                matrix[np.arange(matrix.shape[1]) < sizes[:, None]] = flat
+                ids, labels = (part.column(name).to_numpy().tobytes() for name in ("id", "label"))
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([ids]), pa.array([labels]), pa.array([matrix.shape[1]], pa.int32()),
+                                                  pa.array([np.ascontiguousarray(matrix.T).tobytes()])], ["block", "ids", "labels", "width", "columns"])
                 block += 1
+            rest = [held.slice(len(held) // n * n)] if batch is not None else []
 
     return map_batches(rows, run, BLOCK)
 
@@ -218,7 +220,11 @@ def negatives(blocks: DataFrame, anchors: DataFrame, near: DataFrame, k: int, lo
 
     def found(row, rows, values, ends, anchors, i, query):
         number = (row["anchors"]["block"] << _SHIFT) + i
-        mine = [p for p in row["anchors"]["near"] if p["anchor"] == number]
+        if "near" not in row:
+            row["near"] = defaultdict(list)
+            for p in row["anchors"]["near"]:
+                row["near"][p["anchor"]].append(p)
+        mine = row["near"].get(number, [])
         windows_of = [(-(-low * p["positive_score"] // 100), high * p["positive_score"] // 100) for p in mine]
         alive = rows.labels != anchors.labels[i]
         if not mine or not alive.any():
